@@ -14,6 +14,8 @@ from millrace.plans import (  # noqa: F401  (importing a module registers its qu
     scalars,
     vectors,
     learning,
+    streams,
+    reports,
 )
 
 
