@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.folding import fold_batches
+
 
 def register_sql_function(
     spark: SparkSession, name: str, parameters: str, returns: str, body: str
@@ -43,7 +45,6 @@ def custom_aggregate(
     merge: Callable[[pd.DataFrame], pd.DataFrame],
     buffer_schema: str,
     evaluate: dict[str, Column],
-    held_buffers: int = 100_000,
 ) -> DataFrame:
     """A custom aggregate by update, merge and evaluate steps.
 
@@ -65,25 +66,13 @@ def custom_aggregate(
             parts.append(part[keys + buffer_columns])
         return pd.concat(parts, ignore_index=True)
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            if not len(batch):
-                continue
-            fresh = fold(batch, update)
-            held = fresh if held is None else fold(pd.concat([held, fresh]), merge)
-            if len(held) > held_buffers:  # many keys: let the shuffle merge them
-                yield held
-                held = None
-        if held is not None:
-            yield held
-
     def merge_once(frame: pd.DataFrame) -> pd.DataFrame:
         part = merge(frame)[buffer_columns].copy()
         for name in keys:
             part[name] = frame[name].iloc[0]
         return part[keys + buffer_columns]
 
+    partial = fold_batches(lambda rows: fold(rows, update), lambda held: fold(held, merge))
     buffers = df.select(*keys, *inputs).mapInPandas(partial, schema)
     merged = buffers.groupBy(*keys).applyInPandas(merge_once, schema)
     return merged.select(*keys, *[c.alias(n) for n, c in evaluate.items()])

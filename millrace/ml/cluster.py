@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -11,9 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors as V
-from millrace.operators.joins import join_code_table
+from millrace.operators.joins import is_small
 from millrace.operators.topn import top_n_per_group
 
+# Centres sent to every task: 20 MB of doubles at 256 dimensions.
+MAX_CENTRES = 10_000
+
 
 def kmeans_fit(
     df: DataFrame,
@@ -58,23 +63,44 @@ def group_centres(df: DataFrame, cluster: str, vector: str) -> DataFrame:
 def nearest_centre(df: DataFrame, vector: str, centres: DataFrame) -> DataFrame:
     """Add the nearest centre (``cluster``) and its squared distance to every row.
 
-    ``centres`` has ``cluster`` and ``centre`` and holds the ``k`` centres of a model,
-    read once as a single-row subquery; rows are not shuffled.
+    ``centres`` has ``cluster`` and ``centre`` and holds the centres of a model.  When
+    they are few they go to every task, where Arrow batches are measured against them;
+    rows are not shuffled.  More centres are read as a single-row subquery instead.
+    Equally near centres: the smaller cluster number wins.
     """
-    table = centres.agg(F.sort_array(F.collect_list(F.struct("cluster", "centre")))).scalar()
     row = V.dense(F.col(vector))
-    measured = F.transform(
-        "_centres",
-        lambda c: F.struct(
-            V.squared_distance(row, c["centre"]).alias("distance"), c["cluster"].alias("cluster")
-        ),
-    )
-    return (
-        df.withColumn("_centres", table)
-        .withColumn("_best", F.array_min(measured))
-        .withColumns({"cluster": F.col("_best.cluster"), "distance": F.col("_best.distance")})
-        .drop("_centres", "_best")
-    )
+    if is_small(centres, MAX_CENTRES):
+        held = centres.orderBy("cluster").collect()
+        ids = np.array([c["cluster"] for c in held])
+        points = np.array([c["centre"] for c in held])
+
+        @F.pandas_udf("cluster int, distance double")
+        def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                x = np.stack(batch.to_numpy())
+                best = np.full(len(x), np.inf)
+                place = np.zeros(len(x), dtype=int)
+                for i, point in enumerate(points):
+                    d = ((x - point) ** 2).sum(axis=1)
+                    place[d < best] = i
+                    best = np.minimum(best, d)
+                yield pd.DataFrame({"cluster": ids[place], "distance": best})
+
+        measured = df.withColumn("_best", nearest(row))
+    else:
+        table = centres.agg(F.sort_array(F.collect_list(F.struct("cluster", "centre")))).scalar()
+        distances = F.transform(
+            "_centres",
+            lambda c: F.struct(
+                V.squared_distance(row, c["centre"]).alias("distance"),
+                c["cluster"].alias("cluster"),
+            ),
+        )
+        measured = df.withColumn("_centres", table).withColumn("_best", F.array_min(distances))
+        measured = measured.drop("_centres")
+    return measured.withColumns(
+        {"cluster": F.col("_best.cluster"), "distance": F.col("_best.distance")}
+    ).drop("_best")
 
 
 def kmeans_one_step(df: DataFrame, vector: str, centres: DataFrame) -> DataFrame:
@@ -89,7 +115,9 @@ def kmeans_one_step(df: DataFrame, vector: str, centres: DataFrame) -> DataFrame
 def distance_to_centre(df: DataFrame, cluster: str, vector: str) -> DataFrame:
     """Add each row's squared distance to the mean of its cluster."""
     centres = group_centres(df, cluster, vector)
-    joined = join_code_table(df, centres, cluster)
+    # Counting the clusters reads one column; the centres are then computed once.
+    few = is_small(df.select(cluster).distinct(), MAX_CENTRES)
+    joined = df.join(F.broadcast(centres) if few else centres, cluster)
     return joined.withColumn(
         "distance", V.squared_distance(V.dense(F.col(vector)), F.col("centre"))
     ).drop("centre")

@@ -9,8 +9,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import is_small
 from millrace.operators.ranking import global_row_number
 from millrace.operators.transforms import words
+from millrace.session import materialise
 
 
 def word_count(df: DataFrame, text: str, separator: str = " ") -> DataFrame:
@@ -54,28 +56,31 @@ def group_values(
     of a large key evenly to its chunks (a row id; with ``distinct`` its least value
     per key and value).
 
-    Only the large keys' counts are joined back.  If even those are too many to
-    ship, the join runs on key and salt, so a large key's rows never meet in one
-    task on the way to their chunks.
+    Only the large keys' counts are joined back; they are stored first, so that their
+    size is known.  If even those are too many to ship, the join runs on key and salt,
+    so a large key's rows never meet in one task on the way to their chunks.
     """
     rows = df.select(key, value, spread)
     if distinct:
         rows = rows.groupBy(key, value).agg(F.min(spread).alias(spread))
-    large = (
+    large = materialise(
         rows.groupBy(key)
         .agg(F.count("*").alias("_n"))
         .filter(F.col("_n") > chunk_size)
-        .select(
-            key,
-            F.ceil(F.col("_n") / chunk_size).alias("_chunks"),
-            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
-        )
+        .select(key, F.ceil(F.col("_n") / chunk_size).alias("_chunks")),
+        "large-keys",
     )
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    if is_small(large):
+        counted = rows.join(F.broadcast(large), key, "left")
+    else:
+        part = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+        counted = rows.withColumn("_salt", part).join(
+            large.withColumn("_salt", copies), [key, "_salt"], "left"
+        )
     chunk = F.coalesce(F.pmod(F.col(spread), F.col("_chunks")), F.lit(0).cast("long"))
     return (
-        salted.join(large, [key, "_salt"], "left")
-        .withColumn("chunk", chunk)
+        counted.withColumn("chunk", chunk)
         .groupBy(key, "chunk")
         .agg(F.sort_array(F.collect_list(value)).alias("values"))
     )
@@ -164,7 +169,7 @@ def column_summary(df: DataFrame, vector: str) -> DataFrame:
 
 def distinct_index(df: DataFrame, column: str, into: str = "idx") -> DataFrame:
     """Distinct values with a 0-based index in value order."""
-    values = df.select(column).distinct()
+    values = materialise(df.select(column).distinct(), "distinct-values")
     return global_row_number(values, column, into).withColumn(into, F.col(into) - 1)
 
 

@@ -29,15 +29,32 @@ def join_struct(left: DataFrame, right: DataFrame, on: Column, names=("l", "r"))
     return joined.select(F.struct(f"{a}.*").alias(a), F.struct(f"{b}.*").alias(b))
 
 
+def _thinned(keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """The distinct keys, up to 16 copies of each.
+
+    Copies of a key are folded within each task, so a key repeated very often does not
+    meet in one task.  Grouping by a salt as well keeps the result from arriving
+    partitioned by the key alone: the join then has a shuffle of its own on both sides,
+    without which adaptive execution cannot split a skewed left side.
+    """
+    names = [on] if isinstance(on, str) else list(on)
+    salt = F.pmod(F.spark_partition_id(), F.lit(16)).alias("_salt")
+    return keys.select(*names, salt).distinct().drop("_salt")
+
+
 def join_semi(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of the left table whose key occurs in the right one (IN from a query)."""
-    return left.join(right, on, "left_semi")
+    return left.join(_thinned(right, on), on, "left_semi")
 
 
 def join_anti_flagged(
     left: DataFrame, flags: DataFrame, on: str, flag: str = "flag"
 ) -> DataFrame:
-    """Rows whose key is not flagged true; unknown keys and null flags stay."""
+    """Rows whose key is not flagged true; unknown keys and null flags stay.
+
+    ``flags`` has one row per key.  Nothing is hinted: a list whose size is known to be
+    small (a stored table) is broadcast, also to a stream.
+    """
     return left.join(flags.filter(F.col(flag)), on, "left_anti")
 
 

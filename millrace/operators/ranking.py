@@ -4,6 +4,8 @@ A window without a partition key runs in one task.  Here the order column is cut
 into ranges, each range is numbered by itself, and a small table of per-range
 totals supplies the offset.  The cut points only decide how work is shared out:
 the result is exact for any of them.
+
+The input is read several times: store it first if it is costly to compute.
 """
 
 from __future__ import annotations
@@ -40,7 +42,8 @@ def _cut_points(df: DataFrame, column: str, ranges: int) -> list:
 def range_number(df: DataFrame, column: str, ranges: int | None = None) -> DataFrame:
     """Add ``_range``: the number of the value range a row falls in, growing with the value."""
     if ranges is None:
-        ranges = min(MAX_RANGES, df.count() // ROWS_PER_RANGE + 1)
+        at_least = df.sparkSession.sparkContext.defaultParallelism
+        ranges = min(MAX_RANGES, max(at_least, df.count() // ROWS_PER_RANGE + 1))
     points = _cut_points(df, column, ranges)
     if not points:
         return df.withColumn("_range", F.lit(0))
@@ -78,7 +81,11 @@ def global_row_number(
     tie_break: Sequence[str] = (),
     ranges: int | None = None,
 ) -> DataFrame:
-    """Number all rows from 1 in ascending order of a column."""
+    """Number all rows from 1 in ascending order of a column.
+
+    Meant for a column with (nearly) unique values: a value shared by many rows keeps
+    them in one range, and only ``tie_break`` decides their order.
+    """
     cut = _with_offsets(range_number(df, order, ranges), {"_before": F.count("*")})
     place = F.row_number().over(Window.partitionBy("_range").orderBy(order, *tie_break))
     return cut.withColumn(into, F.col("_before") + place).drop("_range", "_before")

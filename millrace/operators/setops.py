@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 
 
 def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows of the left table that the right one does not have."""
-    return left.subtract(right)
+    """Distinct rows of the left table that the right one does not have.
+
+    Both sides lose their repeats first, so a row repeated very often is folded within
+    the tasks and does not meet in one of them in the join.
+    """
+    return left.distinct().subtract(right.distinct())
 
 
 def intersect_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows both tables have."""
-    return left.intersect(right)
+    """Distinct rows both tables have; repeats are folded first, as above."""
+    return left.distinct().intersect(right.distinct())
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

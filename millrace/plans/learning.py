@@ -164,19 +164,19 @@ def classification_accuracy(spark, base):
          h AS (SELECT count(*) FILTER (WHERE guess = 1 AND label = 1)::DOUBLE AS tp,
                count(*) FILTER (WHERE guess = 1 AND label = 0)::DOUBLE AS fp,
                sum(label)::DOUBLE AS p, (count(*) - sum(label))::DOUBLE AS n FROM graded)
-         SELECT round(sum(neg * (2 * tp - pos) / 2.0 / (p * n)), 6) AS roc_area,
-                round(sum(pos * (prec + prev) / 2.0 / p), 6) AS pr_area,
-                (SELECT round((tp / p - fp / n + 1) / 2, 6) FROM h) AS roc_area_hard,
-                (SELECT round(tp / p * tp / (tp + fp) +
-                        (1 - tp / p) * (tp / (tp + fp) + p / (p + n)) / 2, 6) FROM h) AS pr_area_hard
-         FROM q""",
+         SELECT 'score' AS predicted_by, round(sum(neg * (2 * tp - pos) / 2.0 / (p * n)), 6) AS roc_area,
+                round(sum(pos * (prec + prev) / 2.0 / p), 6) AS pr_area FROM q UNION ALL
+         SELECT 'guess', round((tp / p - fp / n + 1) / 2, 6), round(tp / p * tp / (tp + fp) +
+                (1 - tp / p) * (tp / (tp + fp) + p / (p + n)) / 2, 6) FROM h""",
 )
 def binary_curve_metrics(spark, base):
     graded = _graded(spark, base)
-    soft = metrics.curve_areas(graded, "score", "label").withColumn("_one", F.lit(1))
-    hard = metrics.curve_areas_hard(graded, "guess", "label").withColumn("_one", F.lit(1))
-    names = ("roc_area", "pr_area", "roc_area_hard", "pr_area_hard")
-    return soft.join(hard, "_one").select(*[F.round(n, 6).alias(n) for n in names])
+    soft = metrics.curve_areas(graded, "score", "label")
+    hard = metrics.curve_areas_hard(graded, "guess", "label")
+    both = soft.withColumn("predicted_by", F.lit("score")).unionByName(
+        hard.withColumn("predicted_by", F.lit("guess"))
+    )
+    return both.withColumns({n: F.round(n, 6) for n in ("roc_area", "pr_area")})
 
 
 @query(

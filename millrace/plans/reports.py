@@ -36,12 +36,12 @@ def news_daily_page_uv(spark, base):
     "r03_news_register_rate",
     NEWS + "SELECT date, registrations, anonymous_views, "
     "round(registrations / nullif(anonymous_views, 0), 2) AS rate FROM "
-    "(SELECT date, count(*) FILTER (WHERE action = 'register') AS registrations, "
+    "(SELECT date, count(*) FILTER (WHERE action = 'signup') AS registrations, "
     "count(*) FILTER (WHERE action = 'view' AND user_id IS NULL) AS anonymous_views "
     "FROM news_access GROUP BY date)",
 )
 def news_register_rate(spark, base):
-    return news.register_rate(I.news_access(spark, base))
+    return news.register_rate(I.news_access(spark, base), register="signup")
 
 
 @query(

@@ -103,6 +103,10 @@ def _fold_visits(frame: pd.DataFrame) -> pd.DataFrame:
     return grouped.agg(n=("value", "size"), total=("value", "sum"), errors=("errors", "sum"))
 
 
+def _merge_visits(frame: pd.DataFrame) -> pd.DataFrame:
+    return frame.groupby("user_id", as_index=False).sum()
+
+
 def _add_visits(old: tuple | None, new: pd.DataFrame) -> tuple | None:
     n, total, errors = old or (0, 0.0, 0)
     return (
@@ -123,6 +127,7 @@ def _user_state(spark, base, step, label):
         visits,
         "user_id",
         _fold_visits,
+        _merge_visits,
         "user_id long, n long, total double, errors long",
         step,
         VISIT_STATE,
@@ -279,7 +284,10 @@ def stream_batch_metrics(spark, base):
     return closed.withColumn("revenue", F.round("revenue", 2)).drop("users")
 
 
-@query("t16_stream_sink_files", "SELECT event_id, event_type, value FROM events WHERE value >= 100")
+@query("t16_stream_sink_files", 
+    "SELECT event_id, event_type, value, kind FROM events, (VALUES ('json'), ('orc'), ('csv')) t(kind) "
+    "WHERE value >= 100",
+)
 def stream_sink_files(spark, base):
     events = sources.stream_table(spark, base, "events").select("event_id", "event_type", "value")
     large = events.filter("value >= 100")
@@ -287,8 +295,11 @@ def stream_sink_files(spark, base):
     for kind in ("json", "orc", "csv"):
         sinks.finish(sinks.to_files(large, f"{path}/{kind}", source=kind))
     read = spark.read.schema(large.schema)
-    same = read.json(f"{path}/json").intersect(read.orc(f"{path}/orc"))
-    return same.intersect(read.csv(f"{path}/csv"))
+    parts = [
+        read.format(kind).load(f"{path}/{kind}").withColumn("kind", F.lit(kind))
+        for kind in ("json", "orc", "csv")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("t17_stream_sink_foreach", "SELECT event_id, event_type, value FROM events WHERE value >= 100")
@@ -357,8 +368,8 @@ def stream_ops_lifted(spark, base):
     "SELECT DISTINCT user_id, event_type FROM events",
 )
 def stream_distinct(spark, base):
-    pairs = sources.stream_table(spark, base, "events").select("user_id", "event_type").distinct()
-    return sinks.run_append(pairs, scratch_path(spark, "t20-distinct"))
+    pairs = sources.stream_table(spark, base, "events").select("user_id", "event_type")
+    return sinks.run_append(state.distinct_rows(pairs), scratch_path(spark, "t20-distinct"))
 
 
 @query(
@@ -379,14 +390,11 @@ def stream_join(spark, base):
         "l_shipdate",
         "1 day",
     )
-    joined = orders.join(
-        lines,
-        F.expr(
-            "o_orderkey = l_orderkey AND l_shipdate >= o_orderdate "
-            "AND l_shipdate <= o_orderdate + INTERVAL 121 DAYS"
-        ),
-    ).select("o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    return sinks.run_append(joined, scratch_path(spark, "t20-join"))
+    joined = windows.join_within(
+        orders, lines, "o_orderkey", "l_orderkey", "o_orderdate", "l_shipdate", "121 days"
+    )
+    columns = ("o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return sinks.run_append(joined.select(*columns), scratch_path(spark, "t20-join"))
 
 
 @query("t21_stream_checkpoint_restart", PURCHASES_SQL)

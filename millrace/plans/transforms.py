@@ -55,12 +55,12 @@ def filter_between(spark, base):
     "p05_filter_null",
     I.with_tables("news_access")
     + "SELECT event_id, page_id, action FROM news_access "
-    "WHERE (user_id IS NULL AND action = 'view') OR (user_id IS NOT NULL AND action = 'register')",
+    "WHERE (user_id IS NULL AND action = 'view') OR (user_id IS NOT NULL AND action = 'signup')",
 )
 def filter_null(spark, base):
     news = I.news_access(spark, base)
     anonymous = P.filter_null(news, "user_id", action="view")
-    known = P.filter_null(news, "user_id", is_null=False, action="register")
+    known = P.filter_null(news, "user_id", is_null=False, action="signup")
     return anonymous.unionByName(known).select("event_id", "page_id", "action")
 
 
@@ -228,9 +228,9 @@ def decode_flags(spark, base):
 )
 def repartition_coalesce(spark, base):
     orders = read_table(spark, base, "orders").select("o_orderpriority")
-    return P.relayout(orders, spread=7, merge=3).groupBy("o_orderpriority").agg(
-        F.count("*").alias("n")
-    )
+    parts = orders.rdd.getNumPartitions()
+    again = P.relayout(orders, spread=2 * parts, merge=parts)
+    return again.groupBy("o_orderpriority").agg(F.count("*").alias("n"))
 
 
 @query(

@@ -36,12 +36,14 @@ def daily_page_uv(log: DataFrame, date: str | None = None, count_null: bool = Tr
     return visitors.withColumnRenamed("n_distinct", "uv").orderBy(F.desc("uv"), "date", "page_id")
 
 
-def register_rate(log: DataFrame, date: str | None = None) -> DataFrame:
-    """Registrations per anonymous view, by day; null without anonymous views."""
+def register_rate(
+    log: DataFrame, date: str | None = None, register: str = "register"
+) -> DataFrame:
+    """Registrations (actions named ``register``) per anonymous view, by day; null without anonymous views."""
     rates = A.ratio_of_counts(
         _day(log, date),
         ["date"],
-        F.col("action") == "register",
+        F.col("action") == register,
         (F.col("action") == "view") & F.col("user_id").isNull(),
     )
     return rates.select(

@@ -26,9 +26,13 @@ def batch_metrics(purchases: DataFrame) -> DataFrame:
     )
     counts = purchases.groupBy("product").agg(F.count("*").alias("n"))
     popular = counts.orderBy(F.desc("n"), "product").limit(1)
-    best = popular.select(
-        F.lit(1).alias("_one"),
-        F.col("product").alias("top_product"),
-        F.col("n").alias("top_purchases"),
+    best = popular.select(F.struct("product", "n")).scalar()
+    return (
+        totals.filter(F.col("purchases") > 0)
+        .withColumn("_best", best)
+        .select(
+            *totals.columns,
+            F.col("_best.product").alias("top_product"),
+            F.col("_best.n").alias("top_purchases"),
+        )
     )
-    return totals.withColumn("_one", F.lit(1)).join(best, "_one").drop("_one")

@@ -35,6 +35,17 @@ def shared_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write a derived table to the shared folder and read it back.
+
+    It is computed once, survives lost executors, and has a known size, by which the
+    optimiser decides whether a join may broadcast it.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path for one job's output under the shared folder."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"

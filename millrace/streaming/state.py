@@ -9,23 +9,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-Combine = Callable[[pd.DataFrame], pd.DataFrame]
+from millrace.functions.folding import Fold, fold_batches
+
 Step = Callable[[tuple | None, pd.DataFrame], tuple | None]
 
 
 def update_state(
     df: DataFrame,
     key: str,
-    combine: Combine,
+    combine: Fold,
+    merge: Fold,
     combined: str,
     step: Step,
     state: T.StructType,
 ) -> DataFrame:
     """State per key, updated by a function for every batch with rows of that key.
 
-    ``combine`` folds raw rows to (about) one row per key with schema ``combined``; it
-    runs in the reading tasks, so a hot key is shuffled as one row per Arrow batch.
-    ``step`` gets the old state (or None) and those rows and returns the new state, or
+    ``combine`` folds raw rows to one row per key with schema ``combined`` and ``merge``
+    folds such rows again; both run in the reading tasks, so a hot key is shuffled as
+    about one row per task.  ``step`` gets the old state (or None) and those rows and returns the new state, or
     None to forget the key.  The output has the key, the state and ``alive``; run it in
     update mode.  A forgotten key appears once more with ``alive`` false.
     """
@@ -35,9 +37,6 @@ def update_state(
         [T.StructField(key, key_type), *state.fields, T.StructField("alive", T.BooleanType())]
     )
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return (combine(batch) for batch in batches if len(batch))
-
     def advance(
         keys: tuple, batches: Iterator[pd.DataFrame], held: GroupState
     ) -> Iterator[pd.DataFrame]:
@@ -58,9 +57,19 @@ def update_state(
             yield pd.DataFrame([(keys[0], *current, True)], columns=output.fieldNames())
 
     return (
-        df.mapInPandas(fold, combined)
+        df.mapInPandas(fold_batches(combine, merge), combined)
         .groupBy(key)
         .applyInPandasWithState(
             advance, output, state, "update", GroupStateTimeout.NoTimeout
         )
     )
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """Rows of a stream that have not occurred before; run it in append mode.
+
+    Repeats within a task are dropped before the shuffle, so a row that makes up much
+    of the input does not burden one task.
+    """
+    thin = fold_batches(pd.DataFrame.drop_duplicates, pd.DataFrame.drop_duplicates)
+    return df.mapInPandas(thin, df.schema).distinct()

@@ -60,3 +60,32 @@ def chained_peak(
     ).select(
         F.col("window.start").alias("start"), F.col("window.end").alias("end"), "peak", "total"
     )
+
+
+def join_within(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    left_time: str,
+    right_time: str,
+    span: str,
+    salts: int = 8,
+) -> DataFrame:
+    """Join two streams on a key where the right row is at most ``span`` later.
+
+    Both need a watermark; the time bound lets old state go.  A stream join cannot
+    split a skewed key by itself, so right rows are spread over ``salts`` parts and
+    left rows, few per key, are sent to each part.
+    """
+    spread = right.withColumn(
+        "_right_salt", F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")
+    )
+    copied = left.withColumn("_left_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    condition = (
+        (F.col(left_key) == F.col(right_key))
+        & (F.col("_left_salt") == F.col("_right_salt"))
+        & (F.col(right_time) >= F.col(left_time))
+        & (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {span}"))
+    )
+    return copied.join(spread, condition).drop("_left_salt", "_right_salt")
