@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import PCA, PCAModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.linalg import Vectors as OldVectors
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +38,8 @@ def svd_topk(df: DataFrame, vector: str, k: int) -> tuple[DataFrame, DataFrame]:
     gathered.  ``vector`` is an array column; centre it first to get the principal
     components as right vectors.
     """
-    rows = df.select(F.col(vector).cast("array<double>").alias("v")).rdd.map(
-        lambda r: OldVectors.dense(r["v"])
-    )
-    svd = RowMatrix(rows).computeSVD(k, computeU=False)
+    vectors = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("v"))
+    svd = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeSVD(k)
     spark = df.sparkSession
     values = spark.createDataFrame(
         [(j, float(s)) for j, s in enumerate(svd.s)], "j long, s double"

@@ -44,7 +44,7 @@ def _thinned(keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
 
 def join_semi(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of the left table whose key occurs in the right one (IN from a query)."""
-    return left.join(_thinned(right, on), on, "left_semi")
+    return left.join(_thinned(right, on), on, "left_semi").select(*left.columns)
 
 
 def join_anti_flagged(
@@ -55,7 +55,7 @@ def join_anti_flagged(
     ``flags`` has one row per key.  Nothing is hinted: a list whose size is known to be
     small (a stored table) is broadcast, also to a stream.
     """
-    return left.join(flags.filter(F.col(flag)), on, "left_anti")
+    return left.join(flags.filter(F.col(flag)), on, "left_anti").select(*left.columns)
 
 
 def join_outer_default(
