@@ -11,15 +11,14 @@ from pyspark.sql import functions as F
 
 from millrace.operators.joins import is_small
 from millrace.operators.ranking import global_row_number
-from millrace.operators.transforms import words
+from millrace.operators.transforms import explode_words
 from millrace.session import materialise
 
 
 def word_count(df: DataFrame, text: str, separator: str = " ") -> DataFrame:
     """Occurrences of each non-empty token.  Counts are combined before the shuffle."""
-    return df.select(F.explode(words(text, separator)).alias("word")).groupBy("word").agg(
-        F.count("*").alias("n")
-    )
+    tokens = explode_words(df, text, separator=separator)
+    return tokens.groupBy("word").agg(F.count("*").alias("n"))
 
 
 def aggregate_by_key(df: DataFrame, keys: Sequence[str] | str, **aggregates: Column) -> DataFrame:
@@ -67,16 +66,17 @@ def group_values(
         rows.groupBy(key)
         .agg(F.count("*").alias("_n"))
         .filter(F.col("_n") > chunk_size)
-        .select(key, F.ceil(F.col("_n") / chunk_size).alias("_chunks")),
+        .select(F.col(key).alias("_key"), F.ceil(F.col("_n") / chunk_size).alias("_chunks")),
         "large-keys",
     )
+    same_key = F.col(key).eqNullSafe(F.col("_key"))
     if is_small(large):
-        counted = rows.join(F.broadcast(large), key, "left")
+        counted = rows.join(F.broadcast(large), same_key, "left")
     else:
         part = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
         copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
         counted = rows.withColumn("_salt", part).join(
-            large.withColumn("_salt", copies), [key, "_salt"], "left"
+            large.withColumn("_copy", copies), same_key & (F.col("_salt") == F.col("_copy")), "left"
         )
     chunk = F.coalesce(F.pmod(F.col(spread), F.col("_chunks")), F.lit(0).cast("long"))
     return (

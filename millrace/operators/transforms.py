@@ -66,10 +66,16 @@ def map_format_row(df: DataFrame, template: str, into: str = "line") -> DataFram
     return df.select(F.concat(*parts).alias(into))
 
 
-def words(text: Column | str, separator: str = " ") -> Column:
-    """The non-empty tokens between separators (a regular expression)."""
-    column = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(column, separator), lambda w: w != "")
+def explode_words(
+    df: DataFrame, text: str, *keep: str, separator: str = " ", into: str = "word"
+) -> DataFrame:
+    """One row per non-empty token between separators (a regular expression).
+
+    Empty tokens are dropped after the explode: that keeps the whole step in generated
+    code, which a filter inside the array would leave.
+    """
+    tokens = df.select(*keep, F.explode(F.split(text, separator)).alias(into))
+    return tokens.filter(F.col(into) != "")
 
 
 def flat_map(df: DataFrame, elements: Column, into: str, *keep: str) -> DataFrame:

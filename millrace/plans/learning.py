@@ -247,7 +247,7 @@ def als_fit(spark, base):
 def recommend_for_user(spark, base):
     ratings = I.rating(spark, base)
     model = recommend.als_fit(ratings, **QUICK)
-    chosen = ratings.filter("user_no = 789").select("user_no").distinct()
+    chosen = ratings.filter("user_no = 89").select("user_no").distinct()
     return recommend.recommend_for_users(model, chosen, 10)
 
 
@@ -266,7 +266,7 @@ def als_predict_pairs(spark, base):
 @query("l19_similar_items")
 def similar_items(spark, base):
     model = recommend.als_fit(I.rating(spark, base), **QUICK)
-    return recommend.similar_items(model.itemFactors, 567, 10)
+    return recommend.similar_items(model.itemFactors, 67, 10)
 
 
 def _rankings(spark, base):

@@ -91,11 +91,11 @@ def topn_nearest_per_group(spark, base):
     "w06_topn_of_key",
     I.with_tables("rating")
     + "SELECT p_name, item, round(rating, 4) AS rating FROM rating JOIN part ON item = p_partkey "
-    "WHERE user_no = 789 ORDER BY rating.rating DESC, item LIMIT 10",
+    "WHERE user_no = 89 ORDER BY rating.rating DESC, item LIMIT 10",
 )
 def topn_of_key(spark, base):
     top = W.topn_of_key(
-        I.rating(spark, base), "user_no", 789, [F.desc("rating"), F.asc("item")], 10
+        I.rating(spark, base), "user_no", 89, [F.desc("rating"), F.asc("item")], 10
     )
     part = read_table(spark, base, "part").select("p_partkey", "p_name")
     return top.join(part, F.col("item") == F.col("p_partkey")).select(

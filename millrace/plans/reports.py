@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.transforms import words
+from millrace.operators.transforms import explode_words
 from millrace.plans import inputs as I
 from millrace.plans.registry import query
 from millrace.reports import news, sales, staff
@@ -124,12 +124,8 @@ def daily_top3_keyword(spark, base):
         GROUP BY conv_id, word)) WHERE rank <= 3""",
 )
 def top3_keyword_text(spark, base):
-    said = read_table(spark, base, "conversations").select(
-        F.col("conv_id").alias("date"),
-        F.explode(words("text")).alias("word"),
-        F.col("turn").alias("user_id"),
-    )
-    return news.daily_top_keywords(said)
+    said = explode_words(read_table(spark, base, "conversations"), "text", "conv_id", "turn")
+    return news.daily_top_keywords(said.toDF("date", "user_id", "word"))
 
 
 @query(

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.transforms import words
+from millrace.operators.transforms import explode_words
 from millrace.plans import inputs as I
 from millrace.plans.registry import query
 from millrace.reports import clicks, sales
@@ -60,8 +60,7 @@ def stream_source_files(spark, base):
 
 
 def _document_words(spark, base):
-    documents = sources.stream_table(spark, base, "documents")
-    return documents.select(F.explode(words("text")).alias("word"))
+    return explode_words(sources.stream_table(spark, base, "documents"), "text")
 
 
 WORDS_SQL = """(SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word

@@ -106,7 +106,7 @@ def map_format_row(spark, base):
 )
 def flat_map(spark, base):
     part = read_table(spark, base, "part")
-    tokens = P.flat_map(part, P.words("p_name"), "token", "p_partkey")
+    tokens = P.explode_words(part, "p_name", "p_partkey", into="token")
     departments = I.department(spark, base).withColumn("id", F.col("id").cast("long"))
     twice = F.array(*[F.concat("dep_name", F.lit(f"_{n}")) for n in (1, 2)])
     derived = P.flat_map(departments, twice, "token", "id").withColumnRenamed("id", "p_partkey")
@@ -198,11 +198,11 @@ def assemble_features(spark, base):
 
 @query(
     "p15_lookup_key",
-    "SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = 789",
+    "SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = 89",
 )
 def lookup_key(spark, base):
     orders = read_table(spark, base, "orders")
-    return P.lookup_key(orders, "o_custkey", 789).select("o_orderkey", "o_totalprice")
+    return P.lookup_key(orders, "o_custkey", 89).select("o_orderkey", "o_totalprice")
 
 
 @query(

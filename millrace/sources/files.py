@@ -124,7 +124,13 @@ def sink_parquet(
     mode: str = "append",
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Write or append Parquet, optionally into ``key=value`` folders."""
+    """Write or append Parquet, optionally into ``key=value`` folders.
+
+    For folders the rows are first rebalanced by key: small folders get few files, and
+    adaptive execution splits a large one over several tasks.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 

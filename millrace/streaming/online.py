@@ -56,21 +56,27 @@ class OnlineLinearModels:
         )
         rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/weights/version={version}")
 
-    def _descend(self, batch: DataFrame, weights: Weights) -> Weights:
+    def _descend(self, batch: DataFrame, weights: Weights) -> tuple[Weights, dict[str, float]]:
+        """The weights after the batch, and each model's mean squared error before it."""
+        errors: dict[str, float] = {}
         for i in range(1, self.iterations + 1):
-            def gradient(model: str) -> Column:
-                error = predict(F.col("features"), weights[model]) - F.col("label")
-                scaled = F.transform("features", lambda x: x * error)
-                return vector_to_array(Summarizer.mean(array_to_vector(scaled))).alias(model)
-
-            row = batch.agg(F.count("*").alias("_n"), *[gradient(m) for m in weights]).first()
+            measures = []
+            for model, w in weights.items():
+                error = predict(F.col("features"), w) - F.col("label")
+                scaled = array_to_vector(F.transform("features", lambda x: x * error))
+                measures += [
+                    vector_to_array(Summarizer.mean(scaled)).alias(model),
+                    F.avg(error * error).alias(f"_mse_{model}"),
+                ]
+            row = batch.agg(F.count("*").alias("_n"), *measures).first()
             if row["_n"] == 0:
-                return weights
+                break
+            errors = errors or {m: row[f"_mse_{m}"] for m in weights}
             weights = {
                 m: [w - self.steps[m] / i**0.5 * g for w, g in zip(weights[m], row[m])]
                 for m in weights
             }
-        return weights
+        return weights, errors
 
     def train_on(
         self, stream: DataFrame, keep: Sequence[str] = (), trigger: dict | None = None
@@ -84,24 +90,25 @@ class OnlineLinearModels:
 
         def run(batch: DataFrame, batch_id: int) -> None:
             spark = batch.sparkSession
-            rows = batch.select(*keep, "label", "features").persist()
+            rows = batch.select(*keep, "label", "features")
+            if self.iterations > 1:
+                rows = rows.persist()
             try:
-                before = self.weights(spark, batch_id)
-                squares = [
-                    F.avg(F.pow(predict(F.col("features"), w) - F.col("label"), F.lit(2))).alias(m)
-                    for m, w in before.items()
-                ]
-                errors = rows.agg(*squares).unpivot([], list(before), "model", "mse")
-                errors.withColumn("rmse", F.sqrt("mse")).write.mode("overwrite").parquet(
-                    f"{self.path}/errors/batch={batch_id}"
-                )
-                after = self._descend(rows, before)
-                self._store(spark, batch_id + 1, after)
+                after, errors = self._descend(rows, self.weights(spark, batch_id))
+                if not errors:
+                    self._store(spark, batch_id + 1, after)
+                    return
+                spark.createDataFrame(
+                    [(m, e, e**0.5) for m, e in errors.items()],
+                    "model string, mse double, rmse double",
+                ).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/errors/batch={batch_id}")
                 rows.select(
                     *keep, *[predict(F.col("features"), w).alias(m) for m, w in after.items()]
                 ).write.mode("overwrite").parquet(f"{self.path}/predictions/batch={batch_id}")
+                self._store(spark, batch_id + 1, after)
             finally:
-                rows.unpersist()
+                if self.iterations > 1:
+                    rows.unpersist()
 
         return _writer(stream, f"{self.path}/query", "append", trigger).foreachBatch(run).start()
 

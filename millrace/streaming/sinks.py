@@ -141,11 +141,12 @@ class RowFileWriter:
 
 
 def _file_system(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a path; HDFS needs its client library on the workers."""
     if path.startswith("file:"):
         path = path[len("file:"):]
     if "://" not in path:
         return pyarrow.fs.LocalFileSystem(), "/" + path.lstrip("/")
-    return pyarrow.fs.FileSystem.from_uri(path)
+    return pyarrow.fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
 def to_foreach(df: DataFrame, path: str, trigger: dict | None = None) -> StreamingQuery:

@@ -137,8 +137,10 @@ def test_row_formatting_and_flat_map(spark, collected):
     assert [r.line for r in P.map_format_row(src, "Key: {key}, Value: {value}").collect()] == [
         "Key: 0, Value: val_0", "Key: 2, Value: val_2"
     ]
-    tokens = P.flat_map(src, P.words(F.lit("a  b ")), "w", "key")
+    tokens = P.explode_words(src.withColumn("text", F.lit("a  b ")), "text", "key")
     assert collected(tokens) == [(0, "a"), (0, "b"), (2, "a"), (2, "b")]
+    twice = P.flat_map(src, F.array(F.lit(1), F.lit(2)), "n", "key")
+    assert collected(twice) == [(0, 1), (0, 2), (2, 1), (2, 2)]
 
 
 def test_partition_numbers(spark):

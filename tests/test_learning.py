@@ -140,12 +140,23 @@ def test_top_scored_items_match_brute_force(spark, monkeypatch):
     u, v = RNG.normal(size=(23, 3)), RNG.normal(size=(17, 3))
     users = spark.createDataFrame([(f"u{i:02}", list(map(float, r))) for i, r in enumerate(u)], "user string, f array<double>")
     items = spark.createDataFrame([(i, list(map(float, r))) for i, r in enumerate(v)], "item int, f array<double>")
-    monkeypatch.setattr(recommend, "BLOCK", 5)
-    got = recommend.top_scored_items(users, items, "user", "item", "f", 4)
-    ranked = {(r.user, r["rank"]): r.item for r in got.collect()}
+    monkeypatch.setattr(recommend, "ITEM_BLOCK", 5)
+    monkeypatch.setattr(recommend, "USER_CHUNK", 7)
+    monkeypatch.setattr(recommend, "SLICE", 3)
     scores = u @ v.T
-    for i in range(23):
-        assert [ranked[(f"u{i:02}", n)] for n in range(1, 5)] == list(np.argsort(-scores[i])[:4])
+    for held in (100, 10):
+        monkeypatch.setattr(recommend, "MAX_ITEMS", held)
+        got = recommend.top_scored_items(users, items, "user", "item", "f", 4)
+        ranked = {(r.user, r["rank"]): r.item for r in got.collect()}
+        for i in range(23):
+            assert [ranked[(f"u{i:02}", n)] for n in range(1, 5)] == list(np.argsort(-scores[i])[:4])
+
+
+def test_equal_scores_go_to_the_smaller_item(spark, collected):
+    users = spark.createDataFrame([(1, [1.0])], "u int, f array<double>")
+    items = spark.createDataFrame([(i, [1.0]) for i in (9, 4, 7, 2)], "i int, f array<double>")
+    got = recommend.top_scored_items(users, items, "u", "i", "f", 2)
+    assert collected(got.select("rank", "i")) == [(1, 2), (2, 4)]
 
 
 def test_recommender(spark):
