@@ -73,6 +73,17 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
+    """Keys that hold more than ``share`` of the rows: fewer than ``1 / share`` of them.
+
+    Counts are combined per task; only the hot keys reach the driver.
+    """
+    counts = df.groupBy(key).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    hot = counts.filter(F.col(key).isNotNull() & (F.col("_n") > total * F.lit(share)))
+    return sorted(row[0] for row in hot.select(key).collect())
+
+
 def join_code_table(
     left: DataFrame,
     codes: DataFrame,

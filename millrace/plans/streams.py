@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.joins import hot_keys
 from millrace.operators.transforms import explode_words
 from millrace.plans import inputs as I
 from millrace.plans.registry import query
@@ -389,8 +390,10 @@ def stream_join(spark, base):
         "l_shipdate",
         "1 day",
     )
+    # What is hot is known from the lines stored so far.
+    hot = hot_keys(read_table(spark, base, "lineitem").select("l_orderkey"), "l_orderkey")
     joined = windows.join_within(
-        orders, lines, "o_orderkey", "l_orderkey", "o_orderdate", "l_shipdate", "121 days"
+        orders, lines, "o_orderkey", "l_orderkey", "o_orderdate", "l_shipdate", "121 days", hot
     )
     columns = ("o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     return sinks.run_append(joined.select(*columns), scratch_path(spark, "t20-join"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions import vectors as V
-from millrace.streaming.sinks import _writer
+from millrace.streaming.sinks import start
 
 Weights = dict[str, list[float]]
 
@@ -110,7 +110,9 @@ class OnlineLinearModels:
                 if self.iterations > 1:
                     rows.unpersist()
 
-        return _writer(stream, f"{self.path}/query", "append", trigger).foreachBatch(run).start()
+        return start(
+            stream, f"{self.path}/query", "append", trigger, lambda writer: writer.foreachBatch(run)
+        )
 
     def results(self, spark: SparkSession, kind: str) -> DataFrame:
         """All batches of ``errors`` or ``predictions``, with their number in ``batch``."""

@@ -8,16 +8,20 @@ checkpoint neither loses nor doubles rows.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow.fs
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.sources.jdbc import Database, sink_jdbc
 
+STATE_SETTING = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 BatchFunction = Callable[[DataFrame, int], DataFrame | None]
 
 
@@ -27,12 +31,38 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def _writer(df: DataFrame, path: str, mode: str, trigger: dict | None):
-    return (
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Let queries started inside keep their state in RocksDB, which overflows to disk.
+
+    The default provider holds all state in memory.  A provider named in the session
+    stays; a query reads the setting once, when it starts.
+    """
+    named = spark.conf.get(STATE_SETTING, None)
+    if named is None:
+        spark.conf.set(STATE_SETTING, ROCKSDB)
+    try:
+        yield
+    finally:
+        if named is None:
+            spark.conf.unset(STATE_SETTING)
+
+
+def start(
+    df: DataFrame,
+    path: str,
+    mode: str,
+    trigger: dict | None,
+    sink: Callable[[DataStreamWriter], DataStreamWriter],
+) -> StreamingQuery:
+    """Start a query with its checkpoint beside ``path``; by default over all input there is."""
+    writer = (
         df.writeStream.outputMode(mode)
         .option("checkpointLocation", f"{path}-checkpoint")
         .trigger(**(trigger or {"availableNow": True}))
     )
+    with _state_on_disk(df.sparkSession):
+        return sink(writer).start()
 
 
 def to_files(
@@ -43,8 +73,11 @@ def to_files(
     partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Append a stream to files; each batch is committed once, by a log beside the files."""
-    writer = _writer(df, path, "append", trigger).format(source).option("path", path)
-    return writer.partitionBy(*partition_by).start()
+
+    def files(writer: DataStreamWriter) -> DataStreamWriter:
+        return writer.format(source).option("path", path).partitionBy(*partition_by)
+
+    return start(df, path, "append", trigger, files)
 
 
 def per_batch(
@@ -65,7 +98,7 @@ def per_batch(
         if result is not None:
             result.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return _writer(df, path, mode, trigger).foreachBatch(run).start()
+    return start(df, path, mode, trigger, lambda writer: writer.foreachBatch(run))
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -151,17 +184,19 @@ def _file_system(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 def to_foreach(df: DataFrame, path: str, trigger: dict | None = None) -> StreamingQuery:
     """Write rows one by one through :class:`RowFileWriter`."""
-    return _writer(df, path, "append", trigger).foreach(RowFileWriter(path)).start()
+    return start(df, path, "append", trigger, lambda writer: writer.foreach(RowFileWriter(path)))
 
 
 def to_memory(df: DataFrame, name: str, path: str, mode: str = "complete") -> StreamingQuery:
     """Keep a result as an in-memory table of the driver; for small results and tests."""
-    return _writer(df, path, mode, None).format("memory").queryName(name).start()
+    return start(df, path, mode, None, lambda writer: writer.format("memory").queryName(name))
 
 
 def to_console(df: DataFrame, path: str, mode: str = "append", rows: int = 20) -> StreamingQuery:
     """Print every batch; for trials."""
-    return _writer(df, path, mode, None).format("console").option("numRows", rows).start()
+    return start(
+        df, path, mode, None, lambda writer: writer.format("console").option("numRows", rows)
+    )
 
 
 def to_jdbc(
@@ -182,7 +217,7 @@ def to_jdbc(
         target = table if mode == "complete" else f"{table}_{batch_id}"
         sink_jdbc(batch, database, target, mode="overwrite")
 
-    return _writer(df, path, mode, trigger).foreachBatch(run).start()
+    return start(df, path, mode, trigger, lambda writer: writer.foreachBatch(run))
 
 
 def progress_frame(query: StreamingQuery) -> DataFrame:

@@ -7,6 +7,8 @@ the watermark has passed its end; rows later than that are dropped.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,22 +72,30 @@ def join_within(
     left_time: str,
     right_time: str,
     span: str,
-    salts: int = 8,
+    hot_keys: Sequence = (),
+    salts: int = 32,
 ) -> DataFrame:
     """Join two streams on a key where the right row is at most ``span`` later.
 
     Both need a watermark; the time bound lets old state go.  A stream join cannot
-    split a skewed key by itself, so right rows are spread over ``salts`` parts and
-    left rows, few per key, are sent to each part.
+    split a skewed key by itself, so keys known to be hot (see
+    :func:`millrace.operators.joins.hot_keys`) are named: their right rows are spread
+    over ``salts`` parts and their left rows sent to each part.  All other rows keep
+    one copy and part 0.
     """
-    spread = right.withColumn(
-        "_right_salt", F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")
+    def is_hot(key: str) -> Column:
+        return F.coalesce(F.col(key).isin(list(hot_keys)), F.lit(False))
+
+    part = F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")
+    spread = right.withColumn("_right_part", F.when(is_hot(right_key), part).otherwise(0))
+    parts = F.when(is_hot(left_key), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+        F.array(F.lit(0))
     )
-    copied = left.withColumn("_left_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    copied = left.withColumn("_left_part", F.explode(parts))
     condition = (
         (F.col(left_key) == F.col(right_key))
-        & (F.col("_left_salt") == F.col("_right_salt"))
+        & (F.col("_left_part") == F.col("_right_part"))
         & (F.col(right_time) >= F.col(left_time))
         & (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {span}"))
     )
-    return copied.join(spread, condition).drop("_left_salt", "_right_salt")
+    return copied.join(spread, condition).drop("_left_part", "_right_part")

@@ -54,6 +54,11 @@ def test_small_top_n_is_cut_before_the_shuffle(skewed):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
+def test_hot_keys(skewed):
+    assert J.hot_keys(skewed, "k", 0.3) == [0]
+    assert J.hot_keys(skewed, "id") == []
+
+
 def test_semi_join_keys_are_folded_before_their_shuffle(skewed, spark, collected):
     left = spark.range(60).withColumnRenamed("id", "k")
     got = J.join_semi(left, skewed.select("k"), "k")

@@ -170,7 +170,7 @@ def test_distinct_and_union_of_streams(spark, log, tmp_path, collected):
     assert twice.agg(F.sum("count")).first()[0] == 400
 
 
-def test_stream_join_equals_batch_for_any_salting(spark, log, tmp_path, collected):
+def test_stream_join_equals_batch_with_and_without_hot_keys(spark, log, tmp_path, collected):
     folder, table = log
     def sides(df):
         left = df.filter("word = 'a'").select(F.col("user_id").alias("u"), F.col("ts").alias("t1"))
@@ -182,13 +182,22 @@ def test_stream_join_equals_batch_for_any_salting(spark, log, tmp_path, collecte
     )
     expected = collected(left.join(right, condition))
     assert expected
-    for salts in (1, 4):
+    for hot in ([], [0, 3]):
         a, b = sides(read(spark, folder))
         joined = windows.join_within(
             a.withWatermark("t1", "1 minute"), b.withWatermark("t2", "1 minute"),
-            "u", "user_id", "t1", "t2", "20 seconds", salts,
+            "u", "user_id", "t1", "t2", "20 seconds", hot, salts=4,
         )
-        assert collected(sinks.run_append(joined, str(tmp_path / f"j{salts}"))) == expected
+        assert collected(sinks.run_append(joined, str(tmp_path / f"j{len(hot)}"))) == expected
+
+
+def test_state_provider_is_set_only_while_starting(spark, log, tmp_path):
+    folder, _ = log
+    counts = read(spark, folder).groupBy("word").count()
+    sinks.run_complete(counts, str(tmp_path / "a"))
+    assert spark.conf.get(sinks.STATE_SETTING, None) is None
+    operators = sinks.finish(sinks.per_batch(counts, str(tmp_path / "b"), mode="update")).lastProgress
+    assert "rocksdb" in json.dumps(operators["stateOperators"][0]["customMetrics"]).lower()
 
 
 def test_chained_windows(spark, log, tmp_path):
