@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from millrace.reports import clicks
 from millrace.sources.jdbc import Database
-from millrace.streaming import sinks, sources, state, windows
+from millrace.streaming import online, sinks, sources, state, windows
 from millrace.streaming.online import OnlineLinearModels
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -269,7 +269,9 @@ def descend(weights, x, y, step):
     return weights - step * ((x @ weights - y)[:, None] * x).mean(axis=0)
 
 
-def test_online_models_follow_gradient_descent(spark, tmp_path):
+@pytest.mark.parametrize("written_out", [64, 1])
+def test_online_models_follow_gradient_descent(spark, tmp_path, monkeypatch, written_out):
+    monkeypatch.setattr(online, "WRITTEN_OUT", written_out)
     rng = np.random.default_rng(0)
     folder = str(tmp_path / "points")
     batches = []
