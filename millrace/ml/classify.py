@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
@@ -19,6 +19,8 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.ml.parallel import run_all
+
 
 def logistic_regression(iterations: int = 10, reg: float = 0.0) -> LogisticRegression:
     """Logistic regression with an L2 penalty."""
@@ -83,7 +85,7 @@ def area_under_roc(scored: DataFrame, hard: bool = True) -> float:
 
 
 def param_sweep(
-    train: DataFrame, estimators: Iterable[tuple[str, float, Estimator]]
+    train: DataFrame, estimators: Sequence[tuple[str, float, Estimator]], parallelism: int = 4
 ) -> DataFrame:
     """Area under ROC on the training rows for each ``(parameter, value, estimator)``.
 
@@ -91,12 +93,13 @@ def param_sweep(
     """
     held = train.persist()
     try:
-        rows = [
-            (name, float(value), area_under_roc(fit_and_score(estimator, held)))
-            for name, value, estimator in estimators
-        ]
+        areas = run_all(
+            [lambda e=estimator: area_under_roc(fit_and_score(e, held)) for *_, estimator in estimators],
+            parallelism,
+        )
     finally:
         held.unpersist()
+    rows = [(name, float(value), area) for (name, value, _), area in zip(estimators, areas)]
     return train.sparkSession.createDataFrame(rows, "parameter string, value double, auc double")
 
 

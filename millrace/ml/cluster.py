@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors as V
+from millrace.ml.parallel import run_all
 from millrace.operators.joins import is_small
 from millrace.operators.topn import top_n_per_group
 
@@ -141,15 +142,18 @@ def wcss_by_k(
     """Cost of held-out rows for each number of clusters: ``(k, wcss)``."""
     held = train.persist()
     try:
-        parts = []
-        for k in ks:
-            model = kmeans_fit(held, k, iterations, runs, features=features)
-            near = nearest_centre(
-                test.select(vector_to_array(features).alias("_v")), "_v", centre_table(model, test)
-            )
-            parts.append(near.agg(F.lit(k).alias("k"), F.sum("distance").alias("wcss")))
+        models = run_all(
+            [lambda k=k: kmeans_fit(held, k, iterations, runs, features=features) for k in ks]
+        )
     finally:
         held.unpersist()
+    rows = test.select(vector_to_array(features).alias("_v"))
+    parts = [
+        nearest_centre(rows, "_v", centre_table(model, test)).agg(
+            F.lit(k).alias("k"), F.sum("distance").alias("wcss")
+        )
+        for k, model in zip(ks, models)
+    ]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

@@ -128,11 +128,19 @@ def map_partitions(spark, base):
     return P.map_partitions(rows, raise_salary, "emp_id long, raised double, name string")
 
 
-@query("p11_map_partitions_with_index")
+@query(
+    "p11_map_partitions_with_index",
+    I.with_tables("employee") + "SELECT emp_id, name, true AS is_numbered FROM employee",
+)
 def map_partitions_with_index(spark, base):
+    # Which partition a row is in depends on the cluster; that it has a number does not.
     names = I.employee(spark, base).select("emp_id", "name")
-    tagged = P.map_partitions_with_index(names)
-    return tagged.withColumn("tagged_name", F.concat_ws("_", "name", "partition_no"))
+    parts = names.rdd.getNumPartitions()
+    tagged = P.map_partitions_with_index(names).withColumn(
+        "tagged_name", F.concat_ws("_", "name", "partition_no")
+    )
+    number = F.substring_index("tagged_name", "_", -1).cast("int")
+    return tagged.select("emp_id", "name", number.between(1, parts).alias("is_numbered"))
 
 
 EMPLOYEE_TYPE = T.StructType(
