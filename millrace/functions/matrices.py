@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors as V
-from millrace.operators.joins import is_small
+from millrace.operators.joins import collect_small, is_small
 
 
 def to_entries(df: DataFrame, row_id: str, vector: str) -> DataFrame:
@@ -89,10 +89,11 @@ def multiply_rows(df: DataFrame, vector: str, right: DataFrame, into: str) -> Da
     read as a single-row subquery instead.
     """
     row = V.dense(F.col(vector))
-    if is_small(right):
-        entries = right.select("i", "j", "v").toPandas()
-        matrix = np.zeros((int(entries["i"].max()) + 1, int(entries["j"].max()) + 1))
-        matrix[entries["i"], entries["j"]] = entries["v"]
+    held = collect_small(right.select("i", "j", "v"))
+    if held:
+        i, j, v = (np.array(c) for c in zip(*held))
+        matrix = np.zeros((i.max() + 1, j.max() + 1))
+        matrix[i, j] = v
 
         @F.pandas_udf("array<double>")
         def product(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -94,6 +94,7 @@ def param_sweep(
     held = train.persist()
     try:
         areas = run_all(
+            train.sparkSession,
             [lambda e=estimator: area_under_roc(fit_and_score(e, held)) for *_, estimator in estimators],
             parallelism,
         )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import vectors as V
 from millrace.ml.parallel import run_all
-from millrace.operators.joins import is_small
+from millrace.operators.joins import collect_small, is_small
 from millrace.operators.topn import top_n_per_group
 
 # Centres sent to every task: 20 MB of doubles at 256 dimensions.
@@ -70,8 +70,9 @@ def nearest_centre(df: DataFrame, vector: str, centres: DataFrame) -> DataFrame:
     Equally near centres: the smaller cluster number wins.
     """
     row = V.dense(F.col(vector))
-    if is_small(centres, MAX_CENTRES):
-        held = centres.orderBy("cluster").collect()
+    held = collect_small(centres.select("cluster", "centre"), MAX_CENTRES)
+    if held:
+        held.sort(key=lambda c: c["cluster"])
         ids = np.array([c["cluster"] for c in held])
         points = np.array([c["centre"] for c in held])
 
@@ -143,7 +144,8 @@ def wcss_by_k(
     held = train.persist()
     try:
         models = run_all(
-            [lambda k=k: kmeans_fit(held, k, iterations, runs, features=features) for k in ks]
+            train.sparkSession,
+            [lambda k=k: kmeans_fit(held, k, iterations, runs, features=features) for k in ks],
         )
     finally:
         held.unpersist()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors as V
-from millrace.ml import recommend
+from millrace.ml import cluster, recommend
 from millrace.operators import joins as J
 from millrace.plans import inputs as I
 from millrace.plans.registry import query
@@ -149,13 +149,7 @@ def zip_by_row_id(spark, base):
 )
 def cross_score(spark, base):
     rows = I.vec(spark, base)
-    items = (
-        rows.select("label", F.posexplode("v").alias("j", "x"))
-        .groupBy("label", "j")
-        .agg(F.avg("x").alias("x"))
-        .groupBy(F.col("label").cast("long").alias("item"))
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "x"))), lambda e: e["x"]).alias("f"))
-    )
+    items = cluster.group_centres(rows, "label", "v").toDF("item", "f")
     users = rows.select(F.col("vec_id").alias("user_no"), F.col("v").alias("f"))
     top = recommend.top_scored_items(users, items, "user_no", "item", "f", 3)
     return top.withColumn("score", F.round("score", 6))

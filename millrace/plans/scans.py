@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import matrices as M
 from millrace.functions import scalars as S
+from millrace.operators import joins as J
 from millrace.plans import inputs as I
 from millrace.plans.registry import query
 from millrace.session import read_table, scratch_path
@@ -239,7 +240,7 @@ EVENT_CODES = [("click", 1), ("view", 2), ("purchase", 3), ("signup", 4), ("erro
 def frame_from_rows(spark, base):
     codes = tables.frame_from_rows(spark, EVENT_CODES, ["event_type", "code"])
     events = read_table(spark, base, "events").select("event_id", "event_type")
-    return events.join(codes, "event_type").select("event_id", "code")
+    return J.join_code_table(events, codes, "event_type").select("event_id", "code")
 
 
 @query(

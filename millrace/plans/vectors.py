@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import matrices as M
 from millrace.functions import vectors as V
+from millrace.ml import cluster
 from millrace.plans import inputs as I
 from millrace.plans.registry import query
 from millrace.session import read_table
@@ -295,12 +296,9 @@ def mat_triangular(spark, base):
 )
 def mat_multiply(spark, base):
     rows = I.vec(spark, base)
-    centre = (
-        rows.select("label", F.posexplode("v").alias("i", "x"))
-        .groupBy(F.col("i").cast("long").alias("i"), F.col("label").cast("long").alias("j"))
-        .agg(F.avg("x").alias("v"))
-    )
-    product = M.multiply_rows(rows.select("vec_id", "v"), "v", centre, "x")
+    # One column per label: the mean vector of its rows.
+    centres = M.transpose(M.to_entries(cluster.group_centres(rows, "label", "v"), "label", "centre"))
+    product = M.multiply_rows(rows.select("vec_id", "v"), "v", centres, "x")
     return _long(product, x=F.col("x")).withColumn("x", F.round("x", 6))
 
 
