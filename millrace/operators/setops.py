@@ -9,18 +9,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows of the left table that the right one does not have.
+def _sides(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The distinct rows of both tables with ``_left`` and ``_right``: who has them.
 
-    Both sides lose their repeats first, so a row repeated very often is folded within
-    the tasks and does not meet in one of them in the join.
+    One aggregate instead of a join after two distincts: repeats are folded within each
+    task, every distinct row is shuffled once, and nulls count as equal.
     """
-    return left.distinct().subtract(right.distinct())
+    names = left.columns
+    tagged = left.withColumns({"_left": F.lit(True), "_right": F.lit(False)}).union(
+        right.toDF(*names).withColumns({"_left": F.lit(False), "_right": F.lit(True)})
+    )
+    return tagged.groupBy(*names).agg(
+        F.max("_left").alias("_left"), F.max("_right").alias("_right")
+    )
+
+
+def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of the left table that the right one does not have."""
+    return _sides(left, right).filter(~F.col("_right")).drop("_left", "_right")
 
 
 def intersect_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows both tables have; repeats are folded first, as above."""
-    return left.distinct().intersect(right.distinct())
+    """Distinct rows both tables have."""
+    return _sides(left, right).filter("_left AND _right").drop("_left", "_right")
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from millrace.operators import sampling as X
 from millrace.operators.topn import top_n_per_group
 from millrace.plans import inputs as I
 from millrace.plans.registry import query
-from millrace.session import read_table, scratch_path
+from millrace.session import materialise, read_table, scratch_path
 
 # Rank and iterations of the factorisations whose use, not quality, is shown.
 QUICK = {"rank": 10, "iterations": 5, "reg": 0.1}
@@ -311,7 +311,9 @@ def _ap_sql(k):
 )
 def avg_precision_at_k(spark, base):
     viewed, bought = _rankings(spark, base)
-    ranked = top_n_per_group(viewed, "user_id", [F.desc("n"), F.asc("product")], 10)
+    ranked = materialise(
+        top_n_per_group(viewed, "user_id", [F.desc("n"), F.asc("product")], 10), "ranking"
+    )
     found = metrics.average_precision(ranked, bought, "user_id", "product", k=10)
     return found.withColumn("ap", F.round("ap", 6))
 
@@ -323,7 +325,9 @@ def avg_precision_at_k(spark, base):
 def ranking_map(spark, base):
     viewed, bought = _rankings(spark, base)
     n_products = 100  # the log knows products 0 to 99
-    ranked = top_n_per_group(viewed, "user_id", [F.desc("n"), F.asc("product")], n_products)
+    ranked = materialise(
+        top_n_per_group(viewed, "user_id", [F.desc("n"), F.asc("product")], n_products), "ranking"
+    )
     found = metrics.mean_average_precision(ranked, bought, "user_id", "product")
     return found.withColumn("map", F.round("map", 6))
 
