@@ -146,8 +146,8 @@ def vec_bool(spark, base):
 
 @query(
     "v09_vec_round",
-    f"WITH {ELEMENTS_SQL} SELECT vec_id, pos, round(x * 10) AS nearest, ceil(x * 10) AS up, "
-    "floor(x * 10) AS down, CAST(sign(x) AS DOUBLE) AS sign, abs(x) AS size FROM elements",
+    f"WITH {ELEMENTS_SQL} SELECT vec_id, pos, round(x * 10) + 0.0 AS nearest, ceil(x * 10) + 0.0 AS up, "
+    "floor(x * 10) + 0.0 AS down, CAST(sign(x) AS DOUBLE) AS sign, abs(x) AS size FROM elements",
 )
 def vec_round(spark, base):
     tens = V.scale(F.col("v"), 10.0)
