@@ -1,9 +1,10 @@
-"""Combining rows inside a task before they are shuffled, for pandas operators."""
+"""Helpers of pandas operators: combining rows inside a task, stacking vectors."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 
 Frames = Iterator[pd.DataFrame]
@@ -34,3 +35,9 @@ def fold_batches(combine: Fold, merge: Fold, held_rows: int = HELD_ROWS) -> Call
             yield held
 
     return run
+
+
+def stacked(vectors: pd.Series, width: int) -> np.ndarray:
+    """A column of vectors as a matrix; a missing vector becomes a row of NaN."""
+    missing = np.full(width, np.nan)
+    return np.array([missing if v is None else v for v in vectors]).reshape(-1, width)

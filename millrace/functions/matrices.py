@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors as V
+from millrace.functions.folding import stacked
 from millrace.operators.joins import collect_small, is_small
 
 
@@ -98,7 +99,8 @@ def multiply_rows(df: DataFrame, vector: str, right: DataFrame, into: str) -> Da
         @F.pandas_udf("array<double>")
         def product(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for batch in batches:
-                yield pd.Series(list(np.stack(batch.to_numpy()) @ matrix))
+                rows = list(stacked(batch, len(matrix)) @ matrix)
+                yield pd.Series([r if v is not None else None for v, r in zip(batch, rows)])
 
         return df.withColumn(into, product(row))
     columns = right.groupBy("j").agg(
@@ -165,7 +167,7 @@ def gram(df: DataFrame, vector: str) -> DataFrame:
             i, j = np.indices(acc.shape)
             yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "v": acc.ravel()})
 
-    rows = df.select(V.dense(F.col(vector)).alias("x"))
+    rows = df.select(V.dense(F.col(vector)).alias("x")).filter(F.col("x").isNotNull())
     return (
         rows.mapInPandas(partial, "i long, j long, v double")
         .groupBy("i", "j")

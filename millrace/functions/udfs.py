@@ -51,7 +51,7 @@ def custom_aggregate(
     ``update`` turns the rows of one key in an Arrow batch into a one-row buffer,
     ``merge`` folds several buffers of a key into one, ``evaluate`` gives the result
     columns from the final buffer.  Buffers are made and merged per task before the
-    shuffle, so a hot key sends about one row per task.  Keys must not be null.
+    shuffle, so a hot key sends about one row per task.
     """
     keys, buffer_columns = list(keys), [p.split()[0] for p in buffer_schema.split(",")]
     key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
@@ -59,7 +59,7 @@ def custom_aggregate(
 
     def fold(frame: pd.DataFrame, step: Callable[[pd.DataFrame], pd.DataFrame]) -> pd.DataFrame:
         parts = []
-        for key, group in frame.groupby(keys, sort=False):
+        for key, group in frame.groupby(keys, sort=False, dropna=False):
             part = step(group)[buffer_columns].copy()
             for name, value in zip(keys, key):
                 part[name] = value

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors as V
+from millrace.functions.folding import stacked
 from millrace.ml.parallel import run_all
 from millrace.operators.joins import collect_small, is_small
 from millrace.operators.topn import top_n_per_group
@@ -76,17 +77,24 @@ def nearest_centre(df: DataFrame, vector: str, centres: DataFrame) -> DataFrame:
         ids = np.array([c["cluster"] for c in held])
         points = np.array([c["centre"] for c in held])
 
-        @F.pandas_udf("cluster int, distance double")
+        cluster_type = centres.schema["cluster"].dataType.simpleString()
+
+        @F.pandas_udf(f"cluster {cluster_type}, distance double")
         def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                x = np.stack(batch.to_numpy())
+                x = stacked(batch, points.shape[1])
                 best = np.full(len(x), np.inf)
                 place = np.zeros(len(x), dtype=int)
                 for i, point in enumerate(points):
                     d = ((x - point) ** 2).sum(axis=1)
                     place[d < best] = i
                     best = np.minimum(best, d)
-                yield pd.DataFrame({"cluster": ids[place], "distance": best})
+                found = pd.DataFrame({"cluster": ids[place], "distance": best})
+                missing = batch.isna().to_numpy()
+                if missing.any():
+                    found = found.astype(object)
+                    found.loc[missing] = None
+                yield found
 
         measured = df.withColumn("_best", nearest(row))
     else:

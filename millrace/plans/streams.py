@@ -99,12 +99,12 @@ VISIT_STATE = T.StructType(
 
 def _fold_visits(frame: pd.DataFrame) -> pd.DataFrame:
     frame["errors"] = (frame["event_type"] == "error").astype("int64")
-    grouped = frame.groupby("user_id", as_index=False)
+    grouped = frame.groupby("user_id", as_index=False, dropna=False)
     return grouped.agg(n=("value", "size"), total=("value", "sum"), errors=("errors", "sum"))
 
 
 def _merge_visits(frame: pd.DataFrame) -> pd.DataFrame:
-    return frame.groupby("user_id", as_index=False).sum()
+    return frame.groupby("user_id", as_index=False, dropna=False).sum()
 
 
 def _add_visits(old: tuple | None, new: pd.DataFrame) -> tuple | None:

@@ -103,6 +103,19 @@ def test_kmeans_step_matches_brute_force(points, monkeypatch):
             np.testing.assert_allclose(step[k].centre, x[nearest == k].mean(0))
 
 
+def test_missing_vectors(spark, collected):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 2.0])], "id int, x array<double>")
+    centres = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0])], "cluster string, centre array<double>")
+    near = cluster.nearest_centre(rows, "x", centres).select("id", "cluster", "distance")
+    assert collected(near) == [(1, "a", 0.0), (2, None, None), (3, "b", 1.0)]
+    entries = spark.createDataFrame([(0, 0, 1.0), (1, 0, 3.0)], "i long, j long, v double")
+    product = M.multiply_rows(rows, "x", entries, "y").select("id", "y")
+    assert collected(product) == [(1, [1.0]), (2, None), (3, [6.0])]
+    assert M.axis_sum(M.gram(rows, "x")).first()[0] == 5.0
+    best = recommend.top_scored_items(rows.toDF("u", "f"), rows.toDF("i", "f"), "u", "i", "f", 1)
+    assert collected(best.select("u", "i")) == [(1, 1), (3, 3)]
+
+
 def test_cost_falls_with_more_clusters(points):
     rows = points.select("id", array_to_vector("x").alias("features"))
     costs = cluster.wcss_by_k(rows.filter("id % 5 < 3"), rows.filter("id % 5 >= 3"), ks=(2, 8), runs=2)

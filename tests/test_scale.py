@@ -139,6 +139,9 @@ def test_custom_aggregate_folds_in_tasks(spark, skewed, collected):
                              "n long, s long", {"n": F.col("n"), "s": F.col("s")})
     expected = skewed.withColumn("k2", F.col("k") % 2).groupBy("k", "k2").agg(F.count("*"), F.sum("v"))
     assert collected(got) == collected(expected)
+    some_null = skewed.withColumn("k", F.when(F.col("k") > 2, F.col("k")))
+    got = U.custom_aggregate(some_null, ["k"], ["v"], update, merge, "n long, s long", {"n": F.col("n"), "s": F.col("s")})
+    assert collected(got) == collected(some_null.groupBy("k").agg(F.count("*"), F.sum("v")))
 
 
 def test_scratch_space_is_the_shared_folder(spark):
