@@ -19,6 +19,7 @@ from millrace.operators import topn as W
 from millrace.operators import transforms as P
 from millrace.reports import clicks, news, sales, staff
 
+# Small input tables with known answers.
 SCORES = [("class1", 89), ("class1", 99), ("class1", 90), ("class1", 10), ("class1", 1),
           ("class2", 100), ("class2", 99), ("class2", 2), ("class2", 3)]
 EMPLOYEES = [
