@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, kdtree, packing, secrets, simhash
+from millrace.llm import bpe, kdtree, packing, secrets, simhash, substrings
 from millrace.session import read_table
 
 BASE_KINDS = [rule.kind for rule in secrets.BASE_RULES]
@@ -73,13 +73,26 @@ def op4_best_fit_packing(spark: SparkSession, base: str) -> DataFrame:
     return packed(read_table(spark, base, "documents"))
 
 
+def op8_repeated_phrases(spark: SparkSession, base: str) -> DataFrame:
+    found = substrings.dedup(read_table(spark, base, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_simhash_golay(spark: SparkSession, base: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, base, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_exact_top_k, op3_byte_bpe, op4_best_fit_packing, op9_simhash_golay)
+    f.__name__: f
+    for f in (
+        op1_secret_scan,
+        op2_exact_top_k,
+        op3_byte_bpe,
+        op4_best_fit_packing,
+        op8_repeated_phrases,
+        op9_simhash_golay,
+    )
 }
 
 ORACLES = {"op2_exact_top_k": OP2_SQL}
