@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, kdtree, packing, secrets, simhash, substrings
+from millrace.llm import bpe, kdtree, packing, quality, secrets, simhash, substrings, toxicity, urls
+from millrace.llm.common import whole_texts
 from millrace.session import read_table
 
 BASE_KINDS = [rule.kind for rule in secrets.BASE_RULES]
@@ -33,10 +34,10 @@ def op2_exact_top_k(spark: SparkSession, base: str) -> DataFrame:
 
 OP2_SQL = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
@@ -73,6 +74,94 @@ def op4_best_fit_packing(spark: SparkSession, base: str) -> DataFrame:
     return packed(read_table(spark, base, "documents"))
 
 
+def op5_toxicity_lexicon(spark: SparkSession, base: str) -> DataFrame:
+    docs = read_table(spark, base, "documents")
+    model = toxicity.learn(whole_texts(docs), read_table(spark, base, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        toxicity.is_held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op6_quality_divergence(spark: SparkSession, base: str) -> DataFrame:
+    found = quality.judged(read_table(spark, base, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+OP6_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT *, [x FOR x IN regexp_split_to_array(text, '[\x20\x09-\x0D]+') IF x <> ''] AS words,
+         [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+  FROM docs
+), windows AS (
+  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
+  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM split)
+), twice AS (
+  SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, w) > 1
+), repeated AS (
+  SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM twice) GROUP BY r
+), known AS (
+  SELECT lang FROM docs WHERE lang IS NOT NULL GROUP BY lang HAVING count(*) >= 20 ORDER BY count(*) DESC, lang LIMIT 256
+), counts AS (
+  SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(list_distinct(words)) AS word FROM split) JOIN known USING (lang) GROUP BY ALL
+), common AS (
+  SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS bin FROM counts
+  QUALIFY bin <= 24
+), found AS (
+  SELECT r, bin, count(*) AS n
+  FROM (SELECT r, lang, unnest(words) AS word FROM split) JOIN common USING (lang, word) GROUP BY ALL
+), word_bins AS (
+  SELECT s.r, s.lang, c.bin, coalesce(f.n, 0) AS n
+  FROM split s JOIN common c USING (lang) LEFT JOIN found f ON f.r = s.r AND f.bin = c.bin
+), runs AS (
+  SELECT r, lang, length(text) AS n,
+    length(text) - length(regexp_replace(text, '\p{Ll}+', '', 'g')) AS a,
+    length(text) - length(regexp_replace(text, '\p{Lu}+', '', 'g')) AS b,
+    length(text) - length(regexp_replace(text, '\p{Nd}+', '', 'g')) AS c,
+    length(text) - length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS d,
+    length(text) - length(regexp_replace(text, '[.,;:!?''"()\-]+', '', 'g')) AS e,
+    length(text) - length(regexp_replace(text, '\p{L}+', '', 'g')) AS f
+  FROM docs JOIN known USING (lang)
+), bins AS (
+  SELECT 'word' AS kind, r, lang, bin, n FROM word_bins
+  UNION ALL
+  SELECT 'word', s.r, s.lang, 0, len(s.words) - coalesce(sum(f.n), 0)
+  FROM split s JOIN known USING (lang) LEFT JOIN found f USING (r) GROUP BY s.r, s.lang, s.words
+  UNION ALL
+  SELECT 'class', r, lang, unnest(range(7)), unnest([a, b, c, d, e, f - a - b, n - f - c - d - e]) FROM runs
+), reference AS (
+  SELECT kind, lang, bin, sum(n / total) AS n
+  FROM (SELECT *, nullif(sum(n) OVER (PARTITION BY kind, r), 0) AS total FROM bins) GROUP BY ALL
+), shares AS (
+  SELECT kind, r, b.n / sum(b.n) OVER (PARTITION BY kind, r) AS p, f.n / sum(f.n) OVER (PARTITION BY kind, r) AS q
+  FROM bins b JOIN reference f USING (kind, lang, bin)
+), distances AS (
+  SELECT kind, r, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+                                     + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS d
+  FROM shares GROUP BY ALL
+), judged AS (
+  SELECT s.r, doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(p.n, 0) AS n_repeat_words,
+         coalesce(c.d > 0.30, false) OR coalesce(w.d > 0.40, false) AS far
+  FROM split s LEFT JOIN repeated p ON p.r = s.r
+  LEFT JOIN distances c ON c.r = s.r AND c.kind = 'class'
+  LEFT JOIN distances w ON w.r = s.r AND w.kind = 'word'
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR far) AS kept
+FROM judged
+"""
+
+
 def op8_repeated_phrases(spark: SparkSession, base: str) -> DataFrame:
     found = substrings.dedup(read_table(spark, base, "documents"), window=35)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -83,6 +172,57 @@ def op9_simhash_golay(spark: SparkSession, base: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_url_filter(spark: SparkSession, base: str) -> DataFrame:
+    pages = read_table(spark, base, "pages")
+    found = urls.evaluate(urls.with_fetch_time(pages), urls.derived_entries(pages))
+    return found.select("page_id", "fetched", "verdict", "pattern", "listed", "blocked")
+
+
+OP10_SQL = r"""
+WITH parts AS (
+  SELECT page_id, url, ((page_id * 7919 * 3600) % 31536000 + 31536000) % 31536000 AS fetched,
+         nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '\.+$', ''), '') AS host,
+         nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1), '') AS segment
+  FROM pages
+), names AS (
+  SELECT 'host' AS kind, pattern FROM (SELECT DISTINCT host AS pattern FROM parts WHERE host IS NOT NULL)
+  UNION ALL
+  SELECT 'parent', pattern FROM (
+    SELECT DISTINCT regexp_replace(host, '^[^.]+\.', '') AS pattern FROM parts WHERE len(string_split(host, '.')) > 3)
+  UNION ALL
+  SELECT 'prefix', pattern FROM (
+    SELECT DISTINCT host || '/' || segment AS pattern FROM parts WHERE host IS NOT NULL AND segment IS NOT NULL)
+), numbered AS (
+  SELECT kind, pattern, CAST('0x' || substr(md5(pattern), 1, 6) AS BIGINT) AS number FROM names
+), rules(kind, part, remainder, verdict, later) AS (
+  VALUES ('host', 4, 0, 'block', 0), ('host', 8, 0, 'clear', 30), ('host', 16, 0, 'block', 90),
+         ('host', 7, 1, 'allow', 10), ('parent', 5, 0, 'block', 0), ('prefix', 9, 0, 'block', 0)
+), dated AS (
+  SELECT lower(pattern) AS pattern, (number % 300 + later) * 86400 AS listed,
+         max(list_position(['clear', 'allow', 'block'], verdict)) AS strength
+  FROM numbered JOIN rules USING (kind) WHERE number % part = remainder
+  GROUP BY 1, 2
+), intervals AS (
+  SELECT pattern, ['clear', 'allow', 'block'][strength] AS verdict, listed,
+         lead(listed) OVER (PARTITION BY pattern ORDER BY listed) AS ended
+  FROM dated
+), asked AS (
+  SELECT page_id, url, fetched, unnest(list_append(
+    [array_to_string(string_split(host, '.')[i:], '.') FOR i IN range(1, greatest(len(string_split(host, '.')), 2))],
+    CASE WHEN segment IS NULL THEN host ELSE host || '/' || segment END)) AS pattern
+  FROM parts WHERE host IS NOT NULL
+), best AS (
+  SELECT page_id, url, fetched, max((length(pattern), pattern, verdict, listed)) AS found
+  FROM (SELECT DISTINCT * FROM asked) JOIN intervals USING (pattern)
+  WHERE verdict <> 'clear' AND fetched >= listed AND (ended IS NULL OR fetched < ended)
+  GROUP BY ALL
+)
+SELECT p.page_id, p.fetched, found[3] AS verdict, found[2] AS pattern, found[4] AS listed,
+       coalesce(found[3] = 'block', false) AS blocked
+FROM parts p LEFT JOIN best b ON p.page_id IS NOT DISTINCT FROM b.page_id AND p.url = b.url AND p.fetched = b.fetched
+"""
+
+
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,12 +230,15 @@ RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_exact_top_k,
         op3_byte_bpe,
         op4_best_fit_packing,
+        op5_toxicity_lexicon,
+        op6_quality_divergence,
         op8_repeated_phrases,
         op9_simhash_golay,
+        op10_url_filter,
     )
 }
 
-ORACLES = {"op2_exact_top_k": OP2_SQL}
+ORACLES = {"op2_exact_top_k": OP2_SQL, "op6_quality_divergence": OP6_SQL, "op10_url_filter": OP10_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
