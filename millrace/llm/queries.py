@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, kdtree, packing, quality, secrets, simhash, substrings, toxicity, urls
+from millrace.llm import bpe, hpylm, kdtree, packing, quality, secrets, simhash, substrings, toxicity, urls
 from millrace.llm.common import whole_texts
 from millrace.session import read_table
 
@@ -162,6 +162,10 @@ FROM judged
 """
 
 
+def op7_pitman_yor_scores(spark: SparkSession, base: str) -> DataFrame:
+    return hpylm.score(read_table(spark, base, "documents"))
+
+
 def op8_repeated_phrases(spark: SparkSession, base: str) -> DataFrame:
     found = substrings.dedup(read_table(spark, base, "documents"), window=35)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -232,6 +236,7 @@ RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_best_fit_packing,
         op5_toxicity_lexicon,
         op6_quality_divergence,
+        op7_pitman_yor_scores,
         op8_repeated_phrases,
         op9_simhash_golay,
         op10_url_filter,
