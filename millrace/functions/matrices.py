@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors as V
-from millrace.functions.folding import stacked
-from millrace.operators.joins import collect_small, is_small
+
+# Entries of a matrix that is sent to every task: 32 MB of doubles.
+MOST_CELLS = 4_000_000
+# Tasks in which the partial sums of all tasks are folded before they meet.
+FOLDS = 16
 
 
 def to_entries(df: DataFrame, row_id: str, vector: str) -> DataFrame:
@@ -66,63 +69,61 @@ def upper_triangle(entries: DataFrame) -> DataFrame:
 def multiply(left: DataFrame, right: DataFrame, salts: int = 64) -> DataFrame:
     """Product of two long-form matrices, joined on the inner index.
 
-    A tall left matrix has as many entries per inner index as it has rows.  Unless the
-    right matrix is small enough to ship, left entries are therefore spread by row over
-    ``salts`` parts and the right matrix is sent to each part.
+    A tall left matrix has as many entries per inner index as it has rows, so left
+    entries are spread by row over ``salts`` parts and the right matrix is sent to each
+    part.  The optimiser ships a right matrix that it knows to be small.
     """
     a = left.select("i", F.col("j").alias("_k"), F.col("v").alias("_a"))
     b = right.select(F.col("i").alias("_k"), "j", F.col("v").alias("_b"))
-    if is_small(b):
-        pairs = a.join(F.broadcast(b), "_k")
-    else:
-        part = F.pmod(F.xxhash64("i"), F.lit(salts)).cast("int")
-        copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        pairs = a.withColumn("_part", part).join(b.withColumn("_part", copies), ["_k", "_part"])
+    part = F.pmod(F.xxhash64("i"), F.lit(salts)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    pairs = a.withColumn("_part", part).join(b.withColumn("_part", copies), ["_k", "_part"])
     return pairs.groupBy("i", "j").agg(F.sum(F.col("_a") * F.col("_b")).alias("v"))
 
 
-def multiply_rows(df: DataFrame, vector: str, right: DataFrame, into: str) -> DataFrame:
-    """Each row vector times a long-form matrix with few columns.
+def multiply_rows(
+    df: DataFrame, vector: str, right: DataFrame, into: str, shape: tuple[int, int]
+) -> DataFrame:
+    """Each row vector times a long-form matrix of the given ``shape``.
 
-    The right matrix is as high as the vectors are long, so when it is small it goes to
-    every task and Arrow batches are multiplied there (about five times the speed of
-    higher-order functions at 64 x 10); the tall table is not shuffled.  A larger one is
-    read as a single-row subquery instead.
+    Entries that are not stored are 0, repeated ones are added up.  A missing vector has
+    no product; one whose length is not the matrix's height, and an entry outside the
+    shape, are errors.  The matrix goes to every task, so it may have ``MOST_CELLS``
+    cells; for a larger one use :func:`multiply`.
     """
-    row = V.dense(F.col(vector))
-    held = collect_small(right.select("i", "j", "v"))
-    if held:
-        i, j, v = (np.array(c) for c in zip(*held))
-        matrix = np.zeros((i.max() + 1, j.max() + 1))
-        matrix[i, j] = v
-
-        @F.pandas_udf("array<double>")
-        def product(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for batch in batches:
-                rows = list(stacked(batch, len(matrix)) @ matrix)
-                yield pd.Series([r if v is not None else None for v, r in zip(batch, rows)])
-
-        return df.withColumn(into, product(row))
-    columns = right.groupBy("j").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda e: e["v"]).alias("c")
-    )
-    whole = columns.agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("j", "c"))), lambda e: e["c"])
-    ).scalar()
-    return (
-        df.withColumn("_matrix", whole)
-        .withColumn(into, F.transform("_matrix", lambda c: V.dot(row, c)))
-        .drop("_matrix")
-    )
+    height, width = shape
+    if height * width > MOST_CELLS:
+        raise ValueError(f"a matrix of {height} x {width} is too large to send to every task; use multiply")
+    entries = right.groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
+    matrix = np.zeros(shape)
+    for e in entries:
+        if not (0 <= e["i"] < height and 0 <= e["j"] < width):
+            raise ValueError(f"entry ({e['i']}, {e['j']}) lies outside {height} x {width}")
+        matrix[e["i"], e["j"]] = e["v"]
+
+    @F.pandas_udf("array<double>")
+    def product(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            known = [v for v in batch if v is not None]
+            if any(len(v) != height for v in known):
+                raise ValueError(f"vectors must have {height} components, as the matrix has rows")
+            rows = iter(np.stack(known) @ matrix if known else ())
+            yield pd.Series([None if v is None else next(rows) for v in batch], dtype=object)
+
+    return df.withColumn(into, product(V.dense(F.col(vector))))
 
 
 def elementwise(
     left: DataFrame, right: DataFrame, op: Callable[[Column, Column], Column]
 ) -> DataFrame:
-    """Combine the entries at the same place of two matrices."""
+    """Combine the entries at the same place of two matrices; an entry not stored is 0.
+
+    The result holds a place that either matrix stores.
+    """
     a = left.select("i", "j", F.col("v").alias("_a"))
     b = right.select("i", "j", F.col("v").alias("_b"))
-    return a.join(b, ["i", "j"]).select("i", "j", op(F.col("_a"), F.col("_b")).alias("v"))
+    x, y = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("_a", "_b"))
+    return a.join(b, ["i", "j"], "full").select("i", "j", op(x, y).alias("v"))
 
 
 def column(entries: DataFrame, j: int) -> DataFrame:
@@ -137,42 +138,46 @@ def assign_block(
     return entries.withColumn("v", F.when(inside, F.lit(float(value))).otherwise(F.col("v")))
 
 
-def stack(upper: DataFrame, lower: DataFrame) -> DataFrame:
-    """One matrix below the other."""
-    height = upper.agg(F.max("i") + 1).scalar()
+def stack(upper: DataFrame, lower: DataFrame, height: int | Column) -> DataFrame:
+    """One matrix below another of the given ``height``, stored or not."""
+    below = height if isinstance(height, Column) else F.lit(height)
     return upper.select("i", "j", "v").unionByName(
-        lower.select((F.col("i") + height).alias("i"), "j", "v")
+        lower.select((F.col("i") + below).cast("long").alias("i"), "j", "v")
     )
 
 
-def beside(left: DataFrame, right: DataFrame) -> DataFrame:
-    """One matrix to the right of the other."""
-    return transpose(stack(transpose(left), transpose(right)))
+def beside(left: DataFrame, right: DataFrame, width: int | Column) -> DataFrame:
+    """One matrix to the right of another of the given ``width``, stored or not."""
+    return transpose(stack(transpose(left), transpose(right), width))
 
 
 def gram(df: DataFrame, vector: str) -> DataFrame:
     """XᵀX of a row-form matrix, in long form.
 
-    Each task adds up its own rows and emits one small matrix, so the shuffle
-    carries width² numbers per task whatever the height.
+    Each task adds up its own rows into one packed matrix.  These are folded in
+    ``FOLDS`` tasks before entries are made, so the number of entries that are shuffled
+    does not grow with the number of tasks.
     """
 
+    def added(matrices: Iterator[np.ndarray]) -> Iterator[pd.DataFrame]:
+        total = None
+        for matrix in matrices:
+            total = matrix if total is None else total + matrix
+        if total is not None:
+            yield pd.DataFrame({"g": [total.ravel()]})
+
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc = None
-        for batch in batches:
-            if len(batch):
-                x = np.stack(batch["x"].to_numpy())
-                acc = x.T @ x if acc is None else acc + x.T @ x
-        if acc is not None:
-            i, j = np.indices(acc.shape)
-            yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "v": acc.ravel()})
+        stacks = (np.stack(b["x"].to_numpy()) for b in batches if len(b))
+        return added(x.T @ x for x in stacks)
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return added(g for b in batches for g in b["g"])
 
     rows = df.select(V.dense(F.col(vector)).alias("x")).filter(F.col("x").isNotNull())
-    return (
-        rows.mapInPandas(partial, "i long, j long, v double")
-        .groupBy("i", "j")
-        .agg(F.sum("v").alias("v"))
-    )
+    sums = rows.mapInPandas(partial, "g array<double>").repartition(FOLDS).mapInPandas(fold, "g array<double>")
+    cells = sums.select(F.posexplode("g").alias("p", "v"), F.sqrt(F.size("g")).cast("long").alias("w"))
+    place = [F.floor(F.col("p") / F.col("w")).cast("long").alias("i"), (F.col("p") % F.col("w")).cast("long").alias("j")]
+    return cells.select(*place, "v").groupBy("i", "j").agg(F.sum("v").alias("v"))
 
 
 def approx_equal(left: DataFrame, right: DataFrame, tolerance: float = 1e-6) -> DataFrame:

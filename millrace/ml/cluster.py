@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from millrace.functions import vectors as V
 from millrace.functions.folding import stacked
 from millrace.ml.parallel import run_all
-from millrace.operators.joins import collect_small, is_small
 from millrace.operators.topn import top_n_per_group
+from millrace.session import materialise
 
-# Centres sent to every task: 20 MB of doubles at 256 dimensions.
-MAX_CENTRES = 10_000
+# Centres that rows are measured against at a time: 20 MB of doubles at 256 dimensions.
+CENTRE_BLOCK = 10_000
 
 
 def kmeans_fit(
@@ -62,52 +62,47 @@ def group_centres(df: DataFrame, cluster: str, vector: str) -> DataFrame:
     return df.groupBy(cluster).agg(vector_to_array(mean).alias("centre"))
 
 
+def _nearest_in(ids: np.ndarray, points: np.ndarray, kind: str):
+    """An Arrow function to the nearest of some centres, sorted by id; null for a missing vector."""
+
+    @F.pandas_udf(f"distance double, cluster {kind}")
+    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = stacked(batch, points.shape[1])
+            best = np.full(len(x), np.inf)
+            place = np.zeros(len(x), dtype=int)
+            for i, point in enumerate(points):
+                d = ((x - point) ** 2).sum(axis=1)
+                place[d < best] = i
+                best = np.minimum(best, d)
+            found = pd.DataFrame({"distance": best, "cluster": ids[place]})
+            missing = batch.isna().to_numpy()
+            if missing.any():
+                found = found.astype(object)
+                found.loc[missing] = None
+            yield found
+
+    return nearest
+
+
 def nearest_centre(df: DataFrame, vector: str, centres: DataFrame) -> DataFrame:
     """Add the nearest centre (``cluster``) and its squared distance to every row.
 
-    ``centres`` has ``cluster`` and ``centre`` and holds the centres of a model.  When
-    they are few they go to every task, where Arrow batches are measured against them;
-    rows are not shuffled.  More centres are read as a single-row subquery instead.
-    Equally near centres: the smaller cluster number wins.
+    ``centres`` has ``cluster`` and ``centre`` and holds the centres of a model.  They go
+    to every task in blocks, against which Arrow batches are measured; rows are not
+    shuffled.  Equally near centres: the smaller cluster number wins.  A missing vector
+    and an empty model have neither cluster nor distance.
     """
-    row = V.dense(F.col(vector))
-    held = collect_small(centres.select("cluster", "centre"), MAX_CENTRES)
-    if held:
-        held.sort(key=lambda c: c["cluster"])
-        ids = np.array([c["cluster"] for c in held])
-        points = np.array([c["centre"] for c in held])
-
-        cluster_type = centres.schema["cluster"].dataType.simpleString()
-
-        @F.pandas_udf(f"cluster {cluster_type}, distance double")
-        def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                x = stacked(batch, points.shape[1])
-                best = np.full(len(x), np.inf)
-                place = np.zeros(len(x), dtype=int)
-                for i, point in enumerate(points):
-                    d = ((x - point) ** 2).sum(axis=1)
-                    place[d < best] = i
-                    best = np.minimum(best, d)
-                found = pd.DataFrame({"cluster": ids[place], "distance": best})
-                missing = batch.isna().to_numpy()
-                if missing.any():
-                    found = found.astype(object)
-                    found.loc[missing] = None
-                yield found
-
-        measured = df.withColumn("_best", nearest(row))
-    else:
-        table = centres.agg(F.sort_array(F.collect_list(F.struct("cluster", "centre")))).scalar()
-        distances = F.transform(
-            "_centres",
-            lambda c: F.struct(
-                V.squared_distance(row, c["centre"]).alias("distance"),
-                c["cluster"].alias("cluster"),
-            ),
-        )
-        measured = df.withColumn("_centres", table).withColumn("_best", F.array_min(distances))
-        measured = measured.drop("_centres")
+    kind = centres.schema["cluster"].dataType.simpleString()
+    held = sorted(centres.select("cluster", "centre").collect(), key=lambda c: c["cluster"])
+    none = F.lit(None).cast(f"struct<distance:double,cluster:{kind}>")
+    found = [none]
+    for start in range(0, len(held), CENTRE_BLOCK):
+        block = held[start : start + CENTRE_BLOCK]
+        ids, points = np.array([c["cluster"] for c in block]), np.array([c["centre"] for c in block])
+        best = _nearest_in(ids, points, kind)(V.dense(F.col(vector)))
+        found.append(F.when(best["distance"].isNotNull(), best))
+    measured = df.withColumn("_best", F.array_min(F.array_compact(F.array(*found))))
     return measured.withColumns(
         {"cluster": F.col("_best.cluster"), "distance": F.col("_best.distance")}
     ).drop("_best")
@@ -124,10 +119,8 @@ def kmeans_one_step(df: DataFrame, vector: str, centres: DataFrame) -> DataFrame
 
 def distance_to_centre(df: DataFrame, cluster: str, vector: str) -> DataFrame:
     """Add each row's squared distance to the mean of its cluster."""
-    centres = group_centres(df, cluster, vector)
-    # Counting the clusters reads one column; the centres are then computed once.
-    few = is_small(df.select(cluster).distinct(), MAX_CENTRES)
-    joined = df.join(F.broadcast(centres) if few else centres, cluster)
+    # Written once, so that the optimiser knows the size and may ship the centres.
+    joined = df.join(materialise(group_centres(df, cluster, vector), "centres"), cluster)
     return joined.withColumn(
         "distance", V.squared_distance(V.dense(F.col(vector)), F.col("centre"))
     ).drop("centre")
@@ -158,16 +151,13 @@ def wcss_by_k(
     finally:
         held.unpersist()
     rows = test.select(vector_to_array(features).alias("_v"))
-    parts = [
-        nearest_centre(rows, "_v", centre_table(model, test)).agg(
-            F.lit(k).alias("k"), F.sum("distance").alias("wcss")
-        )
-        for k, model in zip(ks, models)
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    measured = rows
+    for k, model in zip(ks, models):  # one pass over the rows for all models
+        near = nearest_centre(measured, "_v", centre_table(model, test))
+        measured = near.withColumnRenamed("distance", f"_d{k}").drop("cluster")
+    sums = measured.agg(*(F.sum(f"_d{k}").alias(f"_d{k}") for k in ks))
+    pairs = F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"_d{k}").alias("wcss")) for k in ks))
+    return sums.select(F.explode(pairs).alias("p")).select("p.k", "p.wcss")
 
 
 def members_near_centre(

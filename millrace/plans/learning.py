@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors as V
@@ -14,9 +15,6 @@ from millrace.plans import inputs as I
 from millrace.plans.registry import query
 from millrace.session import materialise, read_table, scratch_path
 
-# Rank and iterations of the factorisations whose use, not quality, is shown.
-QUICK = {"rank": 10, "iterations": 5, "reg": 0.1}
-
 
 def _labelled(spark, base):
     """Embeddings with a 0/1 label, as ML vectors."""
@@ -254,26 +252,26 @@ def als_fit(spark, base):
 @query("l16_recommend_for_user")
 def recommend_for_user(spark, base):
     ratings = I.rating(spark, base)
-    model = recommend.als_fit(ratings, **QUICK)
+    model = recommend.als_fit(ratings)
     chosen = ratings.filter("user_no = 89").select("user_no").distinct()
     return recommend.recommend_for_users(model, chosen, 10)
 
 
 @query("l17_recommend_for_all")
 def recommend_for_all(spark, base):
-    return recommend.recommend_for_all(recommend.als_fit(I.rating(spark, base), **QUICK), 10)
+    return recommend.recommend_for_all(recommend.als_fit(I.rating(spark, base)), 10)
 
 
 @query("l18_als_predict_pairs")
 def als_predict_pairs(spark, base):
     ratings = I.rating(spark, base)
-    model = recommend.als_fit(ratings, **QUICK)
+    model = recommend.als_fit(ratings)
     return metrics.regression_eval(recommend.predict_pairs(model, ratings), "prediction", "rating")
 
 
 @query("l19_similar_items")
 def similar_items(spark, base):
-    model = recommend.als_fit(I.rating(spark, base), **QUICK)
+    model = recommend.als_fit(I.rating(spark, base))
     return recommend.similar_items(model.itemFactors, 67, 10)
 
 
@@ -324,10 +322,8 @@ def avg_precision_at_k(spark, base):
 )
 def ranking_map(spark, base):
     viewed, bought = _rankings(spark, base)
-    n_products = 100  # the log knows products 0 to 99
-    ranked = materialise(
-        top_n_per_group(viewed, "user_id", [F.desc("n"), F.asc("product")], n_products), "ranking"
-    )
+    order = Window.partitionBy("user_id").orderBy(F.desc("n"), F.asc("product"))
+    ranked = materialise(viewed.withColumn("rank", F.row_number().over(order)), "ranking")
     found = metrics.mean_average_precision(ranked, bought, "user_id", "product")
     return found.withColumn("map", F.round("map", 6))
 
@@ -345,7 +341,7 @@ def kmeans_fit_predict(spark, base):
 def kmeans_plus_plus_init(spark, base):
     rows = _labelled(spark, base)
     costs = [
-        (init, cluster.kmeans_fit(rows, k=5, iterations=1, runs=1, init=init).summary.trainingCost)
+        (init, cluster.kmeans_fit(rows, k=5, iterations=10, runs=1, init=init).summary.trainingCost)
         for init in ("k-means||", "random")
     ]
     return spark.createDataFrame(costs, "init string, cost double")

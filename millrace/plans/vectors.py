@@ -251,8 +251,9 @@ def mat_axis_sum(spark, base):
 @query(
     "m03_mat_trace_diag",
     I.with_tables("entries")
-    + "SELECT 'trace' AS kind, 0 AS i, round(sum(v), 8) AS v FROM entries WHERE i = j UNION ALL "
-    "SELECT 'diag', i, v FROM entries WHERE i = j UNION ALL "
+    + "SELECT 'trace' AS kind, 0 AS i, round(sum(embedding[vec_id + 1]::DOUBLE), 8) AS v FROM embeddings "
+    "WHERE vec_id < 64 UNION ALL "
+    "SELECT 'diag', vec_id, embedding[vec_id + 1]::DOUBLE FROM embeddings WHERE vec_id < 64 UNION ALL "
     "SELECT 'eye', vec_id, 1.0 FROM embeddings UNION ALL "
     "SELECT 'label', vec_id, label FROM embeddings",
 )
@@ -298,7 +299,7 @@ def mat_multiply(spark, base):
     rows = I.vec(spark, base)
     # One column per label: the mean vector of its rows.
     centres = M.transpose(M.to_entries(cluster.group_centres(rows, "label", "v"), "label", "centre"))
-    product = M.multiply_rows(rows.select("vec_id", "v"), "v", centres, "x")
+    product = M.multiply_rows(rows.select("vec_id", "v"), "v", centres, "x", (64, 10))
     return _long(product, x=F.col("x")).withColumn("x", F.round("x", 6))
 
 
@@ -336,18 +337,55 @@ def mat_elementwise(spark, base):
     return M.assign_block(product, (1, 2), (1, 2), 5.0).withColumnRenamed("v", "patched")
 
 
+@query(
+    "m05_mat_multiply_sparse",
+    I.with_tables("entries")
+    + """, centre AS (SELECT j AS i, CAST(label AS BIGINT) AS j, avg(v) AS v
+              FROM entries JOIN embeddings ON vec_id = i WHERE j < 40 AND label <> 3 GROUP BY j, label)
+         SELECT vec_id, CAST(p.j AS INTEGER) AS pos, round(coalesce(x, 0), 6) AS x
+         FROM embeddings CROSS JOIN range(10) p(j) LEFT JOIN
+         (SELECT e.i, c.j, sum(e.v * c.v) AS x FROM entries e JOIN centre c ON e.j = c.i GROUP BY e.i, c.j) m
+         ON m.i = vec_id AND m.j = p.j""",
+)
+def mat_multiply_sparse(spark, base):
+    """The right matrix stores neither its last 24 rows nor its column 3."""
+    rows = I.vec(spark, base)
+    centres = M.transpose(M.to_entries(cluster.group_centres(rows, "label", "v"), "label", "centre"))
+    stored = centres.filter("i < 40 and j <> 3")
+    product = M.multiply_rows(rows.select("vec_id", "v"), "v", stored, "x", (64, 10))
+    return _long(product, x=F.col("x")).withColumn("x", F.round("x", 6) + 0.0)
+
+
+@query(
+    "m06_mat_elementwise_sparse",
+    I.with_tables("entries") + PAIR_SQL
+    + """SELECT coalesce(l.i, r.i) AS i, coalesce(l.j, r.j) AS j,
+         round(coalesce(l.v, 0) + coalesce(r.v, 0), 8) AS plus, round(coalesce(l.v, 0) - coalesce(r.v, 0), 8) AS minus
+         FROM (SELECT * FROM lft WHERE i >= j) l FULL JOIN (SELECT * FROM rgt WHERE i <= j) r
+         ON l.i = r.i AND l.j = r.j""",
+)
+def mat_elementwise_sparse(spark, base):
+    """A lower and an upper triangle: most places are stored on one side only."""
+    left, right = _pair(spark, base)
+    both = M.elementwise(
+        M.lower_triangle(left), M.upper_triangle(right), lambda a, b: F.struct((a + b).alias("p"), (a - b).alias("m"))
+    )
+    return both.select("i", "j", F.round("v.p", 8).alias("plus"), F.round("v.m", 8).alias("minus"))
+
+
 @query(
     "m07_mat_concat",
     I.with_tables("entries") + PAIR_SQL
     + """SELECT 'stacked' AS kind, * FROM lft UNION ALL
-         SELECT 'stacked', i + (SELECT max(i) + 1 FROM lft), j, v FROM rgt UNION ALL
+         SELECT 'stacked', i + (SELECT max(vec_id) + 1 FROM embeddings), j, v FROM rgt UNION ALL
          SELECT 'beside', * FROM lft UNION ALL
-         SELECT 'beside', i, j + (SELECT max(j) + 1 FROM lft), v FROM rgt""",
+         SELECT 'beside', i, j + 32, v FROM rgt""",
 )
 def mat_concat(spark, base):
     left, right = _pair(spark, base)
-    stacked = M.stack(left, right).withColumn("kind", F.lit("stacked"))
-    return stacked.unionByName(M.beside(left, right).withColumn("kind", F.lit("beside")))
+    height = read_table(spark, base, "embeddings").agg(F.max("vec_id") + 1).scalar()
+    stacked = M.stack(left, right, height).withColumn("kind", F.lit("stacked"))
+    return stacked.unionByName(M.beside(left, right, 32).withColumn("kind", F.lit("beside")))
 
 
 @query(

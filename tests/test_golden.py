@@ -288,27 +288,41 @@ def test_matrix_products_agree(spark, square, collected):
     assert collected(M.multiply(square, square)) == expected
     rows = spark.createDataFrame([(i, [float(3 * i + j + 1) for j in range(3)]) for i in range(3)],
                                  "i long, x array<double>")
-    by_row = M.multiply_rows(rows, "x", square, "y").select("i", F.posexplode("y").alias("j", "v"))
+    by_row = M.multiply_rows(rows, "x", square, "y", (3, 3)).select("i", F.posexplode("y").alias("j", "v"))
     assert collected(by_row) == expected
     gram = M.gram(rows, "x")
     assert collected(gram) == collected(M.multiply(M.transpose(square), square))
 
 
-def test_matrix_paths_beyond_the_small_bound_agree(spark, square, collected, monkeypatch):
-    small = collected(M.multiply(square, square))
-    rows = spark.createDataFrame([(i, [float(3 * i + j + 1) for j in range(3)]) for i in range(3)],
-                                 "i long, x array<double>")
-    quick = collected(M.multiply_rows(rows, "x", square, "y"))
-    monkeypatch.setattr(M, "is_small", lambda *_: False)
-    monkeypatch.setattr(M, "collect_small", lambda *_: None)
-    assert collected(M.multiply(square, square, salts=3)) == small
-    assert collected(M.multiply_rows(rows, "x", square, "y")) == quick
+def test_row_products_treat_unstored_entries_as_zero(spark, collected, monkeypatch):
+    rows = spark.createDataFrame([(0, [1.0, 2.0, 3.0, 4.0]), (1, [10.0, 20.0, 30.0, 40.0]), (2, None)], "i long, x array<double>")
+    short = spark.createDataFrame([(0, 0, 1.0), (1, 0, 0.5), (1, 0, 0.5)], "i long, j long, v double")
+    got = M.multiply_rows(rows, "x", short, "y", (4, 2)).select("i", "y")
+    assert collected(got) == [(0, [3.0, 0.0]), (1, [30.0, 0.0]), (2, None)]
+    long = collected(M.multiply(M.to_entries(rows.filter("x is not null"), "i", "x"), short))
+    assert long == [(0, 0, 3.0), (1, 0, 30.0)]
+    with pytest.raises(Exception, match="must have 3 components"):
+        M.multiply_rows(rows, "x", short, "y", (3, 2)).collect()
+    with pytest.raises(ValueError, match="outside"):
+        M.multiply_rows(rows, "x", short, "y", (1, 1))
+    monkeypatch.setattr(M, "MOST_CELLS", 7)
+    with pytest.raises(ValueError, match="use multiply"):
+        M.multiply_rows(rows, "x", short, "y", (4, 2))
+
+
+def test_elementwise_keeps_entries_of_either_side(spark, square, collected):
+    eye = M.identity_like(square)
+    total = dict(((i, j), v) for i, j, v in collected(M.elementwise(M.upper_triangle(square), eye, lambda a, b: a + b)))
+    assert total == {(i, j): 3.0 * i + j + 1 + (i == j) for i in range(3) for j in range(i, 3)}
+    minus = dict(((i, j), v) for i, j, v in collected(M.elementwise(eye, M.lower_triangle(square), lambda a, b: a - b)))
+    assert minus == {(i, j): (i == j) - (3.0 * i + j + 1) for i in range(3) for j in range(i + 1)}
 
 
 def test_matrix_concat_and_comparison(square, collected):
-    stacked = M.stack(square, square)
+    stacked = M.stack(square, square, 3)
     assert stacked.agg(F.max("i"), F.count("*")).first()[:] == (5, 18)
-    assert M.beside(square, square).agg(F.max("j")).first()[0] == 5
+    assert M.beside(square, square, 3).agg(F.max("j")).first()[0] == 5
+    assert M.stack(square.filter("i < 0"), square, 5).agg(F.min("i"), F.max("i")).first()[:] == (5, 7)
     negated = square.withColumn("v", -F.col("v"))
     assert M.approx_equal(square, negated).first().equal
     assert not M.approx_equal(square, square.filter("i < 2")).first().equal

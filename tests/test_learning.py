@@ -96,20 +96,24 @@ def test_kmeans_step_matches_brute_force(points, monkeypatch):
     x, c = np.array([p[2] for p in POINTS]), np.array([p[2] for p in POINTS[:3]])
     nearest = ((x[:, None] - c) ** 2).sum(2).argmin(1)
     for few in (True, False):
-        monkeypatch.setattr(cluster, "MAX_CENTRES", 3 if few else 2)
+        monkeypatch.setattr(cluster, "CENTRE_BLOCK", 3 if few else 2)
         step = {r.cluster: r for r in cluster.kmeans_one_step(points, "x", start).collect()}
         for k in range(3):
             assert step[k].n == (nearest == k).sum()
             np.testing.assert_allclose(step[k].centre, x[nearest == k].mean(0))
 
 
-def test_missing_vectors(spark, collected):
+def test_missing_vectors(spark, collected, monkeypatch):
     rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 2.0])], "id int, x array<double>")
     centres = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0])], "cluster string, centre array<double>")
-    near = cluster.nearest_centre(rows, "x", centres).select("id", "cluster", "distance")
-    assert collected(near) == [(1, "a", 0.0), (2, None, None), (3, "b", 1.0)]
+    for block in (1, 10):
+        monkeypatch.setattr(cluster, "CENTRE_BLOCK", block)
+        near = cluster.nearest_centre(rows, "x", centres).select("id", "cluster", "distance")
+        assert collected(near) == [(1, "a", 0.0), (2, None, None), (3, "b", 1.0)]
+    none = cluster.nearest_centre(rows, "x", centres.limit(0)).select("id", "cluster", "distance")
+    assert collected(none) == [(1, None, None), (2, None, None), (3, None, None)]
     entries = spark.createDataFrame([(0, 0, 1.0), (1, 0, 3.0)], "i long, j long, v double")
-    product = M.multiply_rows(rows, "x", entries, "y").select("id", "y")
+    product = M.multiply_rows(rows, "x", entries, "y", (2, 1)).select("id", "y")
     assert collected(product) == [(1, [1.0]), (2, None), (3, [6.0])]
     assert M.axis_sum(M.gram(rows, "x")).first()[0] == 5.0
     best = recommend.top_scored_items(rows.toDF("u", "f"), rows.toDF("i", "f"), "u", "i", "f", 1)
@@ -153,16 +157,17 @@ def test_top_scored_items_match_brute_force(spark, monkeypatch):
     u, v = RNG.normal(size=(23, 3)), RNG.normal(size=(17, 3))
     users = spark.createDataFrame([(f"u{i:02}", list(map(float, r))) for i, r in enumerate(u)], "user string, f array<double>")
     items = spark.createDataFrame([(i, list(map(float, r))) for i, r in enumerate(v)], "item int, f array<double>")
-    monkeypatch.setattr(recommend, "ITEM_BLOCK", 5)
-    monkeypatch.setattr(recommend, "USER_CHUNK", 7)
     monkeypatch.setattr(recommend, "SLICE", 3)
     scores = u @ v.T
-    for held in (100, 10):
-        monkeypatch.setattr(recommend, "MAX_ITEMS", held)
-        got = recommend.top_scored_items(users, items, "user", "item", "f", 4)
+    for held in (10**6, 100):  # bytes to a block: all items, then four of them
+        monkeypatch.setattr(recommend, "ITEM_BYTES", held)
+        # A user on two rows and an item on two rows count once.
+        got = recommend.top_scored_items(users.union(users.limit(3)), items.union(items.limit(5)), "user", "item", "f", 4)
+        assert got.count() == 23 * 4
         ranked = {(r.user, r["rank"]): r.item for r in got.collect()}
         for i in range(23):
             assert [ranked[(f"u{i:02}", n)] for n in range(1, 5)] == list(np.argsort(-scores[i])[:4])
+    assert recommend.top_scored_items(users, items.limit(0), "user", "item", "f", 4).count() == 0
 
 
 def test_equal_scores_go_to_the_smaller_item(spark, collected):
