@@ -48,31 +48,15 @@ def custom_aggregate(
 ) -> DataFrame:
     """A custom aggregate by update, merge and evaluate steps.
 
-    ``update`` turns the rows of one key in an Arrow batch into a one-row buffer,
-    ``merge`` folds several buffers of a key into one, ``evaluate`` gives the result
-    columns from the final buffer.  Buffers are made and merged per task before the
-    shuffle, so a hot key sends about one row per task.
+    ``update`` turns the rows of an Arrow batch into one buffer row per key, ``merge``
+    folds buffer rows into one per key, both for all keys of a frame at once;
+    ``evaluate`` gives the result columns from the final buffer.  Buffers are made and
+    merged per task before the shuffle, so a hot key sends about one row per task.
     """
-    keys, buffer_columns = list(keys), [p.split()[0] for p in buffer_schema.split(",")]
+    keys = list(keys)
     key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{key_schema}, {buffer_schema}"
-
-    def fold(frame: pd.DataFrame, step: Callable[[pd.DataFrame], pd.DataFrame]) -> pd.DataFrame:
-        parts = []
-        for key, group in frame.groupby(keys, sort=False, dropna=False):
-            part = step(group)[buffer_columns].copy()
-            for name, value in zip(keys, key):
-                part[name] = value
-            parts.append(part[keys + buffer_columns])
-        return pd.concat(parts, ignore_index=True)
-
-    def merge_once(frame: pd.DataFrame) -> pd.DataFrame:
-        part = merge(frame)[buffer_columns].copy()
-        for name in keys:
-            part[name] = frame[name].iloc[0]
-        return part[keys + buffer_columns]
-
-    partial = fold_batches(lambda rows: fold(rows, update), lambda held: fold(held, merge))
-    buffers = df.select(*keys, *inputs).mapInPandas(partial, schema)
-    merged = buffers.groupBy(*keys).applyInPandas(merge_once, schema)
-    return merged.select(*keys, *[c.alias(n) for n, c in evaluate.items()])
+    buffers = df.select(*keys, *inputs).mapInArrow(fold_batches(update, merge, schema), schema)
+    # A task's final buffers are as many as its keys.
+    together = buffers.repartition(*keys).mapInArrow(fold_batches(merge, merge, schema, None), schema)
+    return together.select(*keys, *[c.alias(n) for n, c in evaluate.items()])

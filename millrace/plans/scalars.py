@@ -286,21 +286,19 @@ def udaf_string_count(spark, base):
     return I.news_access(spark, base).groupBy("user_id").agg(U.row_count().alias("n"))
 
 
+FLAGS = ["l_returnflag", "l_linestatus"]
+
+
 def _moments(frame: pd.DataFrame) -> pd.DataFrame:
-    price = frame["l_extendedprice"]
-    return pd.DataFrame(
-        {"n": [len(frame)], "s": [price.sum()], "low": [price.min()], "high": [price.max()]}
+    price = "l_extendedprice"
+    return frame.groupby(FLAGS, as_index=False, dropna=False).agg(
+        n=(price, "size"), s=(price, "sum"), low=(price, "min"), high=(price, "max")
     )
 
 
 def _merge_moments(frame: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame(
-        {
-            "n": [frame["n"].sum()],
-            "s": [frame["s"].sum()],
-            "low": [frame["low"].min()],
-            "high": [frame["high"].max()],
-        }
+    return frame.groupby(FLAGS, as_index=False, dropna=False).agg(
+        n=("n", "sum"), s=("s", "sum"), low=("low", "min"), high=("high", "max")
     )
 
 
@@ -313,7 +311,7 @@ def _merge_moments(frame: pd.DataFrame) -> pd.DataFrame:
 def udaf_custom_buffer(spark, base):
     return U.custom_aggregate(
         read_table(spark, base, "lineitem"),
-        ["l_returnflag", "l_linestatus"],
+        FLAGS,
         ["l_extendedprice"],
         _moments,
         _merge_moments,

@@ -11,7 +11,6 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.joins import hot_keys
 from millrace.operators.transforms import explode_words
 from millrace.plans import inputs as I
 from millrace.plans.registry import query
@@ -390,10 +389,8 @@ def stream_join(spark, base):
         "l_shipdate",
         "1 day",
     )
-    # What is hot is known from the lines stored so far.
-    hot = hot_keys(read_table(spark, base, "lineitem").select("l_orderkey"), "l_orderkey")
     joined = windows.join_within(
-        orders, lines, "o_orderkey", "l_orderkey", "o_orderdate", "l_shipdate", "121 days", hot
+        orders, lines, "o_orderkey", "l_orderkey", "o_orderdate", "l_shipdate", "121 days"
     )
     columns = ("o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     return sinks.run_append(joined.select(*columns), scratch_path(spark, "t20-join"))
@@ -559,10 +556,7 @@ def join_stream_static(spark, base):
     parts = []
     for how in ("inner", "outer"):
         events = sources.stream_table(spark, base, "events").select("event_id", "user_id")
-        if how == "inner":
-            joined = events.join(static, "user_id")
-        else:  # the static table stands on the left of a right outer join
-            joined = static.join(events, "user_id", "right")
+        joined = windows.join_static(events, static, "user_id", "inner" if how == "inner" else "left")
         rows = joined.select("event_id", F.lit(how).alias("how"), "segment")
         parts.append(sinks.run_append(rows, scratch_path(spark, f"j08-{how}")))
     return parts[0].unionByName(parts[1])

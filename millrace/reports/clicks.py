@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import join_anti_flagged
-from millrace.streaming.windows import sliding_count, top_per_window
+from millrace.streaming.windows import join_static, sliding_count, top_per_window
 
 
 def search_word_counts(searches: DataFrame, time: str = "ts") -> DataFrame:
@@ -30,8 +29,8 @@ def hot_products(counts: DataFrame, n: int = 3) -> DataFrame:
 
 
 def valid_clicks(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Clicks of users not flagged in the blacklist (user_id, flag)."""
-    return join_anti_flagged(clicks, blacklist, "user_id")
+    """Clicks of users not flagged in the blacklist (user_id, flag); a null flag does not count."""
+    return join_static(clicks, blacklist.filter("flag").select("user_id"), "user_id", "left_anti")
 
 
 def purchases(events: DataFrame) -> DataFrame:

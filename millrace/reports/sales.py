@@ -19,20 +19,30 @@ def batch_metrics(purchases: DataFrame) -> DataFrame:
     Number, distinct users, revenue and the product bought most.  An empty batch gives
     no row.
     """
-    totals = purchases.agg(
-        F.count("*").alias("purchases"),
-        F.countDistinct("user_id").alias("users"),
-        F.sum("price").alias("revenue"),
+    pairs = purchases.groupBy("product", "user_id").agg(F.count("*").alias("n"), F.sum("price").alias("revenue"))
+    return _metrics(pairs)
+
+
+def _metrics(pairs: DataFrame) -> DataFrame:
+    """Totals from rows (product, user_id, n, revenue): by product, by user and over all."""
+    cubed = pairs.groupingSets([["product"], ["user_id"], []], "product", "user_id").agg(
+        F.sum("n").alias("n"), F.sum("revenue").alias("revenue"), F.grouping_id().alias("level")
     )
-    counts = purchases.groupBy("product").agg(F.count("*").alias("n"))
-    popular = counts.orderBy(F.desc("n"), "product").limit(1)
-    best = popular.select(F.struct("product", "n")).scalar()
+    whole, per_product, per_user = (F.col("level") == x for x in (3, 1, 2))
+    best = F.max(F.when(per_product, F.struct("n", (-F.col("product")).alias("least"))))
     return (
-        totals.filter(F.col("purchases") > 0)
-        .withColumn("_best", best)
+        cubed.agg(
+            F.sum(F.when(whole, F.col("n"))).alias("purchases"),
+            F.count_if(per_user & F.col("user_id").isNotNull()).alias("users"),
+            F.sum(F.when(whole, F.col("revenue"))).alias("revenue"),
+            best.alias("_best"),
+        )
+        .filter("purchases > 0")
         .select(
-            *totals.columns,
-            F.col("_best.product").alias("top_product"),
+            "purchases",
+            "users",
+            "revenue",
+            (-F.col("_best.least")).alias("top_product"),
             F.col("_best.n").alias("top_purchases"),
         )
     )

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from millrace.functions.folding import Fold, fold_batches
+from millrace.functions.folding import HELD_ROWS, Batches, Fold, fold_batches
 
 Step = Callable[[tuple | None, pd.DataFrame], tuple | None]
 
@@ -23,13 +24,15 @@ def update_state(
     step: Step,
     state: T.StructType,
 ) -> DataFrame:
-    """State per key, updated by a function for every batch with rows of that key.
+    """State per key, updated by a function once per key and micro-batch.
 
     ``combine`` folds raw rows to one row per key with schema ``combined`` and ``merge``
     folds such rows again; both run in the reading tasks, so a hot key is shuffled as
-    about one row per task.  ``step`` gets the old state (or None) and those rows and returns the new state, or
-    None to forget the key.  The output has the key, the state and ``alive``; run it in
-    update mode.  A forgotten key appears once more with ``alive`` false.
+    about one row per task, and once more before ``step``.  ``step`` gets the old state
+    (or None) and the key's one combined row and returns the new state, or None to forget
+    the key.  Keys without new rows keep their state.  The output has the key, the state
+    and ``alive``; run it in update mode.  A forgotten key appears once more with
+    ``alive`` false.
     """
     fields = state.fieldNames()
     key_type = df.schema[key].dataType
@@ -41,27 +44,22 @@ def update_state(
         keys: tuple, batches: Iterator[pd.DataFrame], held: GroupState
     ) -> Iterator[pd.DataFrame]:
         current = tuple(held.get) if held.exists else None
+        rows = None
         for batch in batches:
-            new = step(current, batch)
-            if new is None:
-                if held.exists:
-                    held.remove()
-                yield pd.DataFrame(
-                    [(keys[0], *(current or [None] * len(fields)), False)],
-                    columns=output.fieldNames(),
-                )
-                return
-            current = new
-        if current is not None:
-            held.update(current)
-            yield pd.DataFrame([(keys[0], *current, True)], columns=output.fieldNames())
+            rows = merge(batch if rows is None else pd.concat([rows, batch], ignore_index=True))
+        new = step(current, rows)
+        alive = new is not None
+        if alive:
+            held.update(new)
+        elif held.exists:
+            held.remove()
+        last = new if alive else current or (None,) * len(fields)
+        yield pd.DataFrame([(keys[0], *last, alive)], columns=output.fieldNames())
 
     return (
-        df.mapInPandas(fold_batches(combine, merge), combined)
+        df.mapInArrow(fold_batches(combine, merge, combined), combined)
         .groupBy(key)
-        .applyInPandasWithState(
-            advance, output, state, "update", GroupStateTimeout.NoTimeout
-        )
+        .applyInPandasWithState(advance, output, state, "update", GroupStateTimeout.NoTimeout)
     )
 
 
@@ -69,7 +67,23 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     """Rows of a stream that have not occurred before; run it in append mode.
 
     Repeats within a task are dropped before the shuffle, so a row that makes up much
-    of the input does not burden one task.
+    of the input does not burden one task.  Rows with nested columns are compared after
+    the shuffle only.
     """
-    thin = fold_batches(pd.DataFrame.drop_duplicates, pd.DataFrame.drop_duplicates)
-    return df.mapInPandas(thin, df.schema).distinct()
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    if any(isinstance(f.dataType, nested) for f in df.schema.fields):
+        return df.distinct()
+    return df.mapInArrow(_thinned, df.schema).distinct()
+
+
+def _thinned(batches: Batches) -> Batches:
+    held = None
+    for batch in batches:
+        fresh = pa.Table.from_batches([batch])
+        rows = fresh if held is None else pa.concat_tables([held, fresh])
+        held = rows.group_by(rows.column_names).aggregate([]).select(rows.column_names)
+        if held.num_rows > HELD_ROWS:
+            yield from held.to_batches()
+            held = None
+    if held is not None:
+        yield from held.to_batches()

@@ -7,8 +7,6 @@ the watermark has passed its end; rows later than that are dropped.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,26 +70,17 @@ def join_within(
     left_time: str,
     right_time: str,
     span: str,
-    hot_keys: Sequence = (),
-    salts: int = 32,
+    salts: int = 8,
 ) -> DataFrame:
     """Join two streams on a key where the right row is at most ``span`` later.
 
-    Both need a watermark; the time bound lets old state go.  A stream join cannot
-    split a skewed key by itself, so keys known to be hot (see
-    :func:`millrace.operators.joins.hot_keys`) are named: their right rows are spread
-    over ``salts`` parts and their left rows sent to each part.  All other rows keep
-    one copy and part 0.
+    Both need a watermark; the time bound lets old state go.  A stream join cannot split a
+    skewed key by itself, so right rows of every key are spread over ``salts`` parts and
+    left rows sent to each part.  The parts depend on the rows alone: after a restart
+    stored rows and new ones still meet.  ``salts`` must stay the same for a checkpoint.
     """
-    def is_hot(key: str) -> Column:
-        return F.coalesce(F.col(key).isin(list(hot_keys)), F.lit(False))
-
-    part = F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")
-    spread = right.withColumn("_right_part", F.when(is_hot(right_key), part).otherwise(0))
-    parts = F.when(is_hot(left_key), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    copied = left.withColumn("_left_part", F.explode(parts))
+    spread = right.withColumn("_right_part", F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int"))
+    copied = left.withColumn("_left_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     condition = (
         (F.col(left_key) == F.col(right_key))
         & (F.col("_left_part") == F.col("_right_part"))
@@ -99,3 +88,18 @@ def join_within(
         & (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {span}"))
     )
     return copied.join(spread, condition).drop("_left_part", "_right_part")
+
+
+def join_static(
+    stream: DataFrame, static: DataFrame, on: str, how: str = "inner", salts: int = 8
+) -> DataFrame:
+    """Join a stream with a table on one column; ``how`` is inner, left or left_anti.
+
+    Stream rows of every key are spread over ``salts`` parts and the table is copied to
+    each, so a key that a third of the stream shares is met in ``salts`` tasks.
+    """
+    columns = [c for c in stream.columns if c != on]
+    part = F.pmod(F.xxhash64(on, *columns), F.lit(salts)).cast("int").alias("_part")
+    copies = static.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    added = [] if how == "left_anti" else [c for c in static.columns if c != on]
+    return stream.select("*", part).join(copies, [on, "_part"], how).select(*stream.columns, *added)

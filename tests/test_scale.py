@@ -129,19 +129,19 @@ def test_long_rankings_are_numbered_in_blocks(spark, monkeypatch, collected):
 
 
 def test_custom_aggregate_folds_in_tasks(spark, skewed, collected):
-    def update(frame):
-        return pd.DataFrame({"n": [len(frame)], "s": [int(frame["v"].sum())]})
-
-    def merge(frame):
-        return pd.DataFrame({"n": [frame["n"].sum()], "s": [frame["s"].sum()]})
-
-    got = U.custom_aggregate(skewed.withColumn("k2", F.col("k") % 2), ["k", "k2"], ["v"], update, merge,
-                             "n long, s long", {"n": F.col("n"), "s": F.col("s")})
-    expected = skewed.withColumn("k2", F.col("k") % 2).groupBy("k", "k2").agg(F.count("*"), F.sum("v"))
-    assert collected(got) == collected(expected)
-    some_null = skewed.withColumn("k", F.when(F.col("k") > 2, F.col("k")))
-    got = U.custom_aggregate(some_null, ["k"], ["v"], update, merge, "n long, s long", {"n": F.col("n"), "s": F.col("s")})
-    assert collected(got) == collected(some_null.groupBy("k").agg(F.count("*"), F.sum("v")))
+    def update(keys):
+        return lambda frame: frame.groupby(keys, as_index=False, dropna=False).agg(n=("v", "size"), s=("v", "sum"))
+
+    def merge(keys):
+        return lambda frame: frame.groupby(keys, as_index=False, dropna=False).agg(n=("n", "sum"), s=("s", "sum"))
+
+    out = {"n": F.col("n"), "s": F.col("s")}
+    two = skewed.withColumn("k2", F.col("k") % 2)
+    got = U.custom_aggregate(two, ["k", "k2"], ["v"], update(["k", "k2"]), merge(["k", "k2"]), "n long, s long", out)
+    assert collected(got) == collected(two.groupBy("k", "k2").agg(F.count("*"), F.sum("v")))
+    large = skewed.withColumn("k", F.when(F.col("k") > 2, F.col("k") + 2**53))
+    got = U.custom_aggregate(large, ["k"], ["v"], update(["k"]), merge(["k"]), "n long, s long", out)
+    assert collected(got) == collected(large.groupBy("k").agg(F.count("*"), F.sum("v")))
 
 
 def test_scratch_space_is_the_shared_folder(spark):
