@@ -9,6 +9,8 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.matrices import multiply_rows
+
 
 def pca_fit(df: DataFrame, k: int = 10, features: str = "features") -> PCAModel:
     """The ``k`` directions of largest variance."""
@@ -50,3 +52,17 @@ def svd_topk(df: DataFrame, vector: str, k: int) -> tuple[DataFrame, DataFrame]:
         "i long, j long, v double",
     )
     return values, right
+
+
+def svd_left(
+    df: DataFrame, vector: str, values: DataFrame, right: DataFrame, width: int
+) -> DataFrame:
+    """Adds ``us``, each row's part of U times S, and ``u``, its part of U.
+
+    U times S is the rows times the right vectors, so it is made row by row; u is null
+    where a singular value is 0.
+    """
+    singular = [r["s"] for r in values.orderBy("j").collect()]
+    projected = multiply_rows(df, vector, right, "us", (width, len(singular)))
+    u = F.transform("us", lambda x, j: F.try_divide(x, F.nullif(F.get(F.array(*map(F.lit, singular)), j), F.lit(0.0))))
+    return projected.withColumn("u", u)

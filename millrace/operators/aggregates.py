@@ -9,7 +9,6 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import is_small
 from millrace.operators.ranking import global_row_number
 from millrace.operators.transforms import explode_words
 from millrace.session import materialise
@@ -44,44 +43,22 @@ def group_values(
     value: str,
     spread: str,
     distinct: bool = False,
-    chunk_size: int = 100_000,
-    salts: int = 64,
+    parts: int = 8,
 ) -> DataFrame:
-    """All values of each key, sorted, in chunks of about ``chunk_size`` values.
+    """All values of each key, sorted, in at most ``parts`` rows ``(key, part, values)``.
 
-    A key may hold a large share of the table, so a key with more values than that
-    gets as many rows ``(key, chunk, values)`` as its count asks for; any other key
-    has the single chunk 0.  ``spread`` is a whole-number column that deals the rows
-    of a large key evenly to its chunks (a row id; with ``distinct`` its least value
-    per key and value).
-
-    Only the large keys' counts are joined back; they are stored first, so that their
-    size is known.  If even those are too many to ship, the join runs on key and salt,
-    so a large key's rows never meet in one task on the way to their chunks.
+    A value's part follows from a hash of ``spread``, a row id (with ``distinct`` its least
+    one per key and value), for every key alike: a key that holds a large share of the
+    table is ``parts`` lists of about equal length.  Parts without values have no row.
     """
     rows = df.select(key, value, spread)
     if distinct:
         rows = rows.groupBy(key, value).agg(F.min(spread).alias(spread))
-    large = materialise(
-        rows.groupBy(key)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > chunk_size)
-        .select(F.col(key).alias("_key"), F.ceil(F.col("_n") / chunk_size).alias("_chunks")),
-        "large-keys",
-    )
-    same_key = F.col(key).eqNullSafe(F.col("_key"))
-    if is_small(large):
-        counted = rows.join(F.broadcast(large), same_key, "left")
-    else:
-        part = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
-        copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        counted = rows.withColumn("_salt", part).join(
-            large.withColumn("_copy", copies), same_key & (F.col("_salt") == F.col("_copy")), "left"
-        )
-    chunk = F.coalesce(F.pmod(F.col(spread), F.col("_chunks")), F.lit(0).cast("long"))
+    digits = F.substring(F.md5(F.col(spread).cast("string")), 1, 8)
+    part = (F.conv(digits, 16, 10).cast("long") % parts).cast("int")
     return (
-        counted.withColumn("chunk", chunk)
-        .groupBy(key, "chunk")
+        rows.withColumn("part", F.coalesce(part, F.lit(0)))
+        .groupBy(key, "part")
         .agg(F.sort_array(F.collect_list(value)).alias("values"))
     )
 

@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-
-
 def join_inner(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column) -> DataFrame:
     """Equi inner join.
 
@@ -68,24 +65,6 @@ def join_outer_default(
     )
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most ``rows`` rows.
-
-    Partitions are run a few at a time until enough rows are seen, so a large table is
-    not read whole; what reaches the driver is one constant per row seen.
-    """
-    return len(df.select(F.lit(1)).limit(rows + 1).collect()) <= rows
-
-
-def collect_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> list[Row] | None:
-    """The rows of a table of at most ``rows`` rows, or None for a larger one.
-
-    Computes a small table once, where a size check and a broadcast would do so twice.
-    """
-    held = df.limit(rows + 1).collect()
-    return held if len(held) <= rows else None
-
-
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
     """Keys that hold more than ``share`` of the rows: fewer than ``1 / share`` of them.
 
@@ -102,13 +81,13 @@ def join_code_table(
     codes: DataFrame,
     on: str | Sequence[str] | Column,
     how: str = "inner",
-    rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join a code table shipped to all workers after its size is checked.
+    """Join a code table.
 
-    A table beyond the bound is joined by key instead, with the same result.
+    No hint is given: the optimiser ships a table whose bytes it knows, or finds at run
+    time, to be below its threshold, and otherwise sorts and merges.
     """
-    return left.join(F.broadcast(codes) if is_small(codes, rows) else codes, on, how)
+    return left.join(codes, on, how)
 
 
 def zip_by_row_id(left: DataFrame, right: DataFrame, row_id: str) -> DataFrame:

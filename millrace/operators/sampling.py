@@ -13,11 +13,6 @@ from millrace.operators.topn import top_n_per_group
 HASH_RANGE = 2**32
 
 
-def sample_fraction(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Each row with the given probability, without replacement."""
-    return df.sample(False, fraction, seed)
-
-
 def hash_share(ids: Sequence[str], seed: int) -> Column:
     """A number in [0, 1) that depends only on the row's id and the seed.
 
@@ -27,6 +22,15 @@ def hash_share(ids: Sequence[str], seed: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / HASH_RANGE
 
 
+def sample_fraction(df: DataFrame, ids: Sequence[str], fraction: float, seed: int) -> DataFrame:
+    """Each row with the given probability, without replacement.
+
+    Unlike ``DataFrame.sample`` the choice depends on a row's id and the seed alone, not
+    on the layout of the data.
+    """
+    return df.filter(hash_share(ids, seed) < fraction)
+
+
 def random_split(
     df: DataFrame, ids: Sequence[str], weights: Sequence[float], seed: int, into: str = "part"
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from millrace.plans.registry import query
 from millrace.session import read_table
 
 # Values per list in the grouped-values queries.
-CHUNK = 40
+PARTS = 4
 
 
 @query(
@@ -47,27 +47,23 @@ def combine_by_key_avg(spark, base):
     return combined.withColumn("mean", F.round("mean", 6))
 
 
-def _chunked_sql(rows: str, key: str, value: str, spread: str) -> str:
-    return f"""WITH rows AS ({rows}),
-        sizes AS (SELECT {key}, CASE WHEN count(*) > {CHUNK}
-                  THEN CAST(ceil(count(*) / {CHUNK}.0) AS BIGINT) ELSE 1 END AS chunks
-                  FROM rows GROUP BY {key})
-        SELECT {key}, chunk, string_agg(CAST({value} AS VARCHAR), ',' ORDER BY {value}) AS vals
-        FROM (SELECT r.*, r.{spread} % chunks AS chunk FROM rows r JOIN sizes USING ({key}))
-        GROUP BY {key}, chunk"""
+def _parts_sql(rows: str, key: str, value: str, spread: str) -> str:
+    return f"""SELECT {key}, CAST(('0x' || substr(md5(CAST({spread} AS VARCHAR)), 1, 8))::BIGINT % {PARTS} AS INTEGER) AS part,
+        string_agg(CAST({value} AS VARCHAR), ',' ORDER BY {value}) AS vals
+        FROM ({rows}) GROUP BY 1, 2"""
 
 
 @query(
     "a04_group_values",
-    _chunked_sql(
+    _parts_sql(
         "SELECT o_custkey, o_orderkey FROM orders", "o_custkey", "o_orderkey", "o_orderkey"
     ),
 )
 def group_values(spark, base):
     orders = read_table(spark, base, "orders").withColumn("row_id", F.col("o_orderkey"))
-    grouped = A.group_values(orders, "o_custkey", "o_orderkey", "row_id", chunk_size=CHUNK)
+    grouped = A.group_values(orders, "o_custkey", "o_orderkey", "row_id", parts=PARTS)
     return grouped.select(
-        "o_custkey", "chunk", F.array_join(F.col("values").cast("array<string>"), ",").alias("vals")
+        "o_custkey", "part", F.array_join(F.col("values").cast("array<string>"), ",").alias("vals")
     )
 
 
@@ -101,11 +97,11 @@ def count_distinct(spark, base):
 
 @query(
     "a07_collect_list_set",
-    "SELECT kind, p_brand, chunk, vals FROM ("
+    "SELECT kind, p_brand, part, vals FROM ("
     + "SELECT 'list' AS kind, * FROM ("
-    + _chunked_sql("SELECT p_brand, p_type, p_partkey FROM part", "p_brand", "p_type", "p_partkey")
+    + _parts_sql("SELECT p_brand, p_type, p_partkey FROM part", "p_brand", "p_type", "p_partkey")
     + ") UNION ALL SELECT 'set' AS kind, * FROM ("
-    + _chunked_sql(
+    + _parts_sql(
         "SELECT p_brand, p_type, min(p_partkey) AS p_partkey FROM part GROUP BY p_brand, p_type",
         "p_brand",
         "p_type",
@@ -118,12 +114,12 @@ def collect_list_set(spark, base):
     names = {}
     for kind in ("list", "set"):
         grouped = A.group_values(
-            part, "p_brand", "p_type", "p_partkey", distinct=kind == "set", chunk_size=CHUNK
+            part, "p_brand", "p_type", "p_partkey", distinct=kind == "set", parts=PARTS
         )
         names[kind] = grouped.select(
             F.lit(kind).alias("kind"),
             "p_brand",
-            "chunk",
+            "part",
             F.array_join("values", ",").alias("vals"),
         )
     return names["list"].unionByName(names["set"])

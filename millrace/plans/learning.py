@@ -423,6 +423,39 @@ def svd_topk(spark, base):
     return values
 
 
+CENTRED_SQL = """, centred AS (SELECT i, j, v - avg(v) OVER (PARTITION BY j) AS v FROM entries) """
+
+
+@query(
+    "l28_svd_energy",
+    I.with_tables("entries") + CENTRED_SQL
+    + "SELECT CAST(64 AS BIGINT) AS k, round(sum(v * v), 4) AS energy, round(sum(v * v), 4) AS projected FROM centred",
+)
+def svd_energy(spark, base):
+    """All singular values: their squares, and those of U times S, add up to those of the entries."""
+    rows = features.standard_scale(I.vec(spark, base), "v", "z", with_std=False)
+    values, right = reduce.svd_topk(rows, "z", 64)
+    both = reduce.svd_left(rows, "z", values, right, 64)
+    squares = F.aggregate("us", F.lit(0.0), lambda a, x: a + x * x)
+    total = both.agg(F.round(F.sum(squares), 4).alias("projected"))
+    singular = values.agg(F.count("*").alias("k"), F.round(F.sum(F.col("s") ** 2), 4).alias("energy"))
+    return singular.withColumn("projected", total.scalar())
+
+
+@query(
+    "l28_svd_left_rows",
+    I.with_tables("entries") + CENTRED_SQL
+    + "SELECT i AS vec_id, round(sum(v * v), 6) AS squared FROM centred GROUP BY i",
+)
+def svd_left_rows(spark, base):
+    """Each row's U times S is as long as the row, since the right vectors are a rotation."""
+    rows = features.standard_scale(I.vec(spark, base), "v", "z", with_std=False)
+    values, right = reduce.svd_topk(rows, "z", 64)
+    both = reduce.svd_left(rows.select("vec_id", "z"), "z", values, right, 64)
+    squares = F.aggregate("us", F.lit(0.0), lambda a, x: a + x * x)
+    return both.select("vec_id", F.round(squares, 6).alias("squared"))
+
+
 @query(
     "l29_model_score_table",
     "SELECT l_orderkey, round(intercept + slope * l_quantity, 5) AS prediction FROM lineitem, "

@@ -10,10 +10,14 @@ from millrace.plans.registry import query
 from millrace.session import read_table
 
 
-@query("x01_sample_fraction")
+@query(
+    "x01_sample_fraction",
+    """SELECT o_orderkey, o_totalprice FROM orders
+       WHERE ('0x' || substr(md5(o_orderkey || '|7'), 1, 8))::BIGINT / 4294967296.0 < 0.1""",
+)
 def sample_fraction(spark, base):
     orders = read_table(spark, base, "orders").select("o_orderkey", "o_totalprice")
-    return X.sample_fraction(orders, 0.1, seed=7)
+    return X.sample_fraction(orders, ["o_orderkey"], 0.1, seed=7)
 
 
 @query(

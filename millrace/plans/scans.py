@@ -142,13 +142,13 @@ def table_create_load(spark, base):
 
 @query(
     "s12_table_save_read",
-    I.with_tables("employee") + "SELECT emp_id, salary FROM employee WHERE salary >= 5000",
+    I.with_tables("employee") + "SELECT emp_id, salary FROM employee",
 )
 def table_save_read(spark, base):
     target = scratch_path(spark, "saved")
-    rich = I.employee(spark, base).filter("salary >= 5000").select("emp_id", "salary")
+    staff = I.employee(spark, base).select("emp_id", "salary")
     return tables.table_save_read(
-        rich, "millrace_" + target.rsplit("-", 1)[1], location=target
+        staff, "millrace_" + target.rsplit("-", 1)[1], location=target
     )
 
 

@@ -1,7 +1,9 @@
 """Streaming operators (T, J08) and stream reports (R10-R13).
 
 Every query streams a whole table with ``availableNow`` and returns what reached the
-sink.  Socket, broker and database queries are not registered: they need a port, a
+sink.  Where what matters is how batches follow each other (late rows, restarts, results per
+batch), the table arrives in parts and the query is restarted from its checkpoint after
+each.  Socket, broker and database queries are not registered: they need a port, a
 connector or a database; see ``streaming/sources.py`` and ``streaming/sinks.py``.
 """
 
@@ -49,6 +51,22 @@ def _sliding_sql(keys, seconds, slide, aggregates, source="click_log", where="tr
         GROUP BY w_start{group}) sliding {done}"""
 
 
+ARRIVALS = 3
+
+
+def _arrivals(spark, base, table, label, part):
+    """The stream over a folder in which a table's parts arrive one after the other."""
+    folder = scratch_path(spark, f"{label}-in")
+    rows = read_table(spark, base, table)
+    for k in range(ARRIVALS):
+        rows.filter(F.expr(part) == k).write.mode("append").parquet(folder)
+        yield sources.stream_files(spark, folder, rows.schema)
+
+
+# The log by thirds of the month.
+THIRD = "(dayofmonth(ts) - 1) div 11"
+THIRD_SQL = "(extract(day FROM ts) - 1) // 11"
+
 CLICK_LOG = I.with_tables("click_log")
 STARTS = _stamp("w_start", "start") + ", " + _stamp("w_end", '"end"')
 
@@ -191,17 +209,32 @@ def stream_event_window(spark, base):
     return _as_text(sinks.run_append(counts, scratch_path(spark, "t10")), "start", "end")
 
 
+# Every fiftieth row arrives a third of a month late, mostly behind the watermark.
+LATE = "least((dayofmonth(ts) - 1) div 11 + if(event_id % 50 = 0, 1, 0), 2)"
+
+
 @query(
     "t11_stream_watermark_late",
-    CLICK_LOG + f"SELECT {STARTS}, category, n, total FROM "
-    + _sliding_sql(["category"], 3600, 3600, "count(*) AS n, round(sum(value), 2) AS total"),
+    CLICK_LOG
+    + f""", arrived AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS w_start,
+              least({THIRD_SQL} + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END, 2) AS k FROM click_log),
+         marks AS (SELECT b.k, max(a.ts) - INTERVAL 10 MINUTE AS mark
+              FROM arrived a JOIN (SELECT unnest([1, 2, 3]) AS k) b ON a.k < b.k GROUP BY b.k)
+         SELECT {_stamp('w_start', 'start')}, {_stamp('w_start + INTERVAL 1 HOUR', '"end"')}, category,
+              count(*) AS n, round(sum(value), 2) AS total
+         FROM arrived a LEFT JOIN marks m ON m.k = a.k
+         WHERE (mark IS NULL OR w_start + INTERVAL 1 HOUR > mark)
+           AND w_start + INTERVAL 1 HOUR <= (SELECT mark FROM marks WHERE k = 3)
+         GROUP BY w_start, category""",
 )
 def stream_watermark_late(spark, base):
-    hourly = windows.window_aggregate(
-        _clicks(spark, base), "ts", "1 hour", None, "category",
-        n=F.count("*"), total=F.sum("value"),
-    )
-    closed = sinks.run_append(hourly, scratch_path(spark, "t11"))
+    path = scratch_path(spark, "t11")
+    for stream in _arrivals(spark, base, "events", "t11", LATE):
+        clicks_so_far = I.as_click_log(sources.with_event_time(stream, "ts", DELAY))
+        hourly = windows.window_aggregate(
+            clicks_so_far, "ts", "1 hour", None, "category", n=F.count("*"), total=F.sum("value")
+        )
+        closed = sinks.run_append(hourly, path)
     return _as_text(closed, "start", "end").withColumn("total", F.round("total", 2))
 
 
@@ -263,37 +296,48 @@ def stream_foreach_batch_sql(spark, base):
     return sinks.read_batches(spark, path, schema).drop("batch")
 
 
+METRICS = T.StructType(
+    [
+        T.StructField("purchases", T.LongType()),
+        T.StructField("users", T.LongType()),
+        T.StructField("revenue", T.DoubleType()),
+        T.StructField("top_product", T.LongType()),
+        T.StructField("top_purchases", T.LongType()),
+    ]
+)
+
+
+def _metrics_per_batch(streams, path, spark):
+    for stream in streams:
+        bought = clicks.purchases(I.as_click_log(stream))
+        sinks.finish(sinks.per_batch(bought, path, lambda batch, _: sales.batch_metrics(batch)))
+    return sinks.read_batches(spark, path, METRICS).withColumn("revenue", F.round("revenue", 2))
+
+
 @query(
     "t14_stream_batch_metrics",
-    CLICK_LOG + f"SELECT {STARTS}, purchases, revenue FROM "
-    + _sliding_sql(
-        [], 86400, 86400, "count(*) AS purchases, round(sum(value), 2) AS revenue",
-        where="category = 'purchase'",
-    ),
+    CLICK_LOG
+    + f""", p AS (SELECT *, {THIRD_SQL} AS batch FROM click_log WHERE category = 'purchase'),
+         best AS (SELECT batch, product, count(*) AS n FROM p GROUP BY batch, product
+              QUALIFY row_number() OVER (PARTITION BY batch ORDER BY n DESC, product) = 1)
+         SELECT p.batch, count(*) AS purchases, count(DISTINCT user_id) AS users, round(sum(value), 2) AS revenue,
+              any_value(best.product) AS top_product, any_value(best.n) AS top_purchases
+         FROM p JOIN best ON best.batch = p.batch GROUP BY p.batch""",
 )
 def stream_batch_metrics(spark, base):
-    bought = _clicks(spark, base).filter("category = 'purchase'")
-    daily = windows.window_aggregate(
-        bought, "ts", "1 day", None,
-        purchases=F.count("*"), revenue=F.sum("value"),
-        users=F.approx_count_distinct("user_id"),
-    )
-    closed = _as_text(sinks.run_append(daily, scratch_path(spark, "t14")), "start", "end")
-    # The estimated distinct users are left out: the oracle has none to compare with.
-    return closed.withColumn("revenue", F.round("revenue", 2)).drop("users")
+    streams = _arrivals(spark, base, "events", "t14", THIRD)
+    return _metrics_per_batch(streams, scratch_path(spark, "t14"), spark)
 
 
 @query("t16_stream_sink_files", 
-    "SELECT event_id, event_type, value, kind FROM events, (VALUES ('json'), ('orc'), ('csv')) t(kind) "
-    "WHERE value >= 100",
+    "SELECT event_id, event_type, value, kind FROM events, (VALUES ('json'), ('orc'), ('csv')) t(kind)",
 )
 def stream_sink_files(spark, base):
     events = sources.stream_table(spark, base, "events").select("event_id", "event_type", "value")
-    large = events.filter("value >= 100")
     path = scratch_path(spark, "t16")
     for kind in ("json", "orc", "csv"):
-        sinks.finish(sinks.to_files(large, f"{path}/{kind}", source=kind))
-    read = spark.read.schema(large.schema)
+        sinks.finish(sinks.to_files(events, f"{path}/{kind}", source=kind))
+    read = spark.read.schema(events.schema)
     parts = [
         read.format(kind).load(f"{path}/{kind}").withColumn("kind", F.lit(kind))
         for kind in ("json", "orc", "csv")
@@ -301,13 +345,12 @@ def stream_sink_files(spark, base):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query("t17_stream_sink_foreach", "SELECT event_id, event_type, value FROM events WHERE value >= 100")
+@query("t17_stream_sink_foreach", "SELECT event_id, event_type, value FROM events")
 def stream_sink_foreach(spark, base):
     events = sources.stream_table(spark, base, "events").select("event_id", "event_type", "value")
-    large = events.filter("value >= 100")
     path = scratch_path(spark, "t17")
-    sinks.finish(sinks.to_foreach(large, path))
-    return spark.read.schema(large.schema).json(f"{path}/batch=*")
+    sinks.finish(sinks.to_foreach(events, path))
+    return spark.read.schema(events.schema).json(f"{path}/batch=*")
 
 
 @query(
@@ -399,8 +442,9 @@ def stream_join(spark, base):
 @query("t21_stream_checkpoint_restart", PURCHASES_SQL)
 def stream_checkpoint_restart(spark, base):
     path = scratch_path(spark, "t21")
-    for _ in range(2):  # the second run resumes from the first one's checkpoint
-        bought = clicks.purchases(_clicks(spark, base, None))
+    # Each run resumes from the checkpoint of the one before and finds new input.
+    for stream in _arrivals(spark, base, "events", "t21", THIRD):
+        bought = clicks.purchases(I.as_click_log(stream))
         running = bought.groupBy("user_id").agg(
             F.count("*").alias("purchases"), F.sum("price").alias("revenue")
         )
@@ -427,11 +471,11 @@ def stream_trigger(spark, base):
 @query("t23_stream_query_manage", "SELECT count(*) AS input_rows, true AS ended FROM events")
 def stream_query_manage(spark, base):
     events = sources.stream_table(spark, base, "events").select("event_id")
-    done = sinks.finish(sinks.to_files(events, scratch_path(spark, "t23")))
+    with sinks.ProgressLog(spark) as log:
+        done = sinks.finish(sinks.to_files(events, scratch_path(spark, "t23")))
+        progress = log.frame(done)
     ended = done.exception() is None and not done.isActive
-    return sinks.progress_frame(done).agg(
-        F.sum("input_rows").alias("input_rows"), F.lit(ended).alias("ended")
-    )
+    return progress.agg(F.sum("input_rows").alias("input_rows"), F.lit(ended).alias("ended"))
 
 
 @query(
@@ -446,8 +490,8 @@ def stream_filter_select_group(spark, base):
     return latest.withColumn("mean", F.round("mean", 4))
 
 
-def _priced_lines(spark, base):
-    lines = sources.stream_table(spark, base, "lineitem")
+def _priced_lines(spark, base, lines=None):
+    lines = sources.stream_table(spark, base, "lineitem") if lines is None else lines
     return lines.select(
         "l_orderkey",
         "l_partkey",
@@ -475,18 +519,38 @@ def stream_train_predict(spark, base):
     return scored.select("l_orderkey", "l_partkey", F.round("prediction", 6).alias("prediction"))
 
 
-@query(
-    "t26_stream_compare_models",
-    ONLINE_SQL + "SELECT m AS model, round(avg(y * y), 6) AS mse, round(sqrt(avg(y * y)), 6) AS rmse "
-    "FROM x, (VALUES ('small_step'), ('large_step')) t(m) GROUP BY m",
-)
+def _error_sql(weights):
+    """The mean squared error of weights from a batch's second moments."""
+    a, b, c = weights
+    return f"""yy - 2 * ({a} * ya + {b} * yb + {c} * yc) + {a} * {a} * aa + {b} * {b} * bb + {c} * {c} * cc
+        + 2 * ({a} * {b} * ab + {a} * {c} * ac + {b} * {c} * bc)"""
+
+
+# Gradient descent over three batches, in SQL: the moments of each batch, then weights and errors in turn.
+DESCENT_SQL = f"""WITH x AS (SELECT l_orderkey % 3 AS k, l_extendedprice / 100000 AS y, l_quantity / 50 AS a,
+        l_discount * 10 AS b, l_tax * 10 AS c FROM lineitem),
+    m AS (SELECT k, avg(y * y) AS yy, avg(y * a) AS ya, avg(y * b) AS yb, avg(y * c) AS yc, avg(a * a) AS aa,
+        avg(b * b) AS bb, avg(c * c) AS cc, avg(a * b) AS ab, avg(a * c) AS ac, avg(b * c) AS bc FROM x GROUP BY k),
+    models(model, step) AS (VALUES ('small_step', 0.01::DOUBLE), ('large_step', 0.5::DOUBLE)),
+    first AS (SELECT model, step, yy AS e0, step * ya AS wa, step * yb AS wb, step * yc AS wc FROM models, m WHERE k = 0),
+    second AS (SELECT model, e0, {_error_sql(("wa", "wb", "wc"))} AS e1,
+        wa - step * (aa * wa + ab * wb + ac * wc - ya) AS va, wb - step * (ab * wa + bb * wb + bc * wc - yb) AS vb,
+        wc - step * (ac * wa + bc * wb + cc * wc - yc) AS vc FROM first, m WHERE k = 1),
+    third AS (SELECT model, e0, e1, {_error_sql(("va", "vb", "vc"))} AS e2 FROM second, m WHERE k = 2)
+    SELECT model, batch, round(e, 6) AS mse, round(sqrt(e), 6) AS rmse
+    FROM (SELECT model, unnest([0, 1, 2])::BIGINT AS batch, unnest([e0, e1, e2]) AS e FROM third)"""
+
+
+@query("t26_stream_compare_models", DESCENT_SQL)
 def stream_compare_models(spark, base):
-    steps = {"small_step": 0.01, "large_step": 1.0}
-    models = OnlineLinearModels(scratch_path(spark, "t26"), steps, width=3)
-    sinks.finish(models.train_on(_priced_lines(spark, base)))
-    # The first batch meets the starting weights, all zero.
-    first = models.results(spark, "errors").filter("batch = 0")
-    return first.select("model", F.round("mse", 6).alias("mse"), F.round("rmse", 6).alias("rmse"))
+    """The error of two models that differ in step size, batch by batch, before they learn from it."""
+    models = OnlineLinearModels(scratch_path(spark, "t26"), {"small_step": 0.01, "large_step": 0.5}, width=3)
+    for lines in _arrivals(spark, base, "lineitem", "t26", "l_orderkey % 3"):
+        sinks.finish(models.train_on(_priced_lines(spark, base, lines)))
+    errors = models.results(spark, "errors")
+    return errors.select(
+        "model", F.col("batch").cast("long").alias("batch"), F.round("mse", 6).alias("mse"), F.round("rmse", 6).alias("rmse")
+    )
 
 
 @query(
@@ -619,20 +683,4 @@ def valid_ad_clicks(spark, base):
     "FROM p",
 )
 def session_metrics_batch(spark, base):
-    bought = clicks.purchases(_clicks(spark, base, None))
-    path = scratch_path(spark, "r13")
-
-    def measure(batch, _):
-        return sales.batch_metrics(batch)
-
-    sinks.finish(sinks.per_batch(bought, path, measure))
-    schema = T.StructType(
-        [
-            T.StructField("purchases", T.LongType()),
-            T.StructField("users", T.LongType()),
-            T.StructField("revenue", T.DoubleType()),
-            T.StructField("top_product", T.LongType()),
-            T.StructField("top_purchases", T.LongType()),
-        ]
-    )
-    return sinks.read_batches(spark, path, schema).withColumn("revenue", F.round("revenue", 2))
+    return _metrics_per_batch([_events(spark, base, None)], scratch_path(spark, "r13"), spark)

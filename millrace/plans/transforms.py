@@ -9,7 +9,7 @@ from millrace.operators import joins as J
 from millrace.operators import transforms as P
 from millrace.plans import inputs as I
 from millrace.plans.registry import query
-from millrace.session import read_table
+from millrace.session import materialise, read_table
 
 
 @query("p01_select_columns", "SELECT o_orderkey, o_orderstatus FROM orders")
@@ -252,7 +252,10 @@ def cache_reuse(spark, base):
     by_dep = staff.groupBy(F.lit("dep").alias("kind"), F.col("dep_id").cast("string").alias("key"))
     by_gender = staff.groupBy(F.lit("gender").alias("kind"), F.col("gender").alias("key"))
     counted = F.count("*").alias("n")
-    return by_dep.agg(counted).unionByName(by_gender.agg(counted))
+    try:
+        return materialise(by_dep.agg(counted).unionByName(by_gender.agg(counted)), "counts")
+    finally:
+        staff.unpersist()
 
 
 @query(

@@ -29,7 +29,7 @@ def shared_root(spark: SparkSession) -> str:
     root = context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by all nodes")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
     return context.getCheckpointDir().rstrip("/")

@@ -8,6 +8,7 @@ checkpoint neither loses nor doubles rows.
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -15,7 +16,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from millrace.sources.jdbc import Database, sink_jdbc
 
@@ -91,16 +92,31 @@ def per_batch(
 
     Inside the operation anything allowed on a table is allowed: windows, exact
     distinct counts, sorting, SQL.  An operation that returns nothing writes nothing.
+    In complete mode a batch holds the whole result, so the one before it is removed.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         result = batch if transform is None else transform(batch, batch_id)
         if result is not None:
             result.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            if mode == "complete" and batch_id:
+                _remove(batch.sparkSession, f"{path}/batch={batch_id - 1}")
 
     return start(df, path, mode, trigger, lambda writer: writer.foreachBatch(run))
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """A path with the scheme of its file system, Spark's default one if it names none."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files, files.makeQualified(place)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, place = _hadoop_path(spark, path)
+    files.delete(place, True)
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All batches written by :func:`per_batch`, with their number in ``batch``."""
     typed = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
@@ -183,8 +199,9 @@ def _file_system(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 
 def to_foreach(df: DataFrame, path: str, trigger: dict | None = None) -> StreamingQuery:
-    """Write rows one by one through :class:`RowFileWriter`."""
-    return start(df, path, "append", trigger, lambda writer: writer.foreach(RowFileWriter(path)))
+    """Write rows one by one through :class:`RowFileWriter`, on Spark's own file system."""
+    target = str(_hadoop_path(df.sparkSession, path)[1].toString())
+    return start(df, path, "append", trigger, lambda writer: writer.foreach(RowFileWriter(target)))
 
 
 def to_memory(df: DataFrame, name: str, path: str, mode: str = "complete") -> StreamingQuery:
@@ -220,11 +237,42 @@ def to_jdbc(
     return start(df, path, mode, trigger, lambda writer: writer.foreachBatch(run))
 
 
-def progress_frame(query: StreamingQuery) -> DataFrame:
-    """Progress of a query's recent batches as rows."""
-    rows = [
-        (str(p["id"]), str(p["runId"]), p["name"], int(p["batchId"]), int(p["numInputRows"]))
-        for p in query.recentProgress
-    ]
-    schema = "id string, run_id string, name string, batch long, input_rows long"
-    return SparkSession.getActiveSession().createDataFrame(rows, schema)
+class ProgressLog(StreamingQueryListener):
+    """Keeps the progress of every batch of the queries that run inside it.
+
+    A query itself remembers its last hundred batches only.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.rows: list[tuple] = []
+        self.ended: set[str] = set()
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.rows.append((str(p.id), str(p.runId), p.name, int(p.batchId), int(p.numInputRows)))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+    def frame(self, query: StreamingQuery, patience: float = 30.0) -> DataFrame:
+        """One row for each batch of an ended query; events may come a little after its end."""
+        until = time.monotonic() + patience
+        while str(query.runId) not in self.ended and time.monotonic() < until:
+            time.sleep(0.05)
+        own = [r for r in self.rows if r[1] == str(query.runId)]
+        schema = "id string, run_id string, name string, batch long, input_rows long"
+        return self.spark.createDataFrame(own, schema)

@@ -99,11 +99,11 @@ def test_basic_aggregates(staff_tables, collected):
 def test_group_values_list_and_set(staff_tables, collected):
     employee, _ = staff_tables
     numbered = employee.withColumn("id", F.monotonically_increasing_id())
-    lists = A.group_values(numbered, "dep_id", "name", "id")
+    lists = A.group_values(numbered, "dep_id", "name", "id", parts=1)
     assert collected(lists.select("dep_id", "values")) == [
         (1, ["Jack", "Leo"]), (2, ["James", "James", "Jen", "Marry"]), (3, ["Kattie", "Tom"])
     ]
-    sets = A.group_values(numbered, "dep_id", "name", "id", distinct=True)
+    sets = A.group_values(numbered, "dep_id", "name", "id", distinct=True, parts=1)
     assert collected(sets.select("dep_id", "values"))[1] == (2, ["James", "Jen", "Marry"])
 
 

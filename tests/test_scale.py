@@ -30,15 +30,19 @@ def plan(df):
     return df._jdf.queryExecution().toString()
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_group_values_are_whole_and_chunked(skewed, monkeypatch, small):
-    monkeypatch.setattr(A, "is_small", lambda *_: small)
-    grouped = A.group_values(skewed, "k", "v", "id", chunk_size=100, salts=4).collect()
-    assert max(len(r["values"]) for r in grouped) <= 101
+def test_group_values_are_whole_and_split_alike_for_every_key(skewed):
+    grouped = A.group_values(skewed, "k", "v", "id", parts=8).collect()
     hot = sorted(v for r in grouped if r["k"] == 0 for v in r["values"])
     assert hot == sorted(r.v for r in skewed.filter("k = 0").collect())
     assert sum(len(r["values"]) for r in grouped) == 3000
-    assert {r["chunk"] for r in grouped if r["k"] == 1} == {0}
+    assert all(r["values"] == sorted(r["values"]) and 0 <= r["part"] < 8 for r in grouped)
+    assert max(len(r["values"]) for r in grouped) < len(hot) / 8 * 1.5
+
+
+def test_group_values_spread_ids_that_are_multiples_of_the_parts(spark):
+    ids = spark.range(0, 4000, 4).select(F.lit(1).alias("k"), "id", F.col("id").alias("v"))
+    sizes = [len(r["values"]) for r in A.group_values(ids, "k", "v", "id", parts=4).collect()]
+    assert len(sizes) == 4 and max(sizes) < 320 and sum(sizes) == 1000
 
 
 def test_large_top_n_is_cut_within_parts_first(skewed, collected):

@@ -281,9 +281,10 @@ def test_foreach_memory_and_progress(spark, log, tmp_path, collected):
     back = spark.read.schema("user_id long, word string").json(str(tmp_path / "f" / "batch=*"))
     assert collected(back) == collected(table.select("user_id", "word"))
     counts = read(spark, folder).groupBy("word").count()
-    query = sinks.finish(sinks.to_memory(counts, "word_counts", str(tmp_path / "m")))
+    with sinks.ProgressLog(spark) as log:
+        query = sinks.finish(sinks.to_memory(counts, "word_counts", str(tmp_path / "m")))
+        progress = log.frame(query)
     assert collected(spark.table("word_counts")) == collected(table.groupBy("word").count())
-    progress = sinks.progress_frame(query)
     assert progress.agg(F.sum("input_rows")).first()[0] == 200
     assert query.exception() is None and not query.isActive
 
@@ -347,3 +348,9 @@ def test_jdbc_sink_replaces_per_batch(spark, log, tmp_path, monkeypatch):
     written.clear()
     sinks.finish(sinks.to_jdbc(counts, database, "counts", str(tmp_path / "b"), mode="update"))
     assert [w[:2] for w in written] == [("counts_0", "overwrite"), ("counts_1", "overwrite")]
+
+
+def test_complete_mode_keeps_the_newest_result_only(spark, log, tmp_path):
+    folder, _ = log
+    sinks.run_complete(read(spark, folder).groupBy("word").count(), str(tmp_path / "c"))
+    assert [p.name for p in (tmp_path / "c").glob("batch=*")] == ["batch=3"]
