@@ -74,7 +74,12 @@ class OnlineLinearModels:
         rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/weights/version={version}")
 
     def _descend(self, batch: DataFrame, weights: Weights) -> tuple[Weights, dict[str, float]]:
-        """The weights after the batch, and each model's mean squared error before it."""
+        """The weights after the batch, and each model's mean squared error before it.
+
+        Rows without a label, without features or with a missing one are not learned from.
+        """
+        whole = F.col("features").isNotNull() & F.forall("features", lambda x: x.isNotNull())
+        batch = batch.filter(F.col("label").isNotNull() & whole)
         errors: dict[str, float] = {}
         for i in range(1, self.iterations + 1):
             measures = []

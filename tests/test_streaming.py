@@ -329,6 +329,19 @@ def test_online_models_follow_gradient_descent(spark, tmp_path, monkeypatch, wri
     assert models.results(spark, "predictions").count() == 120
 
 
+@pytest.mark.parametrize("written_out", [64, 1])
+def test_rows_without_label_or_features_are_not_learned_from(spark, tmp_path, monkeypatch, written_out):
+    monkeypatch.setattr(online, "WRITTEN_OUT", written_out)
+    schema = "label double, features array<double>"
+    rows = [(2.0, [1.0, 0.0]), (None, [5.0, 5.0]), (4.0, None), (1.0, [None, 1.0]), (4.0, [0.0, 1.0])]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in/f0")
+    models = OnlineLinearModels(str(tmp_path / "m"), {"m": 1.0}, width=2)
+    sinks.finish(models.train_on(sources.stream_files(spark, f"{tmp_path}/in/f*", schema)))
+    assert models.weights(spark, 1)["m"] == [1.0, 2.0]
+    assert models.results(spark, "errors").first()["mse"] == 10.0
+    assert models.results(spark, "predictions").count() == 5
+
+
 def test_kafka_and_socket_plumbing(spark):
     options = sources.kafka_options(["a:9092", "b:9092"], ["t1", "t2"], "earliest", 500)
     assert options == {
