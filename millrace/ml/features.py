@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.aggregates import distinct_index
+from millrace.session import materialise
+
 
 def labelled(df: DataFrame, label: Column, vector: Column) -> DataFrame:
     """Columns ``label`` (double) and ``features`` (ML vector) from an array column."""
@@ -39,20 +41,18 @@ def standard_scale(
 def one_hot_category(
     df: DataFrame, category: str, numbers: list[str], into: str = "features"
 ) -> DataFrame:
-    """A category as a 1-of-k vector (categories in alphabetical order) followed by numbers.
+    """A category as a 1-of-k vector (categories in value order) followed by numbers.
 
-    The vector stays sparse, so a wide category costs one stored value per row.
+    The vector stays sparse, so a wide category costs one stored value per row.  The
+    index of the categories is a table that is joined; a null category stores no value.
     """
-    pipeline = Pipeline(
-        stages=[
-            StringIndexer(
-                inputCol=category,
-                outputCol="_index",
-                stringOrderType="alphabetAsc",
-                handleInvalid="keep",
-            ),
-            OneHotEncoder(inputCol="_index", outputCol="_one_hot", dropLast=True),
-            VectorAssembler(inputCols=["_one_hot", *numbers], outputCol=into),
-        ]
+    names = materialise(distinct_index(df.filter(F.col(category).isNotNull()), category, "_index"), "categories")
+    k = names.count()
+    indexed = df.join(names, category, "left").withColumn(
+        "_index", F.coalesce(F.col("_index"), F.lit(k)).cast("double")
     )
-    return pipeline.fit(df).transform(df).drop("_index", "_one_hot")
+    # One place more than there are categories, for nulls, which the encoder then drops.
+    widest = df.sparkSession.createDataFrame([(float(k),)], "_index double")
+    encoder = OneHotEncoder(inputCol="_index", outputCol="_one_hot", dropLast=True).fit(widest)
+    assembler = VectorAssembler(inputCols=["_one_hot", *numbers], outputCol=into)
+    return assembler.transform(encoder.transform(indexed)).select(*df.columns, into)
