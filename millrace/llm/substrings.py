@@ -7,7 +7,7 @@ covers it occurs anywhere else.  The steps:
    hash.  Equal windows name equal anchors, and neighbouring windows mostly share theirs.
    Anchors are counted; a window whose anchor occurs once cannot recur.
 2. The stretch of text under each recurring anchor's windows is cut out.  Equal stretches
-   fold into one with a count, before they meet.
+   fold into one with a count in the task that cut them, before they meet.
 3. A shard holds the stretches of its anchors.  It confirms which windows recur by their
    words, compiles these into an Aho-Corasick automaton over word symbols and streams every
    stretch through it, which locates all occurrences.
@@ -21,8 +21,10 @@ with a key of its own, so that no shard collects one phrase's neighbourhoods.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ from millrace.session import materialise
 WINDOW = 35
 ANCHOR = 8
 HOT = 10_000  # occurrences above which an anchor's windows are taken one by one
-SHARD_WORDS = 200_000  # words whose stretches make up one automaton
+SHARD_WORDS = 200_000  # words, before folding, whose stretches make up one automaton
 
 STEP, INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
@@ -132,35 +134,80 @@ def recurring_runs(rows: DataFrame, window: int, anchor: int, hot: int) -> DataF
     return materialise(hits.groupBy("row").agg(F.collect_set(F.struct("run", "anchor", "hot")).alias("runs")), "runs")
 
 
-def _stretches(window: int) -> Callable[[Batches], Batches]:
-    """Cuts out the text under each run; a hot run gives one stretch for each window."""
+def _cut(batches: Batches, window: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """Row, first word, key and text of the stretch under each run; a hot run gives one for each window."""
+    import xxhash
+
+    for batch in in_slices(batches, most_bytes=2 << 20):
+        for row, text, runs in zip(*(batch.column(c).to_pylist() for c in ("row", "text", "runs"))):
+            words = text.encode().split()
+            for x in runs:
+                start, number = x["run"] >> 8, (x["run"] & 255) + 1
+                if start + number + window - 1 > len(words):
+                    continue  # another text with this hash
+                if not x["hot"]:
+                    yield row, start, x["anchor"], b" ".join(words[start : start + number + window - 1])
+                    continue
+                for s in range(start, start + number):
+                    stretch = b" ".join(words[s : s + window])
+                    yield row, s, xxhash.xxh64_intdigest(stretch) - (1 << 63), stretch
+
+
+def digest(stretch: bytes) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(stretch, 7) - (1 << 63)
+
+
+def _placed(window: int) -> Callable[[Batches], Batches]:
+    """Where each stretch lies: its row, its first word, its anchor and its digest."""
 
     def run(batches: Batches) -> Batches:
-        import xxhash
+        stretches = _cut(batches, window)
+        while part := [(r, s, a, digest(t)) for r, s, a, t in islice(stretches, 50_000)]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part)], ["row", "start", "anchor", "digest"])
 
-        kind = pa.schema(
-            [("row", pa.int64()), ("start", pa.int64()), ("anchor", pa.int64()), ("stretch", pa.string())]
-        )
-        for batch in in_slices(batches, most_bytes=2 << 20):
-            out: list[list] = [[], [], [], []]
+    return run
 
-            def add(row: int, start: int, key: int, stretch: bytes) -> None:
-                for column, value in zip(out, (row, start, key, stretch.decode())):
-                    column.append(value)
 
-            for row, text, runs in zip(*(batch.column(c).to_pylist() for c in ("row", "text", "runs"))):
-                words = text.encode().split()
-                for x in runs:
-                    start, number = x["run"] >> 8, (x["run"] & 255) + 1
-                    if start + number + window - 1 > len(words):
-                        continue  # another text with this hash
-                    if not x["hot"]:
-                        add(row, start, x["anchor"], b" ".join(words[start : start + number + window - 1]))
-                        continue
-                    for s in range(start, start + number):
-                        stretch = b" ".join(words[s : s + window])
-                        add(row, s, xxhash.xxh64_intdigest(stretch) - (1 << 63), stretch)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kind.types)], schema=kind)
+def _packed(window: int, shards: int, most_bytes: int = 32 << 20) -> Callable[[Batches], Batches]:
+    """A task's distinct stretches with their counts, one row for each shard of anchors."""
+
+    def rows(held: dict[tuple[int, bytes], int]) -> pa.RecordBatch:
+        by_shard: dict[int, list] = {}
+        for (anchor, stretch), n in held.items():
+            by_shard.setdefault(anchor % shards, []).append((anchor, stretch, n))
+        columns = list(
+            zip(
+                *(
+                    (
+                        shard,
+                        np.array([x[0] for x in own], "<i8").tobytes(),
+                        np.array([x[2] for x in own], "<i8").tobytes(),
+                        zlib.compress(b"\n".join(x[1] for x in own), 1),
+                    )
+                    for shard, own in by_shard.items()
+                )
+            )
+        )
+        types = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["shard", "anchors", "counts", "stretches"])
+
+    def run(batches: Batches) -> Batches:
+        held: dict[tuple[int, bytes], int] = {}
+        size = 0
+        for _, _, anchor, stretch in _cut(batches, window):
+            key = anchor, stretch
+            if key in held:
+                held[key] += 1
+                continue
+            held[key] = 1
+            size += len(stretch) + 100
+            if size > most_bytes:
+                yield rows(held)
+                held, size = {}, 0
+        if held:
+            yield rows(held)
 
     return run
 
@@ -211,29 +258,31 @@ def ranges(starts: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _confirmed(window: int, shard_words: int) -> Callable[[Batches], Batches]:
-    """Rows come sorted by anchor; whole anchors are gathered into shards."""
+def _confirmed(window: int) -> Callable[[Batches], Batches]:
+    """Rows come sorted by shard; a shard's stretches are put together and searched."""
 
-    def rows_of(batches: Batches) -> Iterator[tuple[int, int, str, int]]:
-        for batch in in_slices(batches, "stretch", 1 << 20):
-            yield from zip(*(batch.column(c).to_pylist() for c in ("anchor", "digest", "stretch", "n")))
-
-    def answer(shard: list[tuple[int, int, str, int]]) -> pa.RecordBatch:
-        found = located([r[2] for r in shard], [r[3] for r in shard], window)
-        hits = [(a, d, [x for pair in ranges(s, window) for x in pair]) for (a, d, _, _), s in zip(shard, found) if s]
+    def answer(shard: dict[tuple[int, bytes], int]) -> pa.RecordBatch:
+        found = located([t.decode() for _, t in shard], list(shard.values()), window)
+        hits = [
+            (anchor, digest(stretch), [x for pair in ranges(starts, window) for x in pair])
+            for (anchor, stretch), starts in zip(shard, found)
+            if starts
+        ]
         columns = zip(*hits) if hits else ((), (), ())
         types = (pa.int64(), pa.int64(), pa.list_(pa.int32()))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["anchor", "digest", "ranges"])
 
     def run(batches: Batches) -> Batches:
-        shard: list[tuple[int, int, str, int]] = []
-        words = 0
-        for row in rows_of(batches):
-            if words > shard_words and row[0] != shard[-1][0]:
-                yield answer(shard)
-                shard, words = [], 0
-            shard.append(row)
-            words += row[2].count(" ") + 1
+        current, shard = None, {}
+        for batch in batches:
+            for number, *parts in zip(*(c.to_pylist() for c in batch.columns)):
+                if number != current:
+                    if shard:
+                        yield answer(shard)
+                    current, shard = number, {}
+                anchors_, counts = (np.frombuffer(x, "<i8").tolist() for x in parts[:2])
+                for key, n in zip(zip(anchors_, zlib.decompress(parts[2]).split(b"\n")), counts):
+                    shard[key] = shard.get(key, 0) + n
         if shard:
             yield answer(shard)
 
@@ -248,15 +297,15 @@ def repeats(
     ``rows`` comes from ``keyed``.  Ranges of one row may overlap and come in any order.
     """
     runs = recurring_runs(rows, window, anchor, hot)
-    cut = mapped(
-        rows.join(runs, "row").select("row", "text", "runs"),
-        _stretches(window),
-        "row long, start long, anchor long, stretch string",
-    ).withColumn("digest", F.xxhash64("stretch"))
-    distinct = cut.groupBy("anchor", "stretch").agg(F.count("*").alias("n"), F.first("digest").alias("digest"))
-    together = distinct.repartition("anchor").sortWithinPartitions("anchor")
-    confirmed = mapped(together, _confirmed(window, shard_words), "anchor long, digest long, ranges array<int>")
-    placed = cut.select("row", "start", "anchor", "digest").join(confirmed, ["anchor", "digest"])
+    number = runs.agg(F.sum(F.size("runs").cast("long"))).first()[0] or 0
+    shards = max(1, number * 2 * window // shard_words)
+    # All columns of the rows stay, so that every join with them uses one shuffle of the texts.
+    cut = rows.join(runs, "row").select(*rows.columns, "runs")
+    packed = mapped(cut, _packed(window, shards), "shard long, anchors binary, counts binary, stretches binary")
+    together = packed.repartition("shard").sortWithinPartitions("shard")
+    confirmed = mapped(together, _confirmed(window), "anchor long, digest long, ranges array<int>")
+    places = mapped(cut, _placed(window), "row long, start long, anchor long, digest long")
+    placed = places.join(confirmed, ["anchor", "digest"])
     moved = F.transform("ranges", lambda x: x + F.col("start").cast("int"))
     return placed.groupBy("row").agg(F.flatten(F.collect_set(moved)).alias("ranges"))
 
@@ -310,10 +359,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
             yield batch.set_column(place, text_col, pa.array(clean, pa.string())).select(docs_columns)
 
     docs_columns = docs.columns
-    rows = keyed(docs, id_col, text_col)
+    whole = docs.withColumn("_row", _row_of(id_col, text_col))
+    rows = whole.select(F.col("_row").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     found = repeats(rows, window, **tuning).select(F.col("row").alias("_row"), F.col("ranges").alias("_ranges"))
-    whole = docs.withColumn("_row", _row_of(id_col, text_col)).join(found, "_row", "left").drop("_row")
-    return mapped(whole, run, T.StructType(docs.schema.fields))
+    return mapped(whole.join(found, "_row", "left").drop("_row"), run, T.StructType(docs.schema.fields))
 
 
 def _row_of(id_col: str, text_col: str) -> Column:
