@@ -188,11 +188,18 @@ def test_semi_anti_outer_struct_joins(spark, collected):
 
 
 def test_join_code_table_is_the_same_beyond_the_bound(spark, collected):
+    """The optimiser's bound, in bytes: at -1 nothing is shipped."""
     facts = spark.range(50).withColumn("k", F.col("id") % 5)
     codes = spark.createDataFrame([(i, f"c{i}") for i in range(5)], "k long, name string")
-    small = J.join_code_table(facts, codes, "k")
-    large = J.join_code_table(facts, codes, "k", rows=2)
-    assert collected(small) == collected(large)
+    small = collected(J.join_code_table(facts, codes, "k"))
+    bound = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(bound)
+    spark.conf.set(bound, "-1")
+    try:
+        assert collected(J.join_code_table(facts, codes, "k")) == small
+    finally:
+        spark.conf.set(bound, before)
+    assert small == sorted((i % 5, i, f"c{i % 5}") for i in range(50))
 
 
 def test_top_products_break_ties_by_name(spark, collected):

@@ -153,6 +153,20 @@ def test_principal_components_equal_singular_vectors_up_to_sign(points, spark):
     np.testing.assert_allclose([r.s for r in values.orderBy("j").collect()], s)
 
 
+def test_left_vectors_rebuild_the_rows(points):
+    centred = features.standard_scale(points, "x", "z", with_std=False)
+    width = len(POINTS[0][2])
+    values, right = reduce.svd_topk(centred, "z", width)
+    rows = reduce.svd_left(centred, "z", values, right, width).orderBy("id").collect()
+    x = np.array([p[2] for p in POINTS])
+    v = np.zeros((width, width))
+    for r in right.collect():
+        v[r.i, r.j] = r.v
+    us, u = (np.array([r[c] for r in rows]) for c in ("us", "u"))
+    np.testing.assert_allclose(us @ v.T, x - x.mean(0), atol=1e-9)
+    np.testing.assert_allclose(u.T @ u, np.eye(width), atol=1e-9)
+
+
 def test_top_scored_items_match_brute_force(spark, monkeypatch):
     u, v = RNG.normal(size=(23, 3)), RNG.normal(size=(17, 3))
     users = spark.createDataFrame([(f"u{i:02}", list(map(float, r))) for i, r in enumerate(u)], "user string, f array<double>")
