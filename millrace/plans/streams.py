@@ -364,6 +364,7 @@ def stream_sink_memory_console(spark, base):
     path = scratch_path(spark, "t18")
     name = "memory_" + path.rsplit("-", 1)[1]
     sinks.finish(sinks.to_memory(counts, name, path))
+    sinks.finish(sinks.to_console(counts, f"{path}-console", mode="complete"))
     return spark.table(name)
 
 
