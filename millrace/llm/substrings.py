@@ -128,7 +128,8 @@ def recurring_runs(rows: DataFrame, window: int, anchor: int, hot: int) -> DataF
     """``row, runs``: each document's runs of windows whose anchor occurs more than once, with the anchor and whether it is hot."""
     held = materialise(mapped(rows, _anchored(window, anchor), "row long, runs array<long>, anchors array<long>"), "anchors")
     counts = held.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n"))
-    again = counts.filter("n > 1").select("anchor", (F.col("n") > hot).alias("hot"))
+    # Written, so that the join has a shuffle of its own on both sides and can split a hot anchor.
+    again = materialise(counts.filter("n > 1").select("anchor", (F.col("n") > hot).alias("hot")), "recurring")
     pairs = held.select("row", F.explode(F.arrays_zip("runs", "anchors")).alias("x"))
     hits = pairs.select("row", F.col("x.runs").alias("run"), F.col("x.anchors").alias("anchor")).join(again, "anchor")
     return materialise(hits.groupBy("row").agg(F.collect_set(F.struct("run", "anchor", "hot")).alias("runs")), "runs")
