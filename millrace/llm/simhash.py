@@ -220,7 +220,12 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, id_col: str = "doc_
     """
     stored = materialise(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
     least = materialise(stored.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = connected(near_links(least)).withColumnRenamed("node", "fp")
+    return in_components(stored, least, near_links(least))
+
+
+def in_components(stored: DataFrame, least: DataFrame, links: DataFrame) -> DataFrame:
+    """``doc_id, fp, component_id`` of the rows of ``stored`` from links between the ``fp`` of ``least``."""
+    roots = connected(links).withColumnRenamed("node", "fp")
     rooted = least.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return stored.join(rooted.join(names, "root").select("fp", "component_id"), "fp", "left").select(
@@ -234,7 +239,16 @@ def one_of_each(docs: DataFrame, shingle_words: int = 3, id_col: str = "doc_id",
     All columns stay.  Rows with one id stand and fall together, but of rows equal in id
     and text one is kept; rows without an id stay if no row of their component has one.
     """
-    found = materialise(near_duplicates(docs, shingle_words, id_col, text_col), "components")
+    found = near_duplicates(docs, shingle_words, id_col, text_col)
+    signed = lambda text: int(np.uint64(fingerprint(text, shingle_words)).view(np.int64))
+    return one_of_component(docs, found, signed, id_col, text_col)
+
+
+def one_of_component(
+    docs: DataFrame, found: DataFrame, name: Callable[[str], int], id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``one_of_each`` from ``doc_id, fp, component_id`` of every row and the function that gives a text's ``fp``."""
+    found = materialise(found, "components")
     named = docs.withColumn("_doc_id", F.col(id_col).cast("long"))
     kept = found.filter("doc_id = component_id").select("doc_id").distinct()
     gone = found.filter("doc_id != component_id").select("doc_id").distinct().join(kept, "doc_id", "left_anti")
@@ -246,18 +260,18 @@ def one_of_each(docs: DataFrame, shingle_words: int = 3, id_col: str = "doc_id",
         left = left.join(repeated, "_doc_id", "left_anti").unionByName(once)
     nameless = found.filter("doc_id is null and component_id is not null").select(F.col("fp").alias("_fp")).distinct()
     if not nameless.isEmpty():  # rows without an id are known by their fingerprint
-        lost = _with_fingerprint(left.filter("_doc_id is null"), shingle_words, text_col)
+        lost = _with_name(left.filter("_doc_id is null"), name, text_col)
         stay = lost.join(nameless, "_fp", "left_anti").drop("_fp")
         left = left.filter("_doc_id is not null").unionByName(stay)
     return left.select(*docs.columns)
 
 
-def _with_fingerprint(docs: DataFrame, shingle_words: int, text_col: str) -> DataFrame:
-    """The rows with their fingerprint as ``_fp``."""
+def _with_name(docs: DataFrame, name: Callable[[str], int], text_col: str) -> DataFrame:
+    """The rows with the name of their text as ``_fp``."""
 
     def run(batches: Batches) -> Batches:
         for batch in in_slices(batches, text_col):
-            prints = [fingerprint(t or "", shingle_words) for t in batch.column(text_col).to_pylist()]
-            yield batch.append_column("_fp", pa.array(np.array(prints, np.uint64).view(np.int64)))
+            names = [name(t or "") for t in batch.column(text_col).to_pylist()]
+            yield batch.append_column("_fp", pa.array(names, pa.int64()))
 
     return mapped(docs, run, T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())]))
