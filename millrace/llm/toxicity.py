@@ -8,10 +8,10 @@ phrase takes back what lies inside it.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import unicodedata
-import zlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -69,11 +69,9 @@ class Model:
     offset: float
 
 
-def _signature(text: str) -> int:
-    """The smallest hash of three adjacent words: near copies mostly share it."""
-    words = text.split()
-    grams = (" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2)))
-    return min(zlib.crc32(g.encode()) << 20 | len(g) & 0xFFFFF for g in grams)
+def _copy(text: str) -> bytes:
+    """The MD5 of a whole folded text, by which copies are known."""
+    return hashlib.md5(text.encode("utf-8", "surrogatepass")).digest()
 
 
 def _entries(text: str) -> list[str]:
@@ -103,7 +101,7 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int = LEXICON_ROWS) -> Da
 def learn_weights(sample: DataFrame) -> dict[str, float]:
     """Lexicon entries and the lower bound of their log odds ratio between toxic and other texts.
 
-    Near copies count once.  An entry that a shorter one covers as well is left out.
+    Texts of one label that are equal when folded count once.  An entry that a shorter one covers as well is left out.
     """
 
     def run(batches: Batches) -> Batches:
@@ -111,14 +109,15 @@ def learn_weights(sample: DataFrame) -> dict[str, float]:
         for batch in in_slices(batches):
             texts = [folded(t, table) for t in batch.column("text").to_pylist()]
             columns = [
-                pa.array([_signature(t) for t in texts], pa.int64()),
+                batch.column("doc_id"),
+                pa.array([_copy(t) for t in texts], pa.binary()),
                 batch.column("toxic"),
                 pa.array([_entries(t) for t in texts], pa.list_(pa.string())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["signature", "toxic", "entries"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "copy", "toxic", "entries"])
 
-    read = mapped(sample, run, "signature long, toxic int, entries array<string>")
-    once = read.groupBy("signature").agg(F.max("toxic").alias("toxic"), F.first("entries").alias("entries"))
+    read = mapped(sample, run, "doc_id long, copy binary, toxic int, entries array<string>")
+    once = read.groupBy("copy", "toxic").agg(F.min_by("entries", "doc_id").alias("entries"))
     once = materialise(once, "entries")
     total = once.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
     toxic, other = total[0], total[1] - total[0]

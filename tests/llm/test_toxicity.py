@@ -91,3 +91,27 @@ def test_held_out_accuracy_on_the_tables(spark):
     hit = sum(r[0] == 1 and r[1] == 1 for r in rows)
     assert hit / sum(r[1] for r in rows) > 0.9
     assert hit / sum(r[0] for r in rows) > 0.9
+
+
+def test_texts_that_share_a_passage_all_count(spark, documents):
+    """One passage in every text: each still counts with its own words and its own label."""
+    rng = random.Random(2)
+    passage = " ".join(f"licence{i}" for i in range(200))
+    pairs, marks = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        own = [f"{rng.choice('abcdefgh')}{rng.randrange(300)}" for _ in range(8)] + (["zonker"] if toxic else ["gentle"])
+        pairs.append((i, f"{passage} {' '.join(own)}"))
+        marks.append((i, 1, int(toxic)))
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    weights = toxicity.learn_weights(toxicity.labelled(whole_texts(documents(pairs)), labels))
+    assert any(" zonker ".startswith(entry) for entry in weights)
+    assert not any(" gentle ".startswith(entry) for entry in weights)
+
+
+def test_copies_count_once_for_each_label(spark, documents):
+    """Ten copies of one toxic text are no evidence that its words are toxic."""
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    pairs = [(i, "Same old zonker line" if n < 10 else f"plain text number {i}") for n, i in enumerate(ids)]
+    labels = spark.createDataFrame([(i, 1, int(n < 10)) for n, i in enumerate(ids)], "doc_id long, quality int, toxic int")
+    assert toxicity.learn_weights(toxicity.labelled(whole_texts(documents(pairs)), labels)) == {}
