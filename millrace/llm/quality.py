@@ -28,7 +28,6 @@ class Limits:
     """Production parameters of the divergence rules."""
 
     common_words: int = 24  # words of each language's histogram, beside all others
-    most_languages: int = 256  # those with the most documents get a reference
     least_documents: int = 20  # of a language with a reference
     least_words: int = 50  # of a document that is judged
     most_class_distance: float = 0.30
@@ -122,15 +121,13 @@ def histograms(rows: DataFrame) -> DataFrame:
 def common_words(docs: DataFrame, limits: Limits) -> DataFrame:
     """``lang, common``: the words that most documents of a language hold, for each that gets a reference.
 
-    At most ``most_languages`` rows.  Ties go to the smaller word.
+    Ties go to the smaller word.
     """
     known = (
         docs.filter("lang is not null")
         .groupBy("lang")
         .agg(F.count("*").alias("n"))
         .filter(F.col("n") >= limits.least_documents)
-        .orderBy(F.desc("n"), "lang")
-        .limit(limits.most_languages)
         .select("lang")
     )
     counts = docs.select("lang", F.explode(F.array_distinct(words_of(F.col("text")))).alias("word")).groupBy("lang", "word").count()
@@ -175,7 +172,7 @@ def judged(
         F.col(lang_col).cast("string").alias("lang"),
     )
     common = common_words(both, limits)
-    counted = histograms(measured(both.join(F.broadcast(common), "lang", "left")))
+    counted = histograms(measured(both.join(common, "lang", "left")))
     counted = counted.withColumn("row", row_of("doc_id", "text", "lang")).drop("text", "words", "common")
     stored = materialise(counted, "counted")
     total = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, b: a + b)
@@ -191,7 +188,8 @@ def judged(
         )
         .withColumn("word_reference", F.array_compact("word_reference"))
     )
-    compared = stored.join(F.broadcast(references), "lang", "left")
+    # Written, so that its size is known: a small table may be broadcast, a large one is joined by language.
+    compared = stored.join(materialise(references, "references"), "lang", "left")
     real = lambda c: F.transform(c, lambda x: x.cast("double"))
     repeated = 100 * F.col("n_repeat_words") > 50 * F.col("n_words")
     far = (F.col("class_distance") > limits.most_class_distance) | (F.col("word_distance") > limits.most_word_distance)

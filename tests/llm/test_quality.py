@@ -105,3 +105,15 @@ def test_keep(documents):
 def test_plan_is_native(documents):
     plan = quality.judged(documents(corpus()))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|MapInArrow", plan)
+
+
+def test_every_language_with_enough_documents_has_a_reference(spark):
+    rng = random.Random(13)
+    rows = []
+    for n in range(300):
+        words = [f"w{n}x{i}" for i in range(12)]
+        rows += [(10 * n + i, " ".join(rng.choices(words, k=60)), f"l{n:03}") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = quality.judged(docs, Limits(common_words=4, least_documents=2)).collect()
+    assert len(found) == 600
+    assert all(r["class_distance"] is not None and r["word_distance"] is not None for r in found)
