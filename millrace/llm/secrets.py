@@ -58,9 +58,22 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]{16,}"),
 )
 
+# A private key runs to the END line with the name of its BEGIN line, over anything but another
+# such line; without it to the last line of base64, over the header lines before.  Line ends
+# may be written as \\n, lines may be quoted.
+_BREAK = r"""["']?\x20*(?:\r?\n|\\r\\n|\\n)[\x20\t>#*|"']*"""
+_KEY = (
+    r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----(?:"
+    r"[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END \1PRIVATE KEY-----|"
+    rf"(?:(?:{_BREAK})+(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+"
+    rf"(?:(?:(?:{_BREAK})+[A-Za-z0-9+/]{{16,}}+|\s*[A-Za-z0-9+/]{{32,}}+)={{0,2}}+)*+"
+    rf"(?:(?:{_BREAK})+(?:(?:[A-Za-z0-9+/]{{4}})*(?:[A-Za-z0-9+/]{{2}}==|[A-Za-z0-9+/]{{3}}=|[A-Za-z0-9+/]{{4}})"
+    r"""(?=["']?\x20*(?:[\r\n\\]|\Z))|[A-Za-z0-9+/]+={0,2}(?=\s*\Z)))?)"""
+)
+
 # Public formats of further credentials; all of them have mandatory trigrams.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", _KEY),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),

@@ -109,3 +109,33 @@ def test_query_digests(spark, documents, tmp_path):
         assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
         assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(base.count(k + ":") for k in ("assign", "access", "hex"))
         assert r["spans"] == expected(text, secrets.ALL_RULES)
+
+
+BODY = "\n".join(["MIIEpAIBAAKCAQEA" + "Zq9+/" * 9 + "abc"] * 5 + ["Qk3x+A=="])
+MARK = "-----BEGIN RSA PRIVATE KEY-----"
+LAST = "-----END RSA PRIVATE KEY-----"
+KEYS = [
+    (f"before {MARK}\n{BODY}\n{LAST} after", "before [secret] after"),
+    (f"{MARK}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB\n\n{BODY}\n{LAST}\nx", "[secret]\nx"),
+    ('k = "' + f"{MARK}\n{BODY}\n{LAST}\n".replace("\n", "\\n") + '"', 'k = "[secret]\\n"'),
+    (f"{MARK}\r\n" + BODY.replace("\n", "\r\n") + "\r\nNot a line of a key.", "[secret]\r\nNot a line of a key."),
+    (f"{MARK}\nProc-Type: 4,ENCRYPTED\n\n{BODY}\n\nWords go on.", "[secret]\n\nWords go on."),
+    (f"{MARK}\n{BODY[:150]}", "[secret]"),
+    (f"{MARK}\n{BODY}\n-----END EC PRIVATE KEY-----", "[secret]\n-----END EC PRIVATE KEY-----"),
+    (f"{MARK}\n{BODY}\n{MARK}\n{BODY}\n{LAST}.", "[secret]\n[secret]."),
+    (f"a line {MARK} opens a key", "a line [secret] opens a key"),
+]
+
+
+def test_whole_private_keys_are_redacted(documents):
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(documents([(i, t) for i, (t, _) in enumerate(KEYS)])).collect()}
+    assert [got[i] for i in range(len(KEYS))] == [want for _, want in KEYS]
+
+
+def test_private_key_span_holds_the_key():
+    rule = next(r for r in secrets.MORE_RULES if r.kind == "private_key")
+    text = KEYS[0][0]
+    match = rule.compiled().search(text)
+    assert match[0] == text[len("before ") : -len(" after")]
+    marker = secrets.Rule("marker", r"-----BEGIN [A-Z ]*PRIVATE KEY-----")
+    assert secrets._named(secrets.trigram_query(rule)) == secrets._named(secrets.trigram_query(marker))
