@@ -48,11 +48,13 @@ def intervals(entries: DataFrame) -> DataFrame:
     """``pattern, verdict, valid_from, valid_to`` (exclusive, null: until now) from ``pattern, verdict, listed``.
 
     Entries without pattern, date or a known verdict are left out.  Of entries for one
-    pattern and date the strongest verdict counts; repeated ones are one.
+    pattern and date the strongest verdict counts; repeated ones are one.  The case of a
+    host does not count, that of a path does.
     """
+    host, path = F.regexp_extract("pattern", "^[^/]*", 0), F.regexp_replace("pattern", "^[^/]*", "")
     rank = F.array_position(F.array(*map(F.lit, VERDICTS)), F.col("verdict"))
     dated = (
-        entries.select(F.lower("pattern").alias("pattern"), "verdict", "listed")
+        entries.select(F.concat(F.lower(host), path).alias("pattern"), "verdict", "listed")
         .filter(F.col("pattern").isNotNull() & F.col("listed").isNotNull() & (rank > 0))
         .groupBy("pattern", "listed")
         .agg(F.max_by("verdict", rank).alias("verdict"))

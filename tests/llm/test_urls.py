@@ -68,3 +68,15 @@ def test_active_from_its_date_until_the_next(spark):
 def test_empty_tables(spark):
     assert got(spark, [], [("a.com", "block", 1)]) == Counter()
     assert got(spark, [(1, "http://a.com", 1)], []) == Counter({(1, "http://a.com", 1, None, None, None, False): 1})
+
+
+def test_case_counts_in_paths_and_not_in_hosts(spark):
+    captures = [(1, "http://Host.com/Products/a", 5), (2, "http://host.com/products/a", 5)]
+    entries = [("HOST.com/Products", "block", 1)]
+    want = Counter(
+        [
+            (1, "http://Host.com/Products/a", 5, "block", "host.com/Products", 1, True),
+            (2, "http://host.com/products/a", 5, None, None, None, False),
+        ]
+    )
+    assert got(spark, captures, entries) == want
