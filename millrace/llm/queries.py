@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, hpylm, kdtree, packing, quality, secrets, simhash, substrings, toxicity, urls
+from millrace.llm import bpe, hpylm, kdtree, packing, quality, secrets, simhash, substrings, toxicity, urls, whitening
 from millrace.llm.common import whole_texts
 from millrace.session import read_table
 
@@ -227,6 +227,12 @@ FROM parts p LEFT JOIN best b ON p.page_id IS NOT DISTINCT FROM b.page_id AND p.
 """
 
 
+def op11_embedding_whitening(spark: SparkSession, base: str) -> DataFrame:
+    """A deviation that no long holds is null."""
+    found = whitening.whiten(whitening.quantised(read_table(spark, base, "embeddings")), components=8, weights="counts")
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -240,6 +246,7 @@ RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_repeated_phrases,
         op9_simhash_golay,
         op10_url_filter,
+        op11_embedding_whitening,
     )
 }
 
