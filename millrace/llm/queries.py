@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, hpylm, kdtree, packing, quality, secrets, simhash, substrings, toxicity, urls, whitening
+from millrace.llm import bpe, hpylm, kdtree, packing, pii, quality, secrets, simhash, substrings, toxicity, urls, whitening
 from millrace.llm.common import whole_texts
 from millrace.session import read_table
 
@@ -233,6 +233,84 @@ def op11_embedding_whitening(spark: SparkSession, base: str) -> DataFrame:
     return found.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op12_personal_data(spark: SparkSession, base: str) -> DataFrame:
+    found = pii.find(read_table(spark, base, "documents"))
+    of_kind = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base_spans = F.filter("spans", lambda s: s["kind"].isin(pii.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *(of_kind(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS),
+        F.sha2(pii.joined_spans(base_spans), 256).alias("base_sha256"),
+        pii.joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
+def _pii_matches() -> str:
+    """Matches and the texts between them, for each plain pattern."""
+    one = """
+  SELECT r, '{name}' AS p, regexp_extract_all(text, '{re}') AS m, string_split_regex(text, '{re}') AS g FROM docs"""
+    return "\n  UNION ALL".join(one.format(name=x.name, re=x.plain) for x in pii.PROPOSALS.values())
+
+
+def _pii_kinds() -> str:
+    """A row for each kind: its place, proposal, score and context words."""
+    words = lambda w: f"(?:^|[^a-z0-9])(?:{'|'.join(w)})(?:[^a-z0-9]|$)" if w else "^\\b$"
+    rows = (
+        f"({i}, '{k.name}', '{k.proposal}', {k.score}, '{words(k.words)}', '{words(k.against)}', {str(k.required).lower()})"
+        for i, k in enumerate(pii.KINDS)
+    )
+    return ",\n  ".join(rows)
+
+
+OP12_SQL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), matches AS ({_pii_matches()}
+), steps AS (
+  SELECT r, p, i, m[i] AS match, g[i] AS gap, g[i + 1] AS following
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM matches)
+), placed AS (
+  SELECT r, p, match, right(gap, 40) AS before, left(following, 40) AS after,
+         regexp_replace(match, '[^0-9]', '', 'g') AS digits, replace(match, ' ', '') AS bare,
+         CAST(sum(length(gap) + length(match)) OVER (PARTITION BY r, p ORDER BY i) - length(match) AS BIGINT) AS start
+  FROM steps
+), checked AS (
+  SELECT *, lower(before || ' ' || after) AS near,
+    NOT regexp_matches(before, '[A-Za-z0-9]$') AND NOT regexp_matches(after, '^[A-Za-z0-9]') AS alone,
+    list_sum(list_transform(regexp_extract_all(reverse(digits), '.'), lambda c, i:
+      CASE WHEN i % 2 = 1 THEN CAST(c AS INT) WHEN CAST(c AS INT) > 4 THEN 2 * CAST(c AS INT) - 9 ELSE 2 * CAST(c AS INT) END)) % 10 = 0 AS luhn,
+    list_reduce(list_prepend(0, list_transform(regexp_extract_all(bare[5:] || bare[1:4], '.'), lambda c: CAST(ascii(c) AS INT))), lambda a, c:
+      CASE WHEN c >= 65 THEN (a * 100 + c - 55) % 97 ELSE (a * 10 + c - 48) % 97 END) = 1 AS mod97,
+    len(list_filter(string_split(match, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(TRY_CAST(x AS BIGINT), 0) > 255)) = 0 AS parts
+  FROM placed
+), kinds(place, kind, p, score, words, against, required) AS (
+  VALUES {_pii_kinds()}
+), spans AS (
+  SELECT r, place, required, kind, start, concat_ws(':', kind, start, start + length(match)) AS span,
+         score + CASE WHEN regexp_matches(near, words) THEN 0.3 ELSE 0 END
+               - CASE WHEN regexp_matches(near, against) THEN 0.3 ELSE 0 END AS points
+  FROM checked JOIN kinds USING (p)
+  WHERE CASE kind WHEN 'email' THEN true
+                  WHEN 'ip' THEN parts
+                  WHEN 'card' THEN length(digits) BETWEEN 16 AND 19 AND luhn
+                  WHEN 'phone' THEN length(digits) BETWEEN 8 AND 15
+                  WHEN 'iban' THEN alone AND length(bare) BETWEEN 15 AND 34 AND mod97
+                  WHEN 'short_card' THEN alone AND length(digits) BETWEEN 13 AND 15 AND luhn
+                  ELSE alone AND regexp_matches(match, '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$')
+                       AND NOT regexp_matches(match, '^(000|666|9)|-00-|-0000$') END
+), kept AS (
+  SELECT r, count_if(kind = 'email') AS n_email, count_if(kind = 'ip') AS n_ip, count_if(kind = 'card') AS n_card,
+         count_if(kind = 'phone') AS n_phone, string_agg(span, ',' ORDER BY place, start) FILTER (required) AS base,
+         string_agg(span, ',' ORDER BY place, start) AS spans
+  FROM spans WHERE required OR points >= 0.499 GROUP BY r
+)
+SELECT doc_id, CAST(coalesce(n_email, 0) AS BIGINT) AS n_email, CAST(coalesce(n_ip, 0) AS BIGINT) AS n_ip,
+       CAST(coalesce(n_card, 0) AS BIGINT) AS n_card, CAST(coalesce(n_phone, 0) AS BIGINT) AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -247,10 +325,11 @@ RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_simhash_golay,
         op10_url_filter,
         op11_embedding_whitening,
+        op12_personal_data,
     )
 }
 
-ORACLES = {"op2_exact_top_k": OP2_SQL, "op6_quality_divergence": OP6_SQL, "op10_url_filter": OP10_SQL}
+ORACLES = {"op2_exact_top_k": OP2_SQL, "op6_quality_divergence": OP6_SQL, "op10_url_filter": OP10_SQL, "op12_personal_data": OP12_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
