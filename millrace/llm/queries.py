@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, hpylm, kdtree, packing, pii, quality, secrets, simhash, substrings, toxicity, urls, whitening
+from millrace.llm import bpe, hpylm, kdtree, packing, pii, prefixes, quality, secrets, simhash, substrings, toxicity, urls, whitening
 from millrace.llm.common import whole_texts
 from millrace.session import read_table
 
@@ -311,6 +311,59 @@ FROM docs LEFT JOIN kept USING (r)
 """
 
 
+def op13_conversation_trie(spark: SparkSession, base: str) -> DataFrame:
+    turns = prefixes.turns_of(read_table(spark, base, "conversations"))
+    return prefixes.trie(prefixes.rebuilt(turns))
+
+
+OP13_SQL = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), named AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(regexp_extract_all(CAST(conv_id AS VARCHAR), '.'), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)), lambda x, i: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))
+    )) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT n.conv_id, 0 AS part, i, role, text FROM named n JOIN turns t ON t.conv_id = n.base AND i <= h
+  UNION ALL
+  SELECT n.conv_id, 1, i, role, text FROM named n JOIN turns t USING (conv_id) WHERE i > h
+), keyed AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, i) AS d, length(text) AS chars,
+         md5(length(role) || ':' || role || text) AS key
+  FROM rebuilt
+), members AS (
+  SELECT conv_id, d, chars, string_agg(key, '') OVER (PARTITION BY conv_id ORDER BY d) AS path FROM keyed
+  UNION ALL
+  SELECT conv_id, 0, 0, '' FROM named
+), nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n, any_value(chars) AS chars, left(path, 32 * (d - 1)) AS above
+  FROM members GROUP BY path, d
+), children AS (
+  SELECT above AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY above
+), spread AS (
+  SELECT left(nodes.path, 32 * unnest(range(d + 1))) AS path, children.n IS NULL AS leaf, (nodes.n - 1) * chars AS saved
+  FROM nodes LEFT JOIN children USING (path)
+), subtrees AS (
+  SELECT path, count_if(leaf) AS leaves, sum(saved) AS saved FROM spread GROUP BY path
+), ends AS (
+  SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, arg_max(path, d) AS path FROM members GROUP BY conv_id) GROUP BY path
+)
+SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, x.n AS n_convs,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes x JOIN subtrees s USING (path)
+LEFT JOIN nodes p ON x.d > 0 AND p.path = x.above
+LEFT JOIN children c ON c.path = x.path
+LEFT JOIN ends e ON e.path = x.path
+"""
+
+
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -326,10 +379,11 @@ RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_url_filter,
         op11_embedding_whitening,
         op12_personal_data,
+        op13_conversation_trie,
     )
 }
 
-ORACLES = {"op2_exact_top_k": OP2_SQL, "op6_quality_divergence": OP6_SQL, "op10_url_filter": OP10_SQL, "op12_personal_data": OP12_SQL}
+ORACLES = {"op2_exact_top_k": OP2_SQL, "op6_quality_divergence": OP6_SQL, "op10_url_filter": OP10_SQL, "op12_personal_data": OP12_SQL, "op13_conversation_trie": OP13_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
