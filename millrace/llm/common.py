@@ -45,3 +45,11 @@ def mapped(df: DataFrame, run: Callable[[Batches], Batches], schema: str | Struc
         return run(b for b in batches if b.num_rows)
 
     return df.mapInArrow(full, schema)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as it takes to be no column of ``df`` (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

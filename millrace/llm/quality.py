@@ -2,8 +2,9 @@
 
 Each document's histograms of character classes and of common words are compared with
 those of its language by the Jensen-Shannon distance.  A reference is the mean histogram of
-all documents of the language, so that no single document, however long, shapes it.  Documents too short for a histogram, and languages too rare
-for a reference, are not judged by it.
+all documents of the language, so that no single document, however long, shapes it.
+Documents too short for a histogram, and languages too rare for a reference, are not
+judged by it.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.common import free_name
 from millrace.session import materialise
 
 SPACE = "\t\n\x0b\f\r "
@@ -74,47 +76,57 @@ def _covered(ordered: Column) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """Base counts of every row: ``doc_id, lang, text`` become counts; ``words`` stays for histograms."""
+    """Base counts of every row: ``doc_id, lang, text`` become counts; ``words`` stays for histograms.
+
+    ``no_lower`` and ``bare`` stay too: the text without lower-case letters, and without those and
+    spaces.  All other classes are counted in what is left there, a small part of the text.
+    """
     text = F.col("text")
     split = docs.withColumn("words", words_of(text)).withColumn("lines", F.split(text, "\n"))
     spoken = split.withColumn("lines", F.filter("lines", lambda x: F.btrim(x, F.lit(SPACE)) != ""))
+    lower, space = CLASSES[0], CLASSES[3]
     return (
-        spoken.withColumn("windows", _windows(F.col("words")))
+        spoken.withColumn("no_lower", F.regexp_replace(text, lower, ""))
+        .withColumn("bare", F.regexp_replace("no_lower", space, ""))
+        .withColumn("windows", _windows(F.col("words")))
         .withColumn("ordered", _in_order(F.col("windows")))
         .withColumn("n_words", F.size("words").cast("long"))
-        .withColumn("word_chars", F.length(F.array_join("words", "")).cast("long"))
-        .withColumn("n_symbols", (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long"))
+        .withColumn("n_spaces", (F.length("no_lower") - F.length("bare")).cast("long"))
+        .withColumn("word_chars", F.length(text).cast("long") - F.col("n_spaces"))
+        .withColumn("n_symbols", (F.length("bare") - F.length(F.regexp_replace("bare", SYMBOLS, ""))).cast("long"))
         .withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
         .withColumn("n_repeat_words", _covered(F.col("ordered")))
         .drop("windows", "ordered", "lines")
     )
 
 
-def _occurrences(joined: Column, word: Column) -> Column:
-    """How often a word is in words joined by two spaces, with one before and after."""
-    spaced = F.concat(F.lit(" "), word, F.lit(" "))
-    return ((F.octet_length(joined) - F.octet_length(F.replace(joined, spaced, F.lit("")))) / F.octet_length(spaced)).cast("long")
+def _total(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0).cast("long"), lambda a, b: a + b)
 
 
 def histograms(rows: DataFrame) -> DataFrame:
     """Adds ``classes`` (characters of each class, then the rest) and ``common_counts`` (of each common word, then the rest).
 
-    ``rows`` holds ``text``, ``words`` and ``common``, the words that are counted (null: none).
+    ``rows`` comes from ``measured`` and holds ``common``, the words that are counted (null: none).
     """
-    text, length = F.col("text"), F.length("text")
-    of_class = [(length - F.length(F.regexp_replace(text, c, ""))).cast("long") for c in CLASSES[:-1]]
-    lower, upper = of_class[:2]
-    letters = (length - F.length(F.regexp_replace(text, CLASSES[-1], ""))).cast("long")
-    counted = F.array(*of_class, letters - lower - upper)
-    joined = rows.withColumn("joined", F.concat(F.lit(" "), F.array_join("words", "  "), F.lit(" ")))
-    each = F.transform(F.coalesce("common", F.array().cast("array<string>")), lambda w: _occurrences(F.col("joined"), w))
-    total = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, b: a + b)
+    rest = lambda c: (F.length("bare") - F.length(F.regexp_replace("bare", c, ""))).cast("long")
+    lower = (F.length("text") - F.length("no_lower")).cast("long")
+    upper, number, marks, letters = (rest(CLASSES[i]) for i in (1, 2, 4, 5))
+    counted = F.struct(
+        lower.alias("lower"), upper.alias("upper"), number.alias("number"), F.col("n_spaces").alias("space"), marks.alias("marks"), letters.alias("letters")
+    )
+    each = F.transform(
+        F.coalesce("common", F.array().cast("array<string>")),
+        lambda w: F.col("n_words") - F.size(F.array_remove("words", w)),
+    )
+    c = F.col("counted")
+    others = F.length("text").cast("long") - c["lower"] - c["number"] - c["space"] - c["marks"] - c["letters"]
     return (
-        joined.withColumn("classes", counted)
+        rows.withColumn("counted", counted)
         .withColumn("common_counts", each)
-        .withColumn("classes", F.array_append("classes", length.cast("long") - total(F.col("classes"))))
-        .withColumn("common_counts", F.array_append("common_counts", F.col("n_words") - total(F.col("common_counts"))))
-        .drop("joined")
+        .withColumn("classes", F.array(*(c[n] for n in ("lower", "upper", "number", "space", "marks")), c["letters"] - c["upper"], others))
+        .withColumn("common_counts", F.array_append("common_counts", F.col("n_words") - _total(F.col("common_counts"))))
+        .drop("counted", "no_lower", "bare", "n_spaces")
     )
 
 
@@ -140,19 +152,22 @@ def common_words(docs: DataFrame, limits: Limits) -> DataFrame:
     )
 
 
-def js_distance(counts: Column, reference: Column) -> Column:
-    """Jensen-Shannon distance (base 2, 0 to 1) of two histograms given as counts; null if one is empty."""
-    total = lambda x: F.aggregate(x, F.lit(0.0), lambda a, b: a + b)
-    n, m = total(counts), total(reference)
+def shares(counts: Column) -> Column:
+    """Each count over their sum, as doubles; null if the sum is not positive."""
+    total = F.aggregate(counts, F.lit(0.0), lambda a, b: a + b)
+    each = F.transform(F.arrays_zip(counts.alias("c"), F.array_repeat(total, F.size(counts)).alias("t")), lambda x: x["c"] / x["t"])
+    return F.when(total > 0, each)
 
-    def term(c: Column, r: Column) -> Column:
-        p, q = c / n, r / m
-        middle = (p + q) / 2
-        part = lambda x: F.when(x > 0, x * F.log2(x / middle)).otherwise(0.0)
-        return (part(p) + part(q)) / 2
 
-    divergence = F.aggregate(F.zip_with(counts, reference, term), F.lit(0.0), lambda a, b: a + b)
-    return F.when((n > 0) & (m > 0), F.sqrt(F.greatest(divergence, F.lit(0.0))))
+def js_distance(p: Column, q: Column) -> Column:
+    """Jensen-Shannon distance (base 2, 0 to 1) of two histograms given as shares; null if one is."""
+
+    def term(a: Column, b: Column) -> Column:
+        part = lambda x: F.when(x > 0, x * F.log2(2 * x / (a + b))).otherwise(0.0)
+        return (part(a) + part(b)) / 2
+
+    divergence = F.aggregate(F.zip_with(p, q, term), F.lit(0.0), lambda a, b: a + b)
+    return F.when(p.isNotNull() & q.isNotNull(), F.sqrt(F.greatest(divergence, F.lit(0.0))))
 
 
 def judged(
@@ -173,11 +188,15 @@ def judged(
     )
     common = common_words(both, limits)
     counted = histograms(measured(both.join(common, "lang", "left")))
-    counted = counted.withColumn("row", row_of("doc_id", "text", "lang")).drop("text", "words", "common")
+    real = lambda c: shares(F.transform(c, lambda x: x.cast("double")))
+    counted = (
+        counted.withColumn("row", row_of("doc_id", "text", "lang"))
+        .withColumn("classes", real(F.col("classes")))
+        .withColumn("common_counts", real(F.col("common_counts")))
+        .drop("text", "words", "common")
+    )
     stored = materialise(counted, "counted")
-    total = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, b: a + b)
-    share = lambda column, i: F.get(column, i) / F.nullif(total(F.col(column)), F.lit(0))
-    sums = lambda column, n: F.array(*(F.sum(share(column, i)) for i in range(n)))
+    sums = lambda column, n: F.array(*(F.sum(F.get(column, i)) for i in range(n)))
     references = (
         common.select("lang")
         .join(stored, "lang")
@@ -186,16 +205,15 @@ def judged(
             sums("classes", len(CLASSES) + 1).alias("class_reference"),
             sums("common_counts", limits.common_words + 1).alias("word_reference"),
         )
-        .withColumn("word_reference", F.array_compact("word_reference"))
+        .select("lang", shares(F.col("class_reference")).alias("class_reference"), shares(F.array_compact("word_reference")).alias("word_reference"))
     )
     # Written, so that its size is known: a small table may be broadcast, a large one is joined by language.
     compared = stored.join(materialise(references, "references"), "lang", "left")
-    real = lambda c: F.transform(c, lambda x: x.cast("double"))
     repeated = 100 * F.col("n_repeat_words") > 50 * F.col("n_words")
     far = (F.col("class_distance") > limits.most_class_distance) | (F.col("word_distance") > limits.most_word_distance)
     return (
-        compared.withColumn("class_distance", js_distance(real(F.col("classes")), real(F.col("class_reference"))))
-        .withColumn("word_distance", js_distance(real(F.col("common_counts")), real(F.col("word_reference"))))
+        compared.withColumn("class_distance", js_distance(F.col("classes"), F.col("class_reference")))
+        .withColumn("word_distance", js_distance(F.col("common_counts"), F.col("word_reference")))
         .withColumn("base_failed", (F.col("n_words") < 50) | repeated)
         .withColumn(
             "kept",
@@ -206,13 +224,14 @@ def judged(
 
 
 def row_of(id_col: str, text_col: str, lang_col: str) -> Column:
-    return F.xxhash64(
-        F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.coalesce(F.col(lang_col).cast("string"), F.lit("\0"))
-    )
+    """128 bits that name a row by its id, text and language; equal rows share them."""
+    parts = (F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.coalesce(F.col(lang_col).cast("string"), F.lit("\0")))
+    return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b"))
 
 
 def keep(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The documents that are kept, with all their columns."""
-    rejected = judged(docs, limits, id_col, text_col, lang_col).filter("not kept").select(F.col("row").alias("_row")).distinct()
-    rows = docs.withColumn("_row", row_of(id_col, text_col, lang_col))
-    return rows.join(rejected, "_row", "left_anti").select(*docs.columns)
+    """The documents that are kept, with all their columns, whatever their names; the cases are those of ``judged``."""
+    key = free_name(docs, "row")
+    rejected = judged(docs, limits, id_col, text_col, lang_col).filter("not kept").select(F.col("row").alias(key)).distinct()
+    rows = docs.withColumn(key, row_of(id_col, text_col, lang_col))
+    return rows.join(rejected, key, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -108,7 +108,7 @@ WITH docs AS (
 ), repeated AS (
   SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM twice) GROUP BY r
 ), known AS (
-  SELECT lang FROM docs WHERE lang IS NOT NULL GROUP BY lang HAVING count(*) >= 20 ORDER BY count(*) DESC, lang LIMIT 256
+  SELECT lang FROM docs WHERE lang IS NOT NULL GROUP BY lang HAVING count(*) >= 20
 ), counts AS (
   SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(list_distinct(words)) AS word FROM split) JOIN known USING (lang) GROUP BY ALL
 ), common AS (

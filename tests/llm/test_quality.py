@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import quality
 from millrace.llm.quality import Limits
@@ -102,6 +103,13 @@ def test_keep(documents):
     assert Counter(str(r["doc_id"]) for r in kept.collect()) == want
 
 
+def test_extra_columns_stay(documents):
+    docs = documents(corpus()).withColumn("row", F.lit(7)).withColumn("Row_", F.lit(8)).withColumn("a.b", F.lit(9)).withColumn("_row", F.lit(10))
+    kept = quality.keep(docs)
+    assert kept.columns == docs.columns
+    assert {tuple(r)[-4:] for r in kept.collect()} == {(7, 8, 9, 10)}
+
+
 def test_plan_is_native(documents):
     plan = quality.judged(documents(corpus()))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|MapInArrow", plan)
