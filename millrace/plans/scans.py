@@ -201,29 +201,30 @@ def scan_libsvm(spark, base):
 
 @query(
     "s16_scan_images_to_vectors",
-    """SELECT vec_id, 16 AS size, CAST(list_sum(g) AS BIGINT) AS total, CAST(g[1] AS DOUBLE) AS first
-       FROM (SELECT vec_id, list_transform([10, 12, 14, 16, 26, 28, 30, 32, 42, 44, 46, 48, 58, 60,
+    """SELECT vec_id, CASE WHEN label <> 0 THEN 16 END AS size, CASE WHEN label <> 0 THEN CAST(list_sum(g) AS BIGINT) END AS total,
+              CASE WHEN label <> 0 THEN CAST(g[1] AS DOUBLE) END AS first
+       FROM (SELECT vec_id, label, list_transform([10, 12, 14, 16, 26, 28, 30, 32, 42, 44, 46, 48, 58, 60,
              62, 64], lambda p: CAST(floor(least(greatest(embedding[p]::DOUBLE, -1), 1) * 127)
              AS INTEGER) + 128) AS g FROM embeddings)""",
 )
 def scan_images_to_vectors(spark, base):
-    # Each embedding becomes an 8x8 gray image, its values as bytes.
-    def byte(x):
-        level = F.floor(F.least(F.greatest(x, F.lit(-1.0)), F.lit(1.0)) * 127) + 128
-        return F.lpad(F.hex(level), 2, "0")
-
-    pixels = F.unhex(F.array_join(F.transform("v", byte), ""))
-    image = F.struct(
-        F.lit(8).alias("height"),
-        F.lit(8).alias("width"),
-        F.lit(1).alias("nChannels"),
-        pixels.alias("data"),
+    # Each embedding becomes a file, an 8x8 gray image; those of label 0 are damaged.
+    level = lambda x: (F.floor(F.least(F.greatest(x.cast("double"), F.lit(-1.0)), F.lit(1.0)) * 127) + 128).cast("int")
+    data = images.encode_png(F.transform("embedding", level), 8, 8)
+    rows = read_table(spark, base, "embeddings").select(
+        F.concat(F.col("vec_id").cast("string"), F.lit(".png")).alias("name"),
+        F.when(F.col("label") == 0, F.substring(data, 9, 20)).otherwise(data).alias("data"),
+    )
+    folder = scratch_path(spark, "s16")
+    images.sink_files(rows, folder, "name", "data")
+    found = files.scan_images(spark, folder, "[0-9]*.png")
+    small = found.select(
+        F.regexp_extract("path", r"(\d+)\.png$", 1).cast("long").alias("vec_id"),
+        images.pixel_vector(F.col("image"), 4, 4).alias("g"),
     )
-    rows = I.vec(spark, base).select("vec_id", image.alias("image"))
-    small = rows.select("vec_id", images.pixel_vector(F.col("image"), 4, 4).alias("g"))
     return small.select(
         "vec_id",
-        F.size("g").alias("size"),
+        F.when(F.col("g").isNotNull(), F.size("g")).alias("size"),
         F.aggregate("g", F.lit(0.0), lambda s, x: s + x).cast("long").alias("total"),
         F.get("g", F.lit(0)).alias("first"),
     )

@@ -162,6 +162,54 @@ def stream_update_state(spark, base):
     return _user_state(spark, base, _forget_failing, "t07")
 
 
+IDLE_BATCHES = 2  # a key is forgotten after so many batches without rows
+FAILURES = "event_type = 'error' AND value > 30"
+
+IDLE_STATE = T.StructType(
+    [T.StructField("n", T.LongType()), T.StructField("idle", T.LongType()), T.StructField("score", T.LongType())]
+)
+
+
+def _idle_sql(old, k):
+    """The state after part ``k`` from the state table ``old``."""
+    return f"""SELECT * FROM (SELECT coalesce(s.user_id, c.user_id) AS user_id, coalesce(s.n, 0) + coalesce(c.n, 0) AS n,
+        CASE WHEN c.n IS NULL THEN s.idle + 1 ELSE 0 END AS idle,
+        coalesce(s.score, 0) // 2 + coalesce(c.n, 0) AS score
+        FROM {old} s FULL JOIN (SELECT * FROM failures WHERE k = {k}) c ON s.user_id IS NOT DISTINCT FROM c.user_id)
+        WHERE idle < {IDLE_BATCHES}"""
+
+
+@query(
+    "t07_stream_update_every_key",
+    f"""WITH failures AS (SELECT user_id, {THIRD_SQL} AS k, count(*) AS n FROM events WHERE {FAILURES} GROUP BY ALL),
+        none AS (SELECT * FROM (SELECT user_id, n, 0::BIGINT AS idle, n AS score FROM failures) WHERE false),
+        first AS ({_idle_sql('none', 0)}), second AS ({_idle_sql('first', 1)}), third AS ({_idle_sql('second', 2)})
+        SELECT 0::BIGINT AS batch, user_id, n, idle::BIGINT AS idle, score FROM first
+        UNION ALL SELECT 1, * FROM second UNION ALL SELECT 2, * FROM third""",
+)
+def stream_update_every_key(spark, base):
+    """Serious errors per user: a score halves with every batch, also for users without new ones."""
+    path = scratch_path(spark, "t07-every")
+    count = F.coalesce(F.col("new.n"), F.lit(0))
+    for stream in _arrivals(spark, base, "events", "t07-every", THIRD):
+        query = state.update_every_key(
+            stream.filter(FAILURES).select("user_id"),
+            path,
+            ["user_id"],
+            {"n": F.count("*")},
+            {
+                "n": F.coalesce(F.col("old.n"), F.lit(0)) + count,
+                "idle": F.when(F.col("new").isNull(), F.col("old.idle") + 1).otherwise(0),
+                "score": F.floor(F.coalesce(F.col("old.score"), F.lit(0)) / 2) + count,
+            },
+            IDLE_STATE,
+            keep=F.col("idle") < IDLE_BATCHES,
+        )
+        sinks.finish(query)
+    user = T.StructField("user_id", T.LongType())
+    return sinks.read_batches(spark, path, T.StructType([user, *IDLE_STATE.fields]))
+
+
 PURCHASES_SQL = (
     CLICK_LOG
     + "SELECT user_id, count(*) AS purchases, round(sum(value), 2) AS revenue FROM click_log "
@@ -440,6 +488,62 @@ def stream_join(spark, base):
     return sinks.run_append(joined.select(*columns), scratch_path(spark, "t20-join"))
 
 
+SPAN = 6  # hours
+
+
+@query(
+    "t20_stream_left_join",
+    f"""WITH mark AS (SELECT least(max(ts) FILTER (WHERE event_type = 'view'),
+              max(ts) FILTER (WHERE event_type = 'purchase')) - INTERVAL 10 MINUTE AS t FROM events),
+         matched AS (SELECT v.event_id AS view_id, p.event_id AS purchase_id, v.ts FROM events v
+              LEFT JOIN events p ON p.user_id = v.user_id AND p.event_type = 'purchase'
+              AND p.ts BETWEEN v.ts AND v.ts + INTERVAL {SPAN} HOUR WHERE v.event_type = 'view')
+         SELECT view_id, purchase_id FROM matched, mark
+         WHERE purchase_id IS NOT NULL OR ts + INTERVAL {SPAN} HOUR < mark.t""",
+)
+def stream_left_join(spark, base):
+    """Views with the purchases that follow within hours; those without one once the watermark has passed."""
+
+    def of_kind(kind, name):
+        rows = _events(spark, base).filter(F.col("event_type") == kind)
+        return rows.select(F.col("event_id").alias(f"{name}_id"), F.col("user_id").alias(f"{name}_user"), F.col("ts").alias(f"{name}_ts"))
+
+    joined = windows.join_within(
+        of_kind("view", "view"), of_kind("purchase", "purchase"), "view_user", "purchase_user", "view_ts", "purchase_ts",
+        f"{SPAN} hours", how="left",
+    )
+    return sinks.run_append(joined.select("view_id", "purchase_id"), scratch_path(spark, "t20-left"))
+
+
+FIRST_ROWS = 100
+
+
+@query(
+    "t20_stream_limit",
+    f"SELECT least(count(*), {FIRST_ROWS}) AS n, least(count(*), {FIRST_ROWS}) AS known FROM events",
+)
+def stream_limit(spark, base):
+    """A limit counts over all batches; which rows come first is the source's choice."""
+    path = scratch_path(spark, "t20-limit")
+    for stream in _arrivals(spark, base, "events", "t20-limit", THIRD):
+        first = sinks.run_append(stream.select("event_id").limit(FIRST_ROWS), path)
+    known = read_table(spark, base, "events").select("event_id", F.lit(1).alias("known"))
+    return first.join(known, "event_id", "left").agg(F.count("*").alias("n"), F.count("known").alias("known"))
+
+
+@query(
+    "t20_stream_sort_limit",
+    "SELECT user_id, n FROM (SELECT user_id, count(*) AS n FROM events GROUP BY user_id) ORDER BY n DESC, user_id LIMIT 10",
+)
+def stream_sort_limit(spark, base):
+    """The ten busiest users so far, after each of three batches; the last result counts."""
+    path = scratch_path(spark, "t20-sort")
+    for stream in _arrivals(spark, base, "events", "t20-sort", THIRD):
+        counts = stream.groupBy("user_id").agg(F.count("*").alias("n"))
+        busiest = sinks.run_complete(counts.orderBy(F.desc("n"), "user_id").limit(10), path)
+    return busiest
+
+
 @query("t21_stream_checkpoint_restart", PURCHASES_SQL)
 def stream_checkpoint_restart(spark, base):
     path = scratch_path(spark, "t21")
@@ -602,8 +706,8 @@ def stream_union(spark, base):
     + _sliding_sql([], 60, 10, "round(sum(value), 2) AS total"),
 )
 def stream_window_total(spark, base):
-    totals = windows.window_aggregate(
-        _clicks(spark, base), "ts", "60 seconds", "10 seconds", total=F.sum("value")
+    totals = windows.pane_aggregate(
+        _clicks(spark, base), "ts", "60 seconds", "10 seconds", total=(F.sum("value"), F.sum("total"))
     )
     closed = sinks.run_append(totals, scratch_path(spark, "t29"))
     return _as_text(closed, "start", "end").withColumn("total", F.round("total", 2))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,9 +99,35 @@ def scan_libsvm(spark: SparkSession, path: str, features: int | None = None) ->
     return reader.load(path)
 
 
-def scan_images(spark: SparkSession, path: str) -> DataFrame:
-    """One row per readable image file, in struct column ``image``."""
-    return spark.read.format("image").option("dropInvalid", True).load(path)
+def scan_images(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """One row per file: its ``path`` and the struct ``image``, null where no image can be read.
+
+    Files of no bytes give no row, as with every file source.
+    """
+    reader = spark.read.format("image").option("dropInvalid", False)
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
+    found = reader.load(path)
+    readable = (F.col("image.height") > 0) & (F.octet_length("image.data") > 0)
+    return found.select(F.col("image.origin").alias("path"), F.when(readable, F.col("image")).alias("image"))
+
+
+def shared_files(spark: SparkSession, path: str) -> Callable[[], tuple[pyarrow.fs.FileSystem, str]]:
+    """What gives a task the file system of a path and the path in it.
+
+    The scheme is settled here, on the driver, by Spark's own default file system: a bare
+    path or ``file:`` is a folder of the machine only where that is Spark's default too.
+    """
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    full = str(files.makeQualified(place).toString())
+
+    def opened() -> tuple[pyarrow.fs.FileSystem, str]:
+        if full.startswith("file:"):
+            return pyarrow.fs.LocalFileSystem(), "/" + full[len("file:") :].lstrip("/")
+        return pyarrow.fs.FileSystem.from_uri(full.replace("s3a://", "s3://", 1))
+
+    return opened
 
 
 def sink_text(df: DataFrame, path: str, line: F.Column) -> None:

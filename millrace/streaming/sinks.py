@@ -100,7 +100,7 @@ def per_batch(
         if result is not None:
             result.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
             if mode == "complete" and batch_id:
-                _remove(batch.sparkSession, f"{path}/batch={batch_id - 1}")
+                remove(batch.sparkSession, f"{path}/batch={batch_id - 1}")
 
     return start(df, path, mode, trigger, lambda writer: writer.foreachBatch(run))
 
@@ -112,7 +112,8 @@ def _hadoop_path(spark: SparkSession, path: str):
     return files, files.makeQualified(place)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a sink, on Spark's own file system."""
     files, place = _hadoop_path(spark, path)
     files.delete(place, True)
 
@@ -146,6 +147,12 @@ def run_append(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def run_batches(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
+    """Run a query over all available input, one folder a batch, and read all its batches."""
+    finish(per_batch(df, path, mode=mode))
+    return read_batches(df.sparkSession, path, df.schema)
+
+
 def run_complete(df: DataFrame, path: str) -> DataFrame:
     """Run a query over all available input in complete mode and read the last result."""
     finish(per_batch(df, path, mode="complete"))

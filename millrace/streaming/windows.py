@@ -21,19 +21,47 @@ def window_aggregate(
     grouped = df.groupBy(window.alias("window"), *keys).agg(
         *[c.alias(n) for n, c in aggregates.items()]
     )
+    return _with_bounds(grouped, *keys, *aggregates)
+
+
+def _with_bounds(grouped: DataFrame, *columns: str) -> DataFrame:
     return grouped.select(
-        F.col("window.start").alias("start"),
-        F.col("window.end").alias("end"),
-        *keys,
-        *aggregates,
+        F.col("window.start").alias("start"), F.col("window.end").alias("end"), *columns
+    )
+
+
+def pane_aggregate(
+    df: DataFrame, time: str, length: str, slide: str, *keys: str, **aggregates: tuple[Column, Column]
+) -> DataFrame:
+    """Sliding aggregates from panes: rows are folded once per ``slide``, windows add up panes.
+
+    Each aggregate is a pair: over the rows of a pane, and over the column of that name of the
+    panes of a window, such as ``n=(count("*"), sum("n"))``.  No row is copied into the
+    windows it belongs to; the panes are, one row per key and slide at most, however many
+    rows they hold.  ``length`` must be a whole number of slides.
+    """
+    if _seconds(df, length) % _seconds(df, slide):
+        raise ValueError(f"{length} is no multiple of {slide}")
+    panes = df.groupBy(F.window(time, slide).alias("pane"), *keys).agg(
+        *(first.alias(n) for n, (first, _) in aggregates.items())
     )
+    window = F.window(F.window_time("pane"), length, slide).alias("window")
+    grouped = panes.groupBy(window, *keys).agg(*(then.alias(n) for n, (_, then) in aggregates.items()))
+    return _with_bounds(grouped, *keys, *aggregates)
+
+
+def _seconds(df: DataFrame, span: str) -> int:
+    """The length of a fixed interval such as ``10 minutes``."""
+    start = "TIMESTAMP '2000-01-01'"
+    value = f"unix_micros({start} + INTERVAL {span}) - unix_micros({start})"
+    return df.sparkSession.range(1).select(F.expr(value)).first()[0]
 
 
 def sliding_count(
     df: DataFrame, time: str, *keys: str, length: str = "60 seconds", slide: str = "10 seconds"
 ) -> DataFrame:
     """Rows per key over the last ``length``, every ``slide``; no zero counts."""
-    return window_aggregate(df, time, length, slide, *keys, n=F.count("*"))
+    return pane_aggregate(df, time, length, slide, *keys, n=(F.count("*"), F.sum("n")))
 
 
 def top_per_window(
@@ -71,23 +99,40 @@ def join_within(
     right_time: str,
     span: str,
     salts: int = 8,
+    how: str = "inner",
 ) -> DataFrame:
     """Join two streams on a key where the right row is at most ``span`` later.
 
-    Both need a watermark; the time bound lets old state go.  A stream join cannot split a
-    skewed key by itself, so right rows of every key are spread over ``salts`` parts and
-    left rows sent to each part.  The parts depend on the rows alone: after a restart
-    stored rows and new ones still meet.  ``salts`` must stay the same for a checkpoint.
+    Both need a watermark; the time bound lets old state go.  ``how`` is inner or left: a left
+    row without a partner is emitted once, with nulls, when the watermark has passed the
+    time in which one could have come.
+
+    A stream join cannot split a skewed key by itself, so the rows of one side are spread
+    over ``salts`` parts of every key and those of the other are sent to each part: left rows
+    are copied in an inner join, right rows in a left one, where each left row must
+    meet all its partners in one place.  The parts depend on the rows alone: after a restart stored
+    rows and new ones still meet.  ``salts`` must stay the same for a checkpoint.
     """
-    spread = right.withColumn("_right_part", F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int"))
-    copied = left.withColumn("_left_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if how not in ("inner", "left"):
+        raise ValueError("how is inner or left")
+
+    def spread(df: DataFrame, name: str) -> DataFrame:
+        return df.withColumn(name, F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+
+    def copied(df: DataFrame, name: str) -> DataFrame:
+        return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+    if how == "inner":
+        first, second = copied(left, "_left_part"), spread(right, "_right_part")
+    else:
+        first, second = spread(left, "_left_part"), copied(right, "_right_part")
     condition = (
         (F.col(left_key) == F.col(right_key))
         & (F.col("_left_part") == F.col("_right_part"))
         & (F.col(right_time) >= F.col(left_time))
         & (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {span}"))
     )
-    return copied.join(spread, condition).drop("_left_part", "_right_part")
+    return first.join(second, condition, how).drop("_left_part", "_right_part")
 
 
 def join_static(

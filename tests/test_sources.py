@@ -112,10 +112,26 @@ def test_images_to_gray_vectors(spark, tmp_path):
     a = rng.integers(0, 256, (4, 6, 3))
     bmp(tmp_path / "a.bmp", [[tuple(map(int, p)) for p in row] for row in a])
     (tmp_path / "junk.bmp").write_bytes(b"no image")
+    (tmp_path / "empty.bmp").write_bytes(b"")
     found = files.scan_images(spark, str(tmp_path))
-    got = found.select(images.pixel_vector(F.col("image"), 3, 2).alias("v")).collect()
-    assert len(got) == 1
-    np.testing.assert_allclose(got[0].v, a.mean(axis=2)[1::2, 1::2].ravel())
+    rows = found.select("path", images.pixel_vector(F.col("image"), 3, 2).alias("v")).collect()
+    got = {r.path.rsplit("/", 1)[1]: r.v for r in rows}
+    assert set(got) == {"a.bmp", "junk.bmp"} and got["junk.bmp"] is None
+    np.testing.assert_allclose(got["a.bmp"], a.mean(axis=2)[1::2, 1::2].ravel())
+
+
+def test_image_files_round_trip(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    pixels = {f"{i:02}.png": rng.integers(0, 256, 20).tolist() for i in range(15)}
+    rows = spark.createDataFrame([*pixels.items(), ("none.png", None)], "name string, pixels array<int>").repartition(3)
+    encoded = rows.select("name", images.encode_png(F.col("pixels"), 5, 4).alias("data"))
+    folder = str(tmp_path / "images")
+    images.sink_files(encoded, folder, "name", "data")
+    images.sink_files(encoded, folder, "name", "data")  # a repeated task writes the same files
+    assert sorted(p.name for p in (tmp_path / "images").iterdir()) == sorted(pixels)
+    found = files.scan_images(spark, folder, "*.png")
+    got = found.select("path", images.pixel_vector(F.col("image"), 5, 4).alias("v")).collect()
+    assert {r.path.rsplit("/", 1)[1]: r.v for r in got} == pixels
 
 
 def test_libsvm_and_matrix_files(spark, tmp_path, collected):

@@ -367,3 +367,128 @@ def test_complete_mode_keeps_the_newest_result_only(spark, log, tmp_path):
     folder, _ = log
     sinks.run_complete(read(spark, folder).groupBy("word").count(), str(tmp_path / "c"))
     assert [p.name for p in (tmp_path / "c").glob("batch=*")] == ["batch=3"]
+
+
+AGES = T.StructType([T.StructField("n", T.LongType()), T.StructField("idle", T.LongType())])
+
+
+def aged(stream, path, versions=None):
+    return state.update_every_key(
+        stream,
+        path,
+        ["user_id", "word"],
+        {"n": F.count("*"), "last": F.max("value")},
+        {
+            "n": F.coalesce(F.col("old.n"), F.lit(0)) + F.coalesce(F.col("new.n"), F.lit(0)),
+            "idle": F.when(F.col("new").isNull(), F.col("old.idle") + 1).otherwise(0),
+        },
+        AGES,
+        keep=F.col("idle") < 2,
+        versions=versions,
+    )
+
+
+def plain_ages(batches):
+    held, out = {}, []
+    for number, rows in enumerate(batches):
+        fresh = {}
+        for _, user, word, _ in rows:
+            fresh[(user, word)] = fresh.get((user, word), 0) + 1
+        for key in set(held) | set(fresh):
+            n, idle = held.get(key, (0, -1))
+            held[key] = (n + fresh.get(key, 0), 0 if key in fresh else idle + 1)
+        held = {k: v for k, v in held.items() if v[1] < 2}
+        out += [(*key, *value, number) for key, value in held.items()]
+    return out
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: tuple((x is None, x) for x in r))
+
+
+def test_every_known_key_is_stepped_in_every_batch(spark, tmp_path, collected):
+    at = START
+    batches = [
+        [(at, 1, "a", 1.0), (at, 2, "a", 1.0), (at, None, "a", 1.0), (at, 3, None, 2.0), (at, 1, "a", 5.0)],
+        [(at, 1, "a", 1.0), (at, None, "a", 4.0)],
+        [(at, 1, "b", 1.0)],
+        [(at, 2, "a", 1.0), (at, 3, None, None)],
+        [(at, 9, "z", 1.0)],
+    ]
+    folder, path = str(tmp_path / "in"), str(tmp_path / "out")
+    for number, rows in enumerate(batches):
+        write_file(spark, rows, folder, f"f{number}")
+        sinks.finish(aged(read(spark, folder), path))
+    key = T.StructType.fromDDL("user_id long, word string")
+    got = sinks.read_batches(spark, path, T.StructType([*key.fields, *AGES.fields]))
+    assert collected(got) == ordered(plain_ages(batches))
+
+
+def test_old_states_are_removed_and_a_repeated_batch_gives_the_same(spark, tmp_path, collected):
+    batches = [[(START, u, "a", 1.0) for u in range(4) if (u + k) % 3] for k in range(5)]
+    folder, path = str(tmp_path / "in"), str(tmp_path / "out")
+    for number, rows in enumerate(batches):
+        write_file(spark, rows, folder, f"f{number}")
+    sinks.finish(aged(read(spark, folder), path, versions=2))
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["batch=3", "batch=4"]
+    key = T.StructType.fromDDL("user_id long, word string")
+    def states():
+        return collected(sinks.read_batches(spark, path, T.StructType([*key.fields, *AGES.fields])))
+    want = ordered(r for r in plain_ages(batches) if r[-1] >= 3)
+    assert states() == want
+    # The last batch was not noted as done: it runs again after a restart.
+    (tmp_path / "out-checkpoint" / "commits" / "4").unlink()
+    (tmp_path / "out-checkpoint" / "commits" / ".4.crc").unlink(missing_ok=True)
+    sinks.finish(aged(read(spark, folder), path, versions=2))
+    assert states() == want
+
+
+def test_state_needs_its_predecessor_and_all_steps(spark, log, tmp_path):
+    with pytest.raises(ValueError):
+        aged(read(spark, log[0]), str(tmp_path), versions=1)
+    with pytest.raises(ValueError):
+        state.update_every_key(read(spark, log[0]), str(tmp_path), ["word"], {"n": F.count("*")}, {"n": F.lit(1)}, AGES)
+
+
+@pytest.mark.parametrize("length, slide", [("60 seconds", "10 seconds"), ("10 minutes", "5 minutes"), ("30 seconds", "30 seconds")])
+def test_panes_equal_windows_of_rows(spark, log, tmp_path, collected, length, slide):
+    folder, table = log
+    want = collected(windows.window_aggregate(table, "ts", length, slide, "word", n=F.count("*"), top=F.max("value")))
+    pairs = {"n": (F.count("*"), F.sum("n")), "top": (F.max("value"), F.max("top"))}
+    assert collected(windows.pane_aggregate(table, "ts", length, slide, "word", **pairs)) == want
+    stream = sources.with_event_time(read(spark, folder), "ts", "20 seconds")
+    closed = sinks.run_append(windows.pane_aggregate(stream, "ts", length, slide, "word", **pairs), str(tmp_path / "out"))
+    mark = table.agg(F.max("ts")).first()[0] - timedelta(seconds=20)
+    assert collected(closed) == [r for r in want if r[1] <= mark]
+
+
+def test_panes_fold_rows_before_windows(spark, log):
+    table = log[1]
+    plan = windows.sliding_count(table, "ts", "word")._jdf.queryExecution().optimizedPlan().toString()
+    # The rows meet one aggregate per pane below the node that copies panes into windows.
+    assert plan.index("Aggregate") < plan.index("Expand") < plan.rindex("Aggregate")
+    with pytest.raises(ValueError):
+        windows.sliding_count(table, "ts", "word", length="60 seconds", slide="25 seconds")
+
+
+@pytest.mark.parametrize("salts", [1, 5])
+def test_left_join_emits_rows_without_partner_once(spark, tmp_path, collected, salts):
+    rng = np.random.default_rng(8)
+    def side(n, name):
+        rows = sorted((START + timedelta(seconds=int(rng.integers(0, 900))), int(rng.choice([1, 1, 2, 3, 4])), i) for i in range(n))
+        return spark.createDataFrame(rows, f"{name}_ts timestamp, {name}_key long, {name}_id long"), rows
+    (left, left_rows), (right, right_rows) = side(60, "l"), side(25, "r")
+    streams = []
+    for name, df in (("l", left), ("r", right)):
+        df.coalesce(1).write.parquet(str(tmp_path / name / "f"))
+        stream = sources.stream_files(spark, str(tmp_path / name / "f*"), df.schema)
+        streams.append(sources.with_event_time(stream, f"{name}_ts", "10 seconds"))
+    joined = windows.join_within(*streams, "l_key", "r_key", "l_ts", "r_ts", "60 seconds", salts=salts, how="left")
+    got = collected(sinks.run_append(joined.select("l_id", "r_id"), str(tmp_path / "out")))
+    span = timedelta(seconds=60)
+    mark = min(max(r[0] for r in left_rows), max(r[0] for r in right_rows)) - timedelta(seconds=10)
+    want = [(i, j) for a, k, i in left_rows for b, m, j in right_rows if k == m and a <= b <= a + span]
+    alone = [(i, None) for a, k, i in left_rows if i not in {x for x, _ in want} and a + span < mark]
+    assert len(alone) > 5 and got == ordered(want + alone)
+    with pytest.raises(ValueError):
+        windows.join_within(*streams, "l_key", "r_key", "l_ts", "r_ts", "60 seconds", how="right")
