@@ -6,6 +6,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -14,13 +16,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions import vectors as V
 from millrace.functions.folding import stacked
+from millrace.ml import shards
 from millrace.ml.parallel import run_all
 from millrace.operators.topn import top_n_per_group
 from millrace.session import materialise
 
-# Centres that rows are measured against at a time: 20 MB of doubles at 256 dimensions.
-CENTRE_BLOCK = 10_000
-
 
 def kmeans_fit(
     df: DataFrame,
@@ -62,19 +62,24 @@ def group_centres(df: DataFrame, cluster: str, vector: str) -> DataFrame:
     return df.groupBy(cluster).agg(vector_to_array(mean).alias("centre"))
 
 
+def _nearest_of(points: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of ``x`` the place of the nearest point, of equally near ones the first, and the squared distance."""
+    best = np.full(len(x), np.inf)
+    place = np.zeros(len(x), dtype=int)
+    for i, point in enumerate(points):
+        d = ((x - point) ** 2).sum(axis=1)
+        place[d < best] = i
+        best = np.minimum(best, d)
+    return place, best
+
+
 def _nearest_in(ids: np.ndarray, points: np.ndarray, kind: str):
     """An Arrow function to the nearest of some centres, sorted by id; null for a missing vector."""
 
     @F.pandas_udf(f"distance double, cluster {kind}")
     def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = stacked(batch, points.shape[1])
-            best = np.full(len(x), np.inf)
-            place = np.zeros(len(x), dtype=int)
-            for i, point in enumerate(points):
-                d = ((x - point) ** 2).sum(axis=1)
-                place[d < best] = i
-                best = np.minimum(best, d)
+            place, best = _nearest_of(points, stacked(batch, points.shape[1]))
             found = pd.DataFrame({"distance": best, "cluster": ids[place]})
             missing = batch.isna().to_numpy()
             if missing.any():
@@ -88,26 +93,48 @@ def _nearest_in(ids: np.ndarray, points: np.ndarray, kind: str):
 def nearest_centre(df: DataFrame, vector: str, centres: DataFrame) -> DataFrame:
     """Add the nearest centre (``cluster``) and its squared distance to every row.
 
-    ``centres`` has ``cluster`` and ``centre`` and holds the centres of a model.  They go
-    to every task in blocks, against which Arrow batches are measured; rows are not
-    shuffled.  Equally near centres: the smaller cluster number wins.  A missing vector
-    and an empty model have neither cluster nor distance.
+    ``centres`` has ``cluster`` and ``centre``.  Up to ``shards.SHIPPED_ROWS`` of them go to every
+    task and rows are not shuffled; more are dealt to shards, past which the rows' vectors
+    stream, and each row's nearest ones are merged.  Equally near centres: the smaller
+    cluster wins.  A missing vector and an empty table of centres give neither cluster nor distance.
     """
     kind = centres.schema["cluster"].dataType.simpleString()
-    held = sorted(centres.select("cluster", "centre").collect(), key=lambda c: c["cluster"])
-    none = F.lit(None).cast(f"struct<distance:double,cluster:{kind}>")
-    found = [none]
-    for start in range(0, len(held), CENTRE_BLOCK):
-        block = held[start : start + CENTRE_BLOCK]
-        ids, points = np.array([c["cluster"] for c in block]), np.array([c["centre"] for c in block])
+    few = shards.small_table(centres.select("cluster", "centre"))
+    if few is None:
+        return _nearest_in_shards(df, vector, centres, kind)
+    held = sorted(few, key=lambda c: c["cluster"])
+    best = F.lit(None).cast(f"struct<distance:double,cluster:{kind}>")
+    if held:
+        ids, points = np.array([c["cluster"] for c in held]), np.array([c["centre"] for c in held])
         best = _nearest_in(ids, points, kind)(V.dense(F.col(vector)))
-        found.append(F.when(best["distance"].isNotNull(), best))
-    measured = df.withColumn("_best", F.array_min(F.array_compact(F.array(*found))))
+    measured = df.withColumn("_best", best)
     return measured.withColumns(
         {"cluster": F.col("_best.cluster"), "distance": F.col("_best.distance")}
     ).drop("_best")
 
 
+def _nearest_in_shards(df: DataFrame, vector: str, centres: DataFrame, kind: str) -> DataFrame:
+    """Rows get a number when they are written, by which the nearest centres of all shards meet again."""
+    numbered = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    rows = numbered.filter(F.col(vector).isNotNull()).select(F.col("_row").alias("id"), V.dense(F.col(vector)).alias("vector"))
+    held = centres.select(F.col("cluster").alias("key"), V.dense(F.col("centre")).alias("vector"))
+
+    def measure(keys, matrix, ids, x):
+        if measure.held is None or measure.held[0] is not matrix:
+            order = pa.compute.sort_indices(keys)  # equally near: the smaller one
+            measure.held = matrix, keys.take(order), matrix[order.to_numpy()]
+        _, names, points = measure.held
+        place, best = _nearest_of(points, x)
+        return pa.RecordBatch.from_arrays([ids, pa.array(best), names.take(pa.array(place))], ["_row", "distance", "cluster"])
+
+    measure.held = None
+    found = shards.past_shards(rows, materialise(held, "centres"), measure, f"_row long, distance double, cluster {kind}")
+    least = found.groupBy("_row").agg(F.min(F.struct("distance", "cluster")).alias("_best"))
+    return numbered.join(least, "_row", "left").select(
+        *(F.col(f"`{c}`") for c in df.columns), F.col("_best.cluster").alias("cluster"), F.col("_best.distance").alias("distance")
+    )
+
+
 def kmeans_one_step(df: DataFrame, vector: str, centres: DataFrame) -> DataFrame:
     """Assign every row to its nearest centre, then average per cluster: ``(cluster, n, centre)``."""
     assigned = nearest_centre(df, vector, centres)

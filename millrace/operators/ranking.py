@@ -1,77 +1,50 @@
 """Whole-table row numbers and running totals that no single task has to hold.
 
-A window without a partition key runs in one task.  Here the order column is cut
-into ranges, each range is numbered by itself, and a small table of per-range
-totals supplies the offset.  The cut points only decide how work is shared out:
-the result is exact for any of them.
-
-The input is read several times: store it first if it is costly to compute.
+A window without a partition key runs in one task.  Here the table is sorted into ranges,
+written once with each row's place in its range, and a small table of per-range totals
+supplies the offset.  Where the ranges are cut only decides how work is shared out: the
+result is exact for any cuts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 20_000
-
-
-def _cut_points(df: DataFrame, column: str, ranges: int) -> list:
-    """About ``ranges - 1`` increasing values that share out the column's values."""
-    if ranges < 2:
-        return []
-    if isinstance(df.schema[column].dataType, T.NumericType):
-        shares = [i / ranges for i in range(1, ranges)]
-        points = df.approxQuantile(column, shares, 0.1 / ranges)
-        return sorted(set(points))
-    # Not numeric: order a sample of bounded size and take evenly spaced values.
-    wanted = 20 * ranges
-    sample = df.select(column).where(F.col(column).isNotNull()).orderBy(
-        F.xxhash64(column)
-    ).limit(wanted)
-    values = sorted(row[0] for row in sample.collect())
-    step = max(1, len(values) // ranges)
-    return sorted(set(values[step::step]))
-
-
-def range_number(df: DataFrame, column: str, ranges: int | None = None) -> DataFrame:
-    """Add ``_range``: the number of the value range a row falls in, growing with the value."""
-    if ranges is None:
-        at_least = df.sparkSession.sparkContext.defaultParallelism
-        ranges = min(MAX_RANGES, max(at_least, df.count() // ROWS_PER_RANGE + 1))
-    points = _cut_points(df, column, ranges)
-    if not points:
-        return df.withColumn("_range", F.lit(0))
-    if isinstance(df.schema[column].dataType, T.NumericType):
-        edges = [float("-inf"), *points, float("inf")]
-        split = Bucketizer(
-            splits=edges, inputCol="_value", outputCol="_bucket", handleInvalid="keep"
-        )
-        cut = split.transform(df.withColumn("_value", F.col(column).cast("double")))
-        # Nulls sort first, as in an ascending ORDER BY.
-        return cut.withColumn(
-            "_range", F.when(F.col(column).isNull(), -1).otherwise(F.col("_bucket").cast("int"))
-        ).drop("_value", "_bucket")
-    below = F.filter(F.array(*[F.lit(p) for p in points]), lambda p: p <= F.col(column))
-    return df.withColumn(
-        "_range", F.when(F.col(column).isNull(), -1).otherwise(F.size(below))
-    )
 
+from millrace.session import materialise
+
+# ``monotonically_increasing_id`` holds the number of the partition above these bits and counts rows below.
+PLACE_BITS = 33
 
-def _with_offsets(df: DataFrame, totals: dict[str, Column]) -> DataFrame:
-    """Attach, per range, the sum of each total over all earlier ranges."""
-    per_range = df.groupBy("_range").agg(*[c.alias(n) for n, c in totals.items()])
-    # One row per range, at most MAX_RANGES + 1 of them: one task, and safe to ship.
+
+def sorted_ranges(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """The table in ascending order, nulls first, written once, with ``_range`` and ``_place`` in it.
+
+    Rows of a smaller ``_range`` come first; ``_place`` counts from 0 without gaps.  Rows with equal
+    values of ``order`` are ordered, and dealt to ranges, by a hash of the whole row, so a value
+    that very many rows share takes up several ranges; only rows equal in every column
+    stay together.  ``ranges``: how many at most, None for the session's shuffle partitions.
+    """
+    ties = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
+    keys = [*(F.col(f"`{c}`").asc_nulls_first() for c in order), F.col("_tie")]
+    tied = df.withColumn("_tie", ties)
+    dealt = tied.repartitionByRange(*([ranges] if ranges else []), *keys)
+    numbered = dealt.sortWithinPartitions(*keys).drop("_tie").withColumn("_at", F.monotonically_increasing_id())
+    written = numbered.withColumn("_range", F.shiftright("_at", PLACE_BITS)).withColumn("_place", F.col("_at").bitwiseAND(2**PLACE_BITS - 1))
+    return materialise(written.drop("_at"), "ranges")
+
+
+def _offsets(per_range: DataFrame, totals: Sequence[str]) -> DataFrame:
+    """Per range, the sum of each total over all earlier ranges.
+
+    One row per range, and no more ranges than shuffle partitions: one task, and safe to ship.
+    """
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select(
-        "_range", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in totals]
+    return F.broadcast(
+        per_range.select("_range", *(F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in totals))
     )
-    return df.join(F.broadcast(offsets), "_range")
 
 
 def global_row_number(
@@ -81,14 +54,15 @@ def global_row_number(
     tie_break: Sequence[str] = (),
     ranges: int | None = None,
 ) -> DataFrame:
-    """Number all rows from 1 in ascending order of a column.
+    """Number all rows from 1 in ascending order of a column, nulls first.
 
-    Meant for a column with (nearly) unique values: a value shared by many rows keeps
-    them in one range, and only ``tie_break`` decides their order.
+    Equal values are ordered by ``tie_break``, then by a hash of the row.
     """
-    cut = _with_offsets(range_number(df, order, ranges), {"_before": F.count("*")})
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(order, *tie_break))
-    return cut.withColumn(into, F.col("_before") + place).drop("_range", "_before")
+    cut = sorted_ranges(df, [order, *tie_break], ranges)
+    before = _offsets(cut.groupBy("_range").agg(F.count("*").alias("_before")), ["_before"])
+    return cut.join(before, "_range").select(
+        *(F.col(f"`{c}`") for c in df.columns if c != into), (F.col("_before") + F.col("_place") + 1).alias(into)
+    )
 
 
 def global_running_sum(
@@ -100,11 +74,12 @@ def global_running_sum(
     to and including the row.  Group equal order values first: that also folds a
     value shared by many rows into one.
     """
-    totals = {f"_before_{n}": F.sum(n) for n in sums}
-    cut = _with_offsets(range_number(df, order, ranges), totals)
-    upto = Window.partitionBy("_range").orderBy(order).rowsBetween(
+    totals: dict[str, Column] = {f"_before_{n}": F.sum(n) for n in sums}
+    cut = sorted_ranges(df, [order], ranges)
+    before = _offsets(cut.groupBy("_range").agg(*(c.alias(n) for n, c in totals.items())), list(totals))
+    upto = Window.partitionBy("_range").orderBy("_place").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return cut.withColumns(
+    return cut.join(before, "_range").withColumns(
         {out: F.col(f"_before_{n}") + F.sum(n).over(upto) for n, out in sums.items()}
-    ).drop("_range", *totals)
+    ).drop("_range", "_place", *totals)

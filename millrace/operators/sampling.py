@@ -55,7 +55,7 @@ def random_split(
 def kfold_blocks(df: DataFrame, position: str, k: int, into: str = "fold") -> DataFrame:
     """``k`` consecutive blocks of equal size by row position; the first ones take the rest."""
     numbered = global_row_number(df, position, "_row")
-    n = df.agg(F.count("*")).scalar()
+    n = numbered.agg(F.count("*")).scalar()
     small = F.floor(F.col("_n") / k)
     larger = F.col("_n") - small * k  # blocks that hold one row more
     head = larger * (small + 1)

@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.functions import matrices as M
-from millrace.ml import classify, cluster, features, metrics, recommend, reduce, regress
+from millrace.ml import classify, cluster, features, metrics, recommend, reduce, regress, shards
 
 RNG = np.random.default_rng(3)
 POINTS = [
@@ -96,7 +96,9 @@ def test_kmeans_step_matches_brute_force(points, monkeypatch):
     x, c = np.array([p[2] for p in POINTS]), np.array([p[2] for p in POINTS[:3]])
     nearest = ((x[:, None] - c) ** 2).sum(2).argmin(1)
     for few in (True, False):
-        monkeypatch.setattr(cluster, "CENTRE_BLOCK", 3 if few else 2)
+        monkeypatch.setattr(shards, "SHIPPED_ROWS", 3 if few else 2)
+        monkeypatch.setattr(shards, "SHARD_BYTES", 1)
+        monkeypatch.setattr(shards, "BUCKET_ROWS", 100)
         step = {r.cluster: r for r in cluster.kmeans_one_step(points, "x", start).collect()}
         for k in range(3):
             assert step[k].n == (nearest == k).sum()
@@ -106,8 +108,8 @@ def test_kmeans_step_matches_brute_force(points, monkeypatch):
 def test_missing_vectors(spark, collected, monkeypatch):
     rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 2.0])], "id int, x array<double>")
     centres = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0])], "cluster string, centre array<double>")
-    for block in (1, 10):
-        monkeypatch.setattr(cluster, "CENTRE_BLOCK", block)
+    for shipped in (1, 10):
+        monkeypatch.setattr(shards, "SHIPPED_ROWS", shipped)
         near = cluster.nearest_centre(rows, "x", centres).select("id", "cluster", "distance")
         assert collected(near) == [(1, "a", 0.0), (2, None, None), (3, "b", 1.0)]
     none = cluster.nearest_centre(rows, "x", centres.limit(0)).select("id", "cluster", "distance")
@@ -173,8 +175,11 @@ def test_top_scored_items_match_brute_force(spark, monkeypatch):
     items = spark.createDataFrame([(i, list(map(float, r))) for i, r in enumerate(v)], "item int, f array<double>")
     monkeypatch.setattr(recommend, "SLICE", 3)
     scores = u @ v.T
-    for held in (10**6, 100):  # bytes to a block: all items, then four of them
-        monkeypatch.setattr(recommend, "ITEM_BYTES", held)
+    monkeypatch.setattr(recommend, "BLOCK", 4)
+    monkeypatch.setattr(shards, "BUCKET_ROWS", 10)
+    for shipped, held in ((10**6, 10**6), (5, 10**6), (5, 100)):  # all items sent; one shard; four items to a shard
+        monkeypatch.setattr(shards, "SHIPPED_ROWS", shipped)
+        monkeypatch.setattr(shards, "SHARD_BYTES", held)
         # A user on two rows and an item on two rows count once.
         got = recommend.top_scored_items(users.union(users.limit(3)), items.union(items.limit(5)), "user", "item", "f", 4)
         assert got.count() == 23 * 4
@@ -184,6 +189,32 @@ def test_top_scored_items_match_brute_force(spark, monkeypatch):
     assert recommend.top_scored_items(users, items.limit(0), "user", "item", "f", 4).count() == 0
 
 
+def test_short_items_are_not_scored():
+    """A user whose kth score no shorter item can reach stops there."""
+    rng = np.random.default_rng(4)
+    matrix = rng.normal(size=(5000, 8)) * np.linspace(9, 0.001, 5000)[:, None]
+    items = recommend._Items(np.arange(5000), matrix[::-1])
+
+    class Counted(np.ndarray):
+        rows = 0
+
+        def __getitem__(self, part):
+            if isinstance(part, slice):
+                Counted.rows += part.stop - part.start
+            return np.asarray(super().__getitem__(part))
+
+    items.matrix = items.matrix.view(Counted)
+    users = rng.normal(size=(50, 8))
+    recommend.BLOCK, before = 100, recommend.BLOCK
+    try:
+        ids, scores = items.best(users, 5)
+    finally:
+        recommend.BLOCK = before
+    want = users @ matrix[::-1].T
+    assert Counted.rows < 5000 and (ids == np.argsort(-want, axis=1)[:, :5]).all()
+    np.testing.assert_allclose(scores, -np.sort(-want, axis=1)[:, :5])
+
+
 def test_equal_scores_go_to_the_smaller_item(spark, collected):
     users = spark.createDataFrame([(1, [1.0])], "u int, f array<double>")
     items = spark.createDataFrame([(i, [1.0]) for i in (9, 4, 7, 2)], "i int, f array<double>")

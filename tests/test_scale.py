@@ -86,11 +86,30 @@ def test_global_row_number_of_strings_and_nulls(spark, collected):
 
 
 def test_global_order_uses_several_ranges(spark):
-    cut = ranking.range_number(spark.range(1000), "id", 8)
+    cut = ranking.sorted_ranges(spark.range(1000), ["id"], 8)
     sizes = [r["count"] for r in cut.groupBy("_range").count().collect()]
     assert len(sizes) >= 6 and max(sizes) < 400
 
 
+def test_a_value_on_half_the_rows_takes_up_several_ranges(spark, collected):
+    df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("x"), F.col("id").alias("y"))
+    cut = ranking.sorted_ranges(df, ["x"], 8)
+    assert cut.filter("x = 7").select("_range").distinct().count() >= 3
+    assert max(r["count"] for r in cut.groupBy("_range").count().collect()) < 1500
+    got = ranking.global_row_number(df, "x", tie_break=["y"], ranges=8)
+    expected = spark.sql("SELECT x, y, row_number() OVER (ORDER BY x, y) AS row_no FROM {df}", df=df)
+    assert collected(got) == collected(expected)
+    free = collected(ranking.global_row_number(df, "x", ranges=8))
+    assert sorted(r[2] for r in free) == list(range(1, 4001)) and [r[0] for r in sorted(free, key=lambda r: r[2])] == sorted(r[0] for r in free)
+
+
+def test_whole_table_order_of_nothing_and_of_equal_rows(spark, collected):
+    df = spark.createDataFrame([(1, "a")] * 9 + [(None, None)] * 2, "x int, w string")
+    assert collected(ranking.global_row_number(df.limit(0), "x")) == []
+    got = collected(ranking.global_row_number(df, "x", ranges=5))
+    assert sorted(r[2] for r in got) == list(range(1, 12)) and all((r[0] is None) == (r[2] <= 2) for r in got)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(-20, 20), st.integers(0, 9)), min_size=1, max_size=60))
 def test_running_sum_property(spark, pairs):
