@@ -47,9 +47,24 @@ def mapped(df: DataFrame, run: Callable[[Batches], Batches], schema: str | Struc
     return df.mapInArrow(full, schema)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The columns by place, ``c0, c1, ...``: names with dots or backticks never reach ``mapInArrow``, which refuses them."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores behind it as it takes to be no column of ``df`` (in any case of letters)."""
     taken = {c.lower() for c in df.columns}
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def usual_length(rows: DataFrame, column: str) -> int:
+    """The length that most arrays of a column have, of equally frequent ones the largest; 0 for an empty table.
+
+    Empty and null arrays do not count.
+    """
+    sizes = rows.select(F.size(column).alias("n")).filter("n > 0").groupBy("n").count()
+    most = sizes.orderBy(F.desc("count"), F.desc("n")).first()
+    return most["n"] if most else 0

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Batches, in_slices, mapped, whole_texts
+from millrace.llm.common import Batches, in_slices, mapped, numbered, whole_texts
 
 SPANS = "array<struct<kind:string,start:long,end:long>>"
 
@@ -295,18 +295,20 @@ def redact(docs: DataFrame, rules: Sequence[Rule] = ALL_RULES, text_col: str = "
 
     A null text stays null.
     """
-    rules, schema = tuple(rules), docs.schema
+    rules, schema, names = tuple(rules), docs.schema, docs.columns
     place = docs.columns.index(text_col)
 
     def run(batches: Batches) -> Batches:
         search = _scanner(rules)
-        for batch in in_slices(batches, text_col, 4 << 20):
-            texts = batch.column(place).to_pylist()
+        for batch in in_slices(batches, f"c{place}", 4 << 20):
+            columns = list(batch.columns)
+            texts = columns[place].to_pylist()
             found = search([t or "" for t in texts])
             clean = [blanked(t, [(a, b) for a, _, b in s], mark) if s else t for t, s in zip(texts, found)]
-            yield batch.set_column(place, text_col, pa.array(clean, pa.string()))
+            columns[place] = pa.array(clean, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(lambda batches: run(b for b in batches if b.num_rows), schema)
+    return mapped(numbered(docs), run, schema)
 
 
 def joined_spans(spans: Column) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import Batches, in_slices, mapped, whole_texts
+from millrace.llm.common import Batches, free_name, in_slices, mapped, numbered, whole_texts
 from millrace.llm.components import connected
 from millrace.session import materialise
 
@@ -249,29 +249,33 @@ def one_of_component(
 ) -> DataFrame:
     """``one_of_each`` from ``doc_id, fp, component_id`` of every row and the function that gives a text's ``fp``."""
     found = materialise(found, "components")
-    named = docs.withColumn("_doc_id", F.col(id_col).cast("long"))
+    own, fp = free_name(docs, "doc_id_of"), free_name(docs, "fp_of")
+    named = docs.withColumn(own, F.col(id_col).cast("long"))
     kept = found.filter("doc_id = component_id").select("doc_id").distinct()
     gone = found.filter("doc_id != component_id").select("doc_id").distinct().join(kept, "doc_id", "left_anti")
-    left = named.join(gone.withColumnRenamed("doc_id", "_doc_id"), "_doc_id", "left_anti")
+    left = named.join(gone.withColumnRenamed("doc_id", own), own, "left_anti")
     repeated = found.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    repeated = materialise(repeated.select(F.col("doc_id").alias("_doc_id")), "repeated")
+    repeated = materialise(repeated.select(F.col("doc_id").alias(own)), "repeated")
     if not repeated.isEmpty():
-        once = left.join(repeated, "_doc_id", "left_semi").dropDuplicates(["_doc_id", text_col])
-        left = left.join(repeated, "_doc_id", "left_anti").unionByName(once)
-    nameless = found.filter("doc_id is null and component_id is not null").select(F.col("fp").alias("_fp")).distinct()
+        once = left.join(repeated, own, "left_semi").dropDuplicates([own, text_col])
+        left = left.join(repeated, own, "left_anti").unionByName(once)
+    nameless = found.filter("doc_id is null and component_id is not null").select(F.col("fp").alias(fp)).distinct()
     if not nameless.isEmpty():  # rows without an id are known by their fingerprint
-        lost = _with_name(left.filter("_doc_id is null"), name, text_col)
-        stay = lost.join(nameless, "_fp", "left_anti").drop("_fp")
-        left = left.filter("_doc_id is not null").unionByName(stay)
-    return left.select(*docs.columns)
+        lost = _with_name(left.filter(F.col(own).isNull()), name, text_col, fp)
+        stay = lost.join(nameless, fp, "left_anti").drop(fp)
+        left = left.filter(F.col(own).isNotNull()).unionByName(stay)
+    return left.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
-def _with_name(docs: DataFrame, name: Callable[[str], int], text_col: str) -> DataFrame:
-    """The rows with the name of their text as ``_fp``."""
+def _with_name(docs: DataFrame, name: Callable[[str], int], text_col: str, into: str) -> DataFrame:
+    """The rows with the name of their text as the new column ``into``."""
+
+    text = f"c{docs.columns.index(text_col)}"
+    columns = [*docs.columns, into]
 
     def run(batches: Batches) -> Batches:
-        for batch in in_slices(batches, text_col):
-            names = [name(t or "") for t in batch.column(text_col).to_pylist()]
-            yield batch.append_column("_fp", pa.array(names, pa.int64()))
+        for batch in in_slices(batches, text):
+            names = [name(t or "") for t in batch.column(text).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.int64())], columns)
 
-    return mapped(docs, run, T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())]))
+    return mapped(numbered(docs), run, T.StructType([*docs.schema.fields, T.StructField(into, T.LongType())]))

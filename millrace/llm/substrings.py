@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import Batches, in_slices, mapped
+from millrace.llm.common import Batches, free_name, in_slices, mapped, numbered
 from millrace.session import materialise
 
 WINDOW = 35
@@ -216,27 +216,47 @@ def _packed(window: int, shards: int, most_bytes: int = 32 << 20) -> Callable[[B
 class Symbols(dict):
     """A character for each word, in the order they are first seen; surrogates are left out."""
 
+    most = 0x10FFFF - 0x800
+
     def __missing__(self, word: str) -> str:
         code = len(self) + 1
+        if code > self.most:
+            raise OverflowError("more words than characters")
         symbol = self[word] = chr(code if code < 0xD800 else code + 0x800)
         return symbol
 
 
+class PairSymbols(dict):
+    """Two characters for each word, from two sets without common ones, so that words are found at their beginnings only."""
+
+    def __missing__(self, word: str) -> str:
+        high, low = divmod(len(self), 0x100000)
+        symbol = self[word] = chr(1 + high) + chr(0x10000 + low)
+        return symbol
+
+
 def located(stretches: list[str], counts: list[int], window: int = WINDOW) -> list[list[int]]:
     """For each stretch where recurring windows start in it, in words.
 
     The stretches, with how often each occurs, hold every occurrence of their windows.
     Recurring windows are confirmed by their words and compiled into one automaton, which
-    all stretches are streamed through.
+    all stretches are streamed through.  A shard of more words than there are characters takes two for each.
     """
+    try:
+        return _located(stretches, counts, window, Symbols(), 1)
+    except OverflowError:
+        return _located(stretches, counts, window, PairSymbols(), 2)
+
+
+def _located(stretches: list[str], counts: list[int], window: int, symbols: dict[str, str], width: int) -> list[list[int]]:
     import ahocorasick
 
-    symbols = Symbols()
     lines = ["".join(map(symbols.__getitem__, s.split(" "))) for s in stretches]
+    size = window * width
     seen: Counter[str] = Counter()
     for line, count in zip(lines, counts):
-        for i in range(len(line) - window + 1):
-            seen[line[i : i + window]] += count
+        for i in range(0, len(line) - size + 1, width):
+            seen[line[i : i + size]] += count
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
     for phrase, count in seen.items():
         if count > 1:
@@ -245,7 +265,7 @@ def located(stretches: list[str], counts: list[int], window: int = WINDOW) -> li
     if not len(automaton):
         return [[] for _ in lines]
     automaton.make_automaton()
-    return [[end - window + 1 for end, _ in automaton.iter(line)] for line in lines]
+    return [[(end + 1) // width - window for end, _ in automaton.iter(line)] for line in lines]
 
 
 def ranges(starts: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
@@ -347,23 +367,23 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
 def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", **tuning: int) -> DataFrame:
     """The documents without their repeated passages: all columns stay, white space between kept words too.
 
-    A text without repeated passages stays as it is, a null one null.
+    A text without repeated passages stays as it is, a null one null.  Columns of any other name stay as they are.
     """
-    place = docs.columns.index(text_col)
+    place, docs_columns = docs.columns.index(text_col), docs.columns
+    row, covered = free_name(docs, "row"), free_name(docs, "ranges")
 
     def run(batches: Batches) -> Batches:
-        for batch in in_slices(batches, text_col):
-            texts = batch.column(place).to_pylist()
-            clean = [
-                _without(t, flat) if flat and t else t for t, flat in zip(texts, batch.column("_ranges").to_pylist())
-            ]
-            yield batch.set_column(place, text_col, pa.array(clean, pa.string())).select(docs_columns)
-
-    docs_columns = docs.columns
-    whole = docs.withColumn("_row", _row_of(id_col, text_col))
-    rows = whole.select(F.col("_row").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    found = repeats(rows, window, **tuning).select(F.col("row").alias("_row"), F.col("ranges").alias("_ranges"))
-    return mapped(whole.join(found, "_row", "left").drop("_row"), run, T.StructType(docs.schema.fields))
+        for batch in in_slices(batches, f"c{place}"):
+            *columns, flats = batch.columns
+            texts = columns[place].to_pylist()
+            clean = [_without(t, flat) if flat and t else t for t, flat in zip(texts, flats.to_pylist())]
+            columns[place] = pa.array(clean, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, docs_columns)
+
+    whole = docs.withColumn(row, _row_of(id_col, text_col))
+    found = repeats(keyed(docs, id_col, text_col), window, **tuning).select(F.col("row").alias(row), F.col("ranges").alias(covered))
+    joined = whole.join(found, row, "left").select(*(F.col(f"`{c}`") for c in docs_columns), covered)
+    return mapped(numbered(joined), run, T.StructType(docs.schema.fields))
 
 
 def _row_of(id_col: str, text_col: str) -> Column:

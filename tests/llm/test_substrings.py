@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import queries, substrings
 
@@ -99,6 +100,32 @@ def test_without_repeats_keeps_white_space(documents):
     }
 
 
+@pytest.mark.parametrize("most", [3, 40, 10**6])
+def test_more_words_than_characters(monkeypatch, most):
+    monkeypatch.setattr(substrings.Symbols, "most", most)
+    rng = random.Random(4)
+    shared = [f"s{i}" for i in range(60)]
+    stretches = [" ".join([f"w{rng.randrange(10**6)}" for _ in range(rng.randint(0, 40))] + shared[rng.randint(0, 20) :]) for _ in range(30)]
+    counts = [1 + (i % 7 == 0) for i in range(30)]
+    seen = Counter()
+    for s, c in zip(stretches, counts):
+        words = s.split(" ")
+        for i in range(len(words) - 34):
+            seen[tuple(words[i : i + 35])] += c
+    want = [[i for i in range(len(s.split(" ")) - 34) if seen[tuple(s.split(" ")[i : i + 35])] > 1] for s in stretches]
+    assert substrings.located(stretches, counts) == want and any(want)
+
+
+def test_extra_columns_stay(documents):
+    passage = " ".join(f"p{i}" for i in range(40))
+    docs = documents([(1, f"a {passage}"), (2, f"b {passage}"), (3, "c")])
+    for k, name in enumerate(("row", "_row", "ranges", "_ranges", "a.b")):
+        docs = docs.withColumn(name, F.lit(k))
+    clean = substrings.without_repeats(docs)
+    assert clean.columns == docs.columns
+    assert {(r["doc_id"], r["text"].strip(), *tuple(r)[-5:]) for r in clean.collect()} == {(i, t, 0, 1, 2, 3, 4) for i, t in ((1, "a"), (2, "b"), (3, "c"))}
+
+
 def test_query_digest(spark, documents, tmp_path):
     pairs = corpus(1)
     documents(pairs).select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
