@@ -1,9 +1,10 @@
 """Exact top-k search by inner product: one KD-tree per shard, searched best box first.
 
-Vectors are dealt to shards of bounded size.  A shard's tree splits at medians and keeps
-the tight bounding box of every node.  A query visits nodes in the order of the best
-score their box allows and stops when no box can beat its kth score.  It searches its
-home shard first; the kth score found there travels with it to all other shards.
+Vectors are dealt to shards by region: the leaves of a small tree that splits a sample at its
+medians.  A shard's tree splits at medians and keeps the tight bounding box of every node.
+A query visits nodes in the order of the best score their box allows and stops when no box
+can beat its kth score.  It searches its home shard first; the kth score found there travels
+with it to those other shards whose box can beat it, and to no others.
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Batches, mapped
+from millrace.llm.common import Batches, mapped, usual_length
 from millrace.session import materialise
 
 SHARD_ROWS = 16_384
 LEAF_ROWS = 256
 QUERY_BLOCK = 256  # queries whose box bounds are computed together
+SAMPLE_ROWS = 16_384  # vectors that shape the regions; the result does not depend on them
+BOX_BYTES = 64_000_000  # of the boxes of all shards, which are sent to the tasks; beyond it shards get larger
 
 LOWEST = -(2**63)
 
@@ -180,6 +183,119 @@ def _in_shards(vectors: DataFrame, queries: DataFrame, shards: int, k: int, leaf
     return mapped(together, _visits(k, leaf_rows), "query_id long, vec_id long, score long")
 
 
+@dataclass(frozen=True)
+class Regions:
+    """A tree over all vectors: node n splits at ``value[n]`` of ``side[n]``; a leaf has side -1 and its region's number as value."""
+
+    side: list[int]
+    value: list[int]
+    child: list[int]
+
+    def of(self, rows: np.ndarray) -> np.ndarray:
+        """The region of every row."""
+        out = np.zeros(len(rows), np.int64)
+        waiting = [(0, np.arange(len(rows)))]
+        while waiting:
+            node, at = waiting.pop()
+            if self.side[node] < 0:
+                out[at] = self.value[node]
+                continue
+            low = rows[at, self.side[node]] <= self.value[node]
+            waiting += [(self.child[node], at[low]), (self.child[node] + 1, at[~low])]
+        return out
+
+
+def regions(sample: np.ndarray, number: int) -> Regions:
+    """Median splits of the largest part along its widest side, to about ``number`` regions."""
+    side, value, child = [-1], [0], [-1]
+    parts = [(-len(sample), 0, np.arange(len(sample)))]
+    leaves = 1
+    while leaves < number and parts:
+        _, node, at = heapq.heappop(parts)
+        own = sample[at]
+        spread = own.max(0) - own.min(0) if len(own) else np.zeros(0)
+        if not spread.any():
+            continue
+        best = int(np.argmax(spread))
+        ordered = np.sort(own[:, best])
+        cut = int(ordered[(len(ordered) - 1) // 2])
+        if cut == ordered[-1]:  # more than half are the largest: cut below them
+            cut = int(ordered[np.searchsorted(ordered, cut) - 1])
+        side[node], value[node], child[node] = best, cut, len(side)
+        for part in (at[own[:, best] <= cut], at[own[:, best] > cut]):
+            heapq.heappush(parts, (-len(part), len(side), part))
+            side.append(-1)
+            value.append(0)
+            child.append(-1)
+        leaves += 1
+    for number, node in enumerate(n for n in range(len(side)) if side[n] < 0):
+        value[node] = number
+    return Regions(side, value, child)
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _in_regions(rows: DataFrame, tree: Regions) -> DataFrame:
+    """``vec_id, v, region``."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            region = pa.array(tree.of(_matrix(batch.column("v"))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, region], ["vec_id", "v", "region"])
+
+    return mapped(rows.select("vec_id", "v"), run, "vec_id long, v array<long>, region long")
+
+
+def _boxes(dealt: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers, low and high corners of the shards: one row a shard and task is shuffled, one a shard reaches the driver."""
+
+    def least(batches: Batches) -> Batches:
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            shard = batch.column("shard").to_numpy()
+            low, high = _matrix(batch.column("low")), _matrix(batch.column("high"))
+            for s in np.unique(shard).tolist():
+                a, b = low[shard == s].min(0), high[shard == s].max(0)
+                if s in held:
+                    a, b = np.minimum(a, held[s][0]), np.maximum(b, held[s][1])
+                held[s] = a, b
+        if held:
+            corners = ([x[i].tolist() for x in held.values()] for i in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(held), pa.int32()), *(pa.array(c, pa.list_(pa.int64())) for c in corners)], ["shard", "low", "high"]
+            )
+
+    schema = "shard int, low array<long>, high array<long>"
+    parts = mapped(dealt.select("shard", F.col("v").alias("low"), F.col("v").alias("high")), least, schema)
+    found = mapped(parts.repartition("shard"), least, schema).collect()
+    return tuple(np.array([r[c] for r in found], np.int64) for c in ("shard", "low", "high"))
+
+
+def _worth(boxes: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Callable[[Batches], Batches]:
+    """Every query once for each other shard whose box allows its kth score or more."""
+    numbers, low, high = boxes
+
+    def run(batches: Batches) -> Batches:
+        step = max(1, (1 << 22) // len(numbers))
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                v = _matrix(part.column("v"))
+                ceiling = _product(np.maximum(v, 0), high.T) + _product(np.minimum(v, 0), low.T)
+                bound, home = (part.column(c).to_numpy()[:, None] for c in ("bound", "shard"))
+                query, shard = np.nonzero((ceiling >= bound) & (numbers[None, :] != home))
+                if len(query):
+                    rows = part.take(pa.array(query))
+                    columns = [rows.column(c) for c in ("vec_id", "v", "bound", "bound_id")]
+                    yield pa.RecordBatch.from_arrays(
+                        [*columns, pa.array(numbers[shard], pa.int32())], ["vec_id", "v", "bound", "bound_id", "shard"]
+                    )
+
+    return run
+
+
 def top_k(
     vectors: DataFrame,
     queries: DataFrame,
@@ -189,34 +305,50 @@ def top_k(
 ) -> DataFrame:
     """The k vectors with the highest inner product for each query: ``query_id, rank, vec_id, score``.
 
-    Both tables hold ``vec_id`` and an integer vector ``v`` of one width (see
-    ``quantised``); a query is not its own result.  Ties go to the smaller id; with fewer
-    than k others, all are returned.  Ids are unique; scores must fit 64 bits.  An empty
-    table gives an empty one.
+    Both tables hold ``vec_id`` and an integer vector ``v`` (see ``quantised``).  Vectors take part,
+    as queries and as candidates, if they have the length that most of ``vectors`` have (of
+    equally frequent ones the largest); empty ones never do.  A query is not its own
+    result, and neither are other rows of its id; queries of one id are ranked together.  Ties
+    go to the smaller id; with fewer than k others, all are returned.  Scores must fit
+    64 bits.  An empty table gives an empty one.
 
-    Every query reaches every shard once, in a stream; a shard holds about ``shard_rows``
-    vectors, so the vectors themselves are shuffled twice, however many queries there are.
+    A shard holds about ``shard_rows`` vectors of one region; a region that has more, such as the copies
+    of one vector, is split by a hash.  The vectors are shuffled twice, however many queries there are.
     """
     stored = materialise(vectors.select("vec_id", "v"), "vectors")
-    shards = max(1, -(-stored.count() // shard_rows))
-    home = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard")
-    dealt = stored.select("vec_id", "v", home)
-    asked = queries.select("vec_id", "v", home)
+    width = usual_length(stored, "v")
+    stored = stored.filter(F.size("v") == width)
+    rows = stored.count() if width else 0
+    if not rows:
+        return stored.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    shards = max(1, min(-(-rows // shard_rows), BOX_BYTES // (16 * width)))
+    shard_rows = -(-rows // shards)
+    sample = stored.orderBy(F.xxhash64("vec_id")).limit(SAMPLE_ROWS).select("v").collect() if shards > 1 else []
+    tree = regions(np.array([r["v"] for r in sample], np.int64).reshape(-1, width), shards)
+    placed = materialise(_in_regions(stored, tree), "regions")
+    sizes = dict(placed.groupBy("region").count().collect())
+    split = {r: -(-n // shard_rows) for r, n in sizes.items()}
+    first_of = dict(zip(sorted(split), np.cumsum([0, *(split[r] for r in sorted(split))]).tolist()))
+    shards = sum(split.values())
+    table = [(r, first_of[r], split[r]) for r in sorted(split)]
+    names = F.broadcast(stored.sparkSession.createDataFrame(table, "region long, first long, split long"))  # one row a region
+    shard = (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("split"))).cast("int").alias("shard")
+    dealt = materialise(placed.join(names, "region").select("vec_id", "v", shard), "dealt")
+    own = _in_regions(queries.filter(F.size("v") == width), tree).join(names, "region", "left").select("vec_id", "v", F.coalesce(shard, F.lit(0)).alias("shard"))
+    asked = materialise(own, "queries")
     none = [F.lit(LOWEST).alias("bound"), F.lit(2**63 - 1).alias("bound_id")]
     first = materialise(_in_shards(dealt, asked.select("*", *none), shards, k, leaf_rows), "home")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     kth = first.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") == k)
     known = kth.select(F.col("query_id").alias("vec_id"), F.col("score").alias("bound"), F.col("vec_id").alias("bound_id"))
-    others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("shard"))).alias("shard")
-    travelling = (
-        asked.join(known, "vec_id", "left")
-        .fillna({"bound": LOWEST, "bound_id": 2**63 - 1})
-        .select("vec_id", "v", "bound", "bound_id", others)
-    )
-    later = _in_shards(dealt, travelling, shards, k, leaf_rows)
+    bounded = asked.join(known, "vec_id", "left").fillna({"bound": LOWEST, "bound_id": 2**63 - 1})
+    schema = "vec_id long, v array<long>, bound long, bound_id long, shard int"
+    travelling = mapped(bounded.select("vec_id", "v", "bound", "bound_id", "shard"), _worth(_boxes(dealt)), schema)
+    found = first
+    if shards > 1:
+        found = first.unionByName(_in_shards(dealt, travelling, shards, k, leaf_rows))
     return (
-        first.unionByName(later)
-        .withColumn("rank", F.row_number().over(order).cast("int"))
+        found.withColumn("rank", F.row_number().over(order).cast("int"))
         .filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Batches, mapped
+from millrace.llm.common import Batches, mapped, usual_length
 from millrace.session import materialise
 
 SCALE = 1024
@@ -213,12 +213,6 @@ def weight_of(kind: str) -> Column:
     return F.count(F.lit(1)).alias("weight") if kind == "counts" else F.lit(1).cast("long").alias("weight")
 
 
-def usual_width(rows: DataFrame) -> int:
-    """The length that most vectors have, of equal ones the largest; 0 for an empty table."""
-    most = rows.groupBy(F.size("x").alias("width")).count().orderBy(F.desc("count"), F.desc("width")).first()
-    return most["width"] if most else 0
-
-
 def whiten(vectors: DataFrame, components: int = 8, weights: str = "counts", width: int | None = None) -> DataFrame:
     """One row for every vector and component: ``vec_id, component, n, deviation, whitened, explained, identity_error``.
 
@@ -236,7 +230,7 @@ def whiten(vectors: DataFrame, components: int = 8, weights: str = "counts", wid
     deviation of more than 38 digits is null.  An empty table gives an empty one.
     """
     rows = materialise(vectors.select("vec_id", "x"), "vectors")
-    width = usual_width(rows) if width is None else width
+    width = usual_length(rows, "x") if width is None else width
     rows = rows.filter(F.size("x") == width)
     distinct = materialise(rows.groupBy("x").agg(weight_of(weights)), "distinct")
     fitted = fit(distinct, width, components) if width else None

@@ -53,6 +53,45 @@ def test_fewer_than_k_and_unusable_vectors(spark):
     assert kdtree.top_k(whole.limit(0), whole.limit(0)).count() == 0
 
 
+def test_unequal_lengths(spark):
+    rows = [(0, [1, 2]), (50, [3, 1]), (1, [2, 2]), (2, []), (3, [9, 9, 9, 9]), (100, [7]), (150, [])]
+    vectors = spark.createDataFrame(rows, "vec_id long, v array<long>").repartition(3)
+    got = found(kdtree.top_k(vectors, vectors.filter("vec_id % 50 = 0"), 5))
+    assert got == {0: [(1, 6), (50, 5)], 50: [(1, 8), (0, 5)]}
+    assert kdtree.top_k(vectors.filter("vec_id = 2"), vectors, 5).count() == 0
+
+
+def test_queries_go_only_where_a_box_can_beat_them(spark, monkeypatch):
+    """Clusters far apart: the shards of the others are never visited."""
+    rng = np.random.default_rng(9)
+    centres = np.array([(a, b, 0) for a in (1000, -1000) for b in (1000, -1000)])
+    rows = np.concatenate([c + rng.integers(0, 5, (200, 3)) for c in centres])
+    vectors = spark.createDataFrame([(i, [int(x) for x in v]) for i, v in enumerate(rows)], "vec_id long, v array<long>")
+    visits = []
+    inner = kdtree._in_shards
+
+    def counted(dealt, queries, *rest):
+        visits.append(queries.count())
+        return inner(dealt, queries, *rest)
+
+    monkeypatch.setattr(kdtree, "_in_shards", counted)
+    got = found(kdtree.top_k(vectors, vectors.filter("vec_id % 20 = 0"), 5, shard_rows=200, leaf_rows=16))
+    assert got == brute(np.arange(800), rows, range(0, 800, 20), 5)
+    assert visits == [40, 0]  # 40 queries, and 3 other shards for each
+
+
+def test_regions_share_out_a_sample():
+    rng = np.random.default_rng(2)
+    sample = rng.normal(size=(4000, 5)).round(2)
+    tree = kdtree.regions((sample * 100).astype(np.int64), 13)
+    sizes = np.bincount(tree.of((sample * 100).astype(np.int64)))
+    assert len(sizes) == 13 and sizes.min() > 100 and sizes.max() < 700
+    skewed = np.array([[5, 1]] * 900 + [[i, 2] for i in range(5)], np.int64)
+    parts = np.bincount(kdtree.regions(skewed, 4).of(skewed))
+    assert len(parts) >= 3 and parts.max() <= 901
+    assert kdtree.regions(np.zeros((10, 3), np.int64), 4).of(np.ones((2, 3), np.int64)).tolist() == [0, 0]
+
+
 def test_boxes_are_tight_and_cover_their_rows():
     rng = np.random.default_rng(1)
     rows = rng.integers(-50, 50, (333, 4))
