@@ -38,10 +38,14 @@ WITH usable AS (
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), usual AS (
+  SELECT len(v) AS n FROM usable WHERE len(v) > 0 GROUP BY n ORDER BY count(*) DESC, n DESC LIMIT 1
+), equal AS (
+  SELECT vec_id, v FROM usable JOIN usual ON len(v) = n
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
-  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
+  FROM equal q JOIN equal c ON q.vec_id <> c.vec_id
   WHERE q.vec_id % 50 = 0
 ), numbered AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
@@ -184,7 +188,7 @@ def op10_url_filter(spark: SparkSession, base: str) -> DataFrame:
 
 OP10_SQL = r"""
 WITH parts AS (
-  SELECT page_id, url, ((page_id * 7919 * 3600) % 31536000 + 31536000) % 31536000 AS fetched,
+  SELECT page_id, url, (((page_id % 31536000) * 7919 * 3600) % 31536000 + 31536000) % 31536000 AS fetched,
          nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '\.+$', ''), '') AS host,
          nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1), '') AS segment
   FROM pages
@@ -202,7 +206,7 @@ WITH parts AS (
   VALUES ('host', 4, 0, 'block', 0), ('host', 8, 0, 'clear', 30), ('host', 16, 0, 'block', 90),
          ('host', 7, 1, 'allow', 10), ('parent', 5, 0, 'block', 0), ('prefix', 9, 0, 'block', 0)
 ), dated AS (
-  SELECT lower(pattern) AS pattern, (number % 300 + later) * 86400 AS listed,
+  SELECT pattern, (number % 300 + later) * 86400 AS listed,
          max(list_position(['clear', 'allow', 'block'], verdict)) AS strength
   FROM numbered JOIN rules USING (kind) WHERE number % part = remainder
   GROUP BY 1, 2

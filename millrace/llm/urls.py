@@ -104,8 +104,9 @@ def _number(text: Column) -> Column:
 
 
 def with_fetch_time(pages: DataFrame) -> DataFrame:
-    """``page_id, url, fetched``: seconds within one year, spread over the pages by their ids."""
-    return pages.select("page_id", "url", F.pmod(F.col("page_id") * 7919 * 3600, F.lit(365 * DAY)).alias("fetched"))
+    """``page_id, url, fetched``: seconds within one year, spread over the pages by their ids, of any size."""
+    year = F.lit(365 * DAY)
+    return pages.select("page_id", "url", F.pmod(F.pmod("page_id", year) * (7919 * 3600), year).alias("fetched"))
 
 
 def derived_entries(pages: DataFrame) -> DataFrame:

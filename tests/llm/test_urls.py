@@ -70,6 +70,13 @@ def test_empty_tables(spark):
     assert got(spark, [(1, "http://a.com", 1)], []) == Counter({(1, "http://a.com", 1, None, None, None, False): 1})
 
 
+def test_fetch_times_of_very_large_ids(spark):
+    ids = [0, 7, 3 * 10**11, 2**63 - 1, -(2**63), -5, None]
+    pages = spark.createDataFrame([(i, "u", 1) for i in ids], "page_id long, url string, fetched int")
+    got = {r["page_id"]: r["fetched"] for r in urls.with_fetch_time(pages).collect()}
+    assert got == {i: None if i is None else i * 7919 * 3600 % 31536000 for i in ids}
+
+
 def test_case_counts_in_paths_and_not_in_hosts(spark):
     captures = [(1, "http://Host.com/Products/a", 5), (2, "http://host.com/products/a", 5)]
     entries = [("HOST.com/Products", "block", 1)]
