@@ -10,13 +10,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors as V
+from millrace.session import materialise
 
 # Entries of a matrix that is sent to every task: 32 MB of doubles.
 MOST_CELLS = 4_000_000
+# Rows and columns of a tile, rows of tiles that share copies of the right matrix, products a task holds.
+TILE, BAND_TILES, HELD_TILES = 512, 64, 16
 # Tasks in which the partial sums of all tasks are folded before they meet.
 FOLDS = 16
 
@@ -81,6 +85,87 @@ def multiply(left: DataFrame, right: DataFrame, salts: int = 64) -> DataFrame:
     return pairs.groupBy("i", "j").agg(F.sum(F.col("_a") * F.col("_b")).alias("v"))
 
 
+def _tiles(entries: DataFrame, tile: int, row: str, column: str) -> DataFrame:
+    """``row, column`` (numbers of tiles) and ``cells``, one row a tile that stores entries; repeated entries are added up."""
+    number = lambda c: F.floor(F.col(c) / tile).cast("long")
+    inside = lambda c: F.pmod(F.col(c), F.lit(tile)).cast("int")
+    cells = entries.filter(F.col("v").isNotNull()).select(
+        number("i").alias(row), number("j").alias(column), inside("i").alias("r"), inside("j").alias("c"), "v"
+    )
+    once = cells.repartition(row, column).groupBy(row, column, "r", "c").agg(F.sum("v").alias("v"))
+    return once.groupBy(row, column).agg(F.collect_list(F.struct("r", "c", F.col("v").cast("double").alias("v"))).alias("cells"))
+
+
+class _Product:
+    """The product of tiles, and which of its places have a term."""
+
+    def __init__(self, tile: int) -> None:
+        self.value, self.terms = np.zeros((tile, tile)), np.zeros((tile, tile), np.float32)
+
+    def add(self, left: pa.StructArray, right: tuple[np.ndarray, np.ndarray]) -> None:
+        """Few entries on the left are taken one by one, many as a matrix."""
+        r, c, v = (left.field(n).to_numpy() for n in range(3))
+        value, stored = right
+        if len(r) < len(value) // 4:
+            np.add.at(self.value, r, v[:, None] * value[c])
+            np.add.at(self.terms, r, stored[c])
+            return
+        a, mask = np.zeros_like(value), np.zeros_like(stored)
+        a[r, c], mask[r, c] = v, 1
+        self.value += a @ value
+        self.terms += mask @ stored
+
+    def entries(self, row: int, column: int) -> pa.RecordBatch:
+        tile = len(self.value)
+        r, c = np.nonzero(self.terms)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(row * tile + r), pa.array(column * tile + c), pa.array(self.value[r, c])], ["i", "j", "v"]
+        )
+
+
+def multiply_tiles(left: DataFrame, right: DataFrame, tile: int = TILE) -> DataFrame:
+    """Product of two long-form matrices of any size, by square tiles multiplied in numpy.
+
+    Each entry is shuffled once, in its tile; tiles that share an inner number meet in a join, and
+    only sums of products leave a task, where one row per product term would
+    otherwise be shuffled.  Row bands of the left matrix above ``BAND_TILES`` tiles are apart, each
+    with its copy of the right tiles, so a narrow inner side does not bind all rows
+    to one task.  Entries not stored are 0, repeated ones are added up, null ones left out; the
+    result holds the places that have a term.  Numbers of rows and columns may be negative.
+    """
+    a = materialise(_tiles(left, tile, "bi", "bk"), "left-tiles").withColumnRenamed("cells", "a")
+    b = materialise(_tiles(right, tile, "bk", "bj"), "right-tiles").withColumnRenamed("cells", "b")
+    low, high = a.agg(F.min("bi"), F.max("bi")).first()
+    bands = 1 if low is None else -(-(high - low + 1) // BAND_TILES)
+    band = F.pmod(F.col("bi"), F.lit(bands)).alias("band")
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bands - 1).cast("long"))).alias("band")
+    pairs = a.select("*", band).join(b.select("*", copies), ["bk", "band"]).select("bi", "bj", "bk", "a", "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], _Product] = {}
+        known, matrix = None, None
+        for batch in batches:
+            bi, bj, bk = (batch.column(n).to_pylist() for n in ("bi", "bj", "bk"))
+            for n, place in enumerate(zip(bi, bj)):
+                if known != (bk[n], bj[n]):
+                    r, c, v = (batch.column("b")[n].values.field(x).to_numpy() for x in range(3))
+                    matrix = np.zeros((tile, tile)), np.zeros((tile, tile), np.float32)
+                    matrix[0][r, c], matrix[1][r, c] = v, 1
+                    known = bk[n], bj[n]
+                if place not in held:
+                    if len(held) == HELD_TILES:
+                        for key, product in held.items():
+                            yield product.entries(*key)
+                        held = {}
+                    held[place] = _Product(tile)
+                held[place].add(batch.column("a")[n].values, matrix)
+        for key, product in held.items():
+            yield product.entries(*key)
+
+    terms = pairs.mapInArrow(run, "i long, j long, v double")
+    return terms.groupBy("i", "j").agg(F.sum("v").alias("v"))
+
+
 def multiply_rows(
     df: DataFrame, vector: str, right: DataFrame, into: str, shape: tuple[int, int]
 ) -> DataFrame:
@@ -89,17 +174,27 @@ def multiply_rows(
     Entries that are not stored are 0, repeated ones are added up.  A missing vector has
     no product; one whose length is not the matrix's height, and an entry outside the
     shape, are errors.  The matrix goes to every task, so it may have ``MOST_CELLS``
-    cells; for a larger one use :func:`multiply`.
+    cells; for a larger one use :func:`multiply_tiles`.
     """
     height, width = shape
     if height * width > MOST_CELLS:
-        raise ValueError(f"a matrix of {height} x {width} is too large to send to every task; use multiply")
-    entries = right.groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
+        raise ValueError(f"a matrix of {height} x {width} is too large to send to every task; use multiply_tiles")
+    inside = F.col("i").between(0, height - 1) & F.col("j").between(0, width - 1)
+    # One row a matrix row, and one more for an entry outside: no more than the shape holds reaches the driver.
+    rows = (
+        right.groupBy("i", "j")
+        .agg(F.sum("v").alias("v"))
+        .select(F.when(inside, F.col("i")).alias("i"), F.when(inside, F.col("j")).alias("j"), F.when(inside, F.col("v")).alias("v"), F.when(~inside, F.struct("i", "j")).alias("out"))
+        .groupBy("i")
+        .agg(F.min("out").alias("out"), F.collect_list(F.when(F.col("out").isNull(), F.struct("j", "v"))).alias("cells"))
+        .collect()
+    )
     matrix = np.zeros(shape)
-    for e in entries:
-        if not (0 <= e["i"] < height and 0 <= e["j"] < width):
-            raise ValueError(f"entry ({e['i']}, {e['j']}) lies outside {height} x {width}")
-        matrix[e["i"], e["j"]] = e["v"]
+    for e in rows:
+        if e["out"] is not None:
+            raise ValueError(f"entry ({e['out']['i']}, {e['out']['j']}) lies outside {height} x {width}")
+        for j, v in e["cells"]:
+            matrix[e["i"], j] = v
 
     @F.pandas_udf("array<double>")
     def product(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

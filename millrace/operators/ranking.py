@@ -83,3 +83,25 @@ def global_running_sum(
     return cut.join(before, "_range").withColumns(
         {out: F.col(f"_before_{n}") + F.sum(n).over(upto) for n, out in sums.items()}
     ).drop("_range", "_place", *totals)
+
+
+def rank_within(
+    df: DataFrame, group: str, order: Sequence[str], into: str = "rank", ranges: int | None = None
+) -> DataFrame:
+    """Number the rows of each group from 1 in ascending order, however many a group has.
+
+    All rows are sorted by group and order into ranges, so a group with a third of them takes up
+    several; its rank is the place in the range less where the group starts there, plus
+    its rows in earlier ranges.  Rows equal in ``order`` follow a hash of the row.
+    """
+    cut = sorted_ranges(df, [group, *order], ranges)
+    # One row per group and range that holds it: a group has no more of them than there are ranges.
+    parts = cut.groupBy(group, "_range").agg(F.count("*").alias("_n"), F.min("_place").alias("_start"))
+    earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select(
+        F.col(group).alias("_group"), F.col("_range").alias("_part"), (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_start")).alias("_shift")
+    )
+    same = cut[group].eqNullSafe(before["_group"]) & (cut["_range"] == before["_part"])
+    return cut.join(before, same).select(
+        *(cut[f"`{c}`"] for c in df.columns if c != into), (F.col("_place") + F.col("_shift") + 1).cast("int").alias(into)
+    )

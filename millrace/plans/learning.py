@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors as V
 from millrace.ml import classify, cluster, features, metrics, recommend, reduce, regress
 from millrace.operators import joins as J
+from millrace.operators import ranking
 from millrace.operators import sampling as X
 from millrace.operators.topn import top_n_per_group
 from millrace.plans import inputs as I
@@ -322,8 +322,7 @@ def avg_precision_at_k(spark, base):
 )
 def ranking_map(spark, base):
     viewed, bought = _rankings(spark, base)
-    order = Window.partitionBy("user_id").orderBy(F.desc("n"), F.asc("product"))
-    ranked = materialise(viewed.withColumn("rank", F.row_number().over(order)), "ranking")
+    ranked = materialise(ranking.rank_within(viewed.withColumn("least", -F.col("n")), "user_id", ["least", "product"]).drop("least"), "ranking")
     found = metrics.mean_average_precision(ranked, bought, "user_id", "product")
     return found.withColumn("map", F.round("map", 6))
 

@@ -321,13 +321,15 @@ def mat_multiply_long(spark, base):
     return M.multiply(sums, M.transpose(sums)).withColumn("v", F.round("v", 5))
 
 
+# Both halves of every row side by side: one pass, where a join of the halves' entries may be planned as a product.
+HALVES_SQL = """(SELECT vec_id AS i, CAST(p - 1 AS BIGINT) AS j, CAST(embedding[p] AS DOUBLE) AS a,
+        CAST(embedding[p + 32] AS DOUBLE) AS b FROM (SELECT vec_id, embedding, unnest(range(1, 33)) AS p FROM embeddings)) halves"""
+
+
 @query(
     "m06_mat_elementwise",
-    I.with_tables("entries") + PAIR_SQL
-    + """SELECT lft.i, lft.j, round(lft.v + rgt.v, 8) AS plus,
-         CASE WHEN lft.i BETWEEN 1 AND 2 AND lft.j BETWEEN 1 AND 2 THEN 5.0
-              ELSE round(lft.v * rgt.v, 8) END AS patched
-         FROM lft JOIN rgt ON lft.i = rgt.i AND lft.j = rgt.j""",
+    f"""SELECT i, j, round(a + b, 8) AS plus,
+        CASE WHEN i BETWEEN 1 AND 2 AND j BETWEEN 1 AND 2 THEN 5.0 ELSE round(a * b, 8) END AS patched FROM {HALVES_SQL}""",
 )
 def mat_elementwise(spark, base):
     left, right = _pair(spark, base)
@@ -356,13 +358,28 @@ def mat_multiply_sparse(spark, base):
     return _long(product, x=F.col("x")).withColumn("x", F.round("x", 6) + 0.0)
 
 
+LINES_SQL = """a AS (SELECT l_orderkey AS i, l_partkey AS k, sum(l_quantity) AS v FROM lineitem GROUP BY ALL),
+        b AS (SELECT l_partkey AS k, l_suppkey AS j, CAST(count(*) AS DOUBLE) AS v FROM lineitem GROUP BY ALL)"""
+
+
+@query(
+    "m05_mat_multiply_tiles",
+    f"""WITH {LINES_SQL}, product AS (SELECT i, j, sum(a.v * b.v) AS v FROM a JOIN b USING (k) GROUP BY i, j)
+        SELECT j, count(*) AS n, CAST(sum(v) AS DOUBLE) AS total, CAST(max(v) AS DOUBLE) AS largest FROM product GROUP BY j""",
+)
+def mat_multiply_tiles(spark, base):
+    """Orders by parts times parts by suppliers: neither matrix, nor their product, is small."""
+    lines = read_table(spark, base, "lineitem")
+    ordered = lines.select(F.col("l_orderkey").alias("i"), F.col("l_partkey").alias("j"), F.col("l_quantity").cast("double").alias("v"))
+    supplied = lines.select(F.col("l_partkey").alias("i"), F.col("l_suppkey").alias("j"), F.lit(1.0).alias("v"))
+    product = M.multiply_tiles(ordered, supplied)
+    return product.groupBy("j").agg(F.count("*").alias("n"), F.sum("v").alias("total"), F.max("v").alias("largest"))
+
+
 @query(
     "m06_mat_elementwise_sparse",
-    I.with_tables("entries") + PAIR_SQL
-    + """SELECT coalesce(l.i, r.i) AS i, coalesce(l.j, r.j) AS j,
-         round(coalesce(l.v, 0) + coalesce(r.v, 0), 8) AS plus, round(coalesce(l.v, 0) - coalesce(r.v, 0), 8) AS minus
-         FROM (SELECT * FROM lft WHERE i >= j) l FULL JOIN (SELECT * FROM rgt WHERE i <= j) r
-         ON l.i = r.i AND l.j = r.j""",
+    f"""SELECT i, j, round(l + r, 8) AS plus, round(l - r, 8) AS minus FROM
+        (SELECT i, j, CASE WHEN i >= j THEN a ELSE 0 END AS l, CASE WHEN i <= j THEN b ELSE 0 END AS r FROM {HALVES_SQL})""",
 )
 def mat_elementwise_sparse(spark, base):
     """A lower and an upper triangle: most places are stored on one side only."""

@@ -2,12 +2,14 @@
 
 import math
 
+import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from millrace.functions import matrices
 from millrace.functions import udfs as U
 from millrace.ml import metrics
 from millrace.operators import aggregates as A
@@ -193,3 +195,34 @@ def test_scratch_space_must_be_named_on_a_cluster():
 
 def test_materialised_table_is_equal(spark, skewed, collected):
     assert collected(materialise(skewed, "m")) == collected(skewed)
+
+
+def test_ranks_of_a_group_with_a_third_of_all_rows(spark, collected):
+    group = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 50)
+    df = spark.range(3000).select(group.alias("g"), ((F.col("id") * 37) % 501).alias("x"), F.col("id"))
+    cut = ranking.sorted_ranges(df, ["g", "x", "id"], 12)
+    assert cut.filter("g = 7").select("_range").distinct().count() >= 4
+    got = ranking.rank_within(df, "g", ["x", "id"], ranges=12)
+    expected = spark.sql("SELECT g, x, id, row_number() OVER (PARTITION BY g ORDER BY x, id) AS rank FROM {df}", df=df)
+    assert collected(got) == collected(expected)
+    assert ranking.rank_within(df.limit(0), "g", ["x"]).count() == 0
+
+
+@pytest.mark.parametrize("tile, band", [(4, 1), (4, 64), (64, 2)])
+def test_product_of_tiles(spark, monkeypatch, tile, band):
+    monkeypatch.setattr(matrices, "BAND_TILES", band)
+    monkeypatch.setattr(matrices, "HELD_TILES", 2)
+    rng = np.random.default_rng(tile)
+    a, b = np.zeros((41, 17)), np.zeros((17, 23))
+    left, right = [], []
+    for m, rows, n in ((a, left, 300), (b, right, 90)):
+        for _ in range(n):  # places may repeat
+            i, j, v = int(rng.integers(m.shape[0])), int(rng.integers(m.shape[1])), int(rng.integers(-4, 5))
+            m[i, j] += v
+            rows.append((i - 9 if m is a else i, j, float(v)))
+    left.append((5, 3, None))
+    frame = lambda rows: spark.createDataFrame(rows, "i long, j long, v double").repartition(3)
+    got = {(r.i, r.j): r.v for r in matrices.multiply_tiles(frame(left), frame(right), tile).collect()}
+    stored = {(i, j) for i, k, v in left for n, j, _ in right if k == n and v is not None}
+    assert set(got) == stored and all(got[(i, j)] == (a @ b)[i + 9, j] for i, j in stored)
+    assert matrices.multiply_tiles(frame(left).limit(0), frame(right), tile).count() == 0
