@@ -18,6 +18,7 @@ from millrace.functions import vectors as V
 from millrace.functions.folding import stacked
 from millrace.ml import shards
 from millrace.ml.parallel import run_all
+from millrace.operators.sampling import hash_share
 from millrace.operators.topn import top_n_per_group
 from millrace.session import materialise
 
@@ -144,6 +145,51 @@ def kmeans_one_step(df: DataFrame, vector: str, centres: DataFrame) -> DataFrame
     )
 
 
+def kmeans_start(df: DataFrame, row_id: str, vector: str, k: int, seed: int = 42) -> DataFrame:
+    """Starting centres ``(cluster, row_id, centre)`` drawn one after the other, far rows more likely.
+
+    The draw of k-means++ as a race: a row at squared distance d from the nearest centre so far
+    runs for -ln(u) / d, and the first one home is the next centre, which happens with
+    probability d over the sum of all d.  u follows from a hash of the row's id, the seed
+    and the number of the draw, so the centres do not depend on the layout of the
+    data.  One row a draw reaches the driver.  Rows without id or vector take no part; with
+    fewer than k different vectors there are fewer centres.
+    """
+    rows = df.filter(F.col(row_id).isNotNull() & F.col(vector).isNotNull()).select(F.col(row_id), V.dense(F.col(vector)).alias("centre"))
+    drawn: list = []
+    for draw in range(k):
+        run = -F.log(1 - hash_share([row_id], seed + draw))  # u in (0, 1]
+        if drawn:
+            gaps = [V.squared_distance(F.col("centre"), F.array(*map(F.lit, d["centre"]))) for d in drawn]
+            gap = gaps[0] if len(gaps) == 1 else F.least(*gaps)
+            raced = rows.withColumn("_gap", gap).filter(F.col("_gap") > 0).withColumn("_time", run / F.col("_gap"))
+        else:
+            raced = rows.withColumn("_time", run)
+        first = raced.agg(F.min_by(F.struct(row_id, "centre"), F.struct("_time", row_id)).alias("first")).first()["first"]
+        if first is None:
+            break
+        drawn.append(first)
+    kind = df.schema[row_id].dataType.simpleString()
+    found = [(n, d[row_id], [float(x) for x in d["centre"]]) for n, d in enumerate(drawn)]
+    return df.sparkSession.createDataFrame(found, f"cluster int, {row_id} {kind}, centre array<double>")
+
+
+def kmeans_steps(df: DataFrame, vector: str, centres: DataFrame, steps: int) -> DataFrame:
+    """``steps`` times nearest centre and mean, from the given centres: ``(cluster, n, centre)``.
+
+    The centres are written after each step.  One that no row is nearest to stays where it is, with n = 0.
+    """
+    rows = materialise(df.select(V.dense(F.col(vector)).alias("_v")), "vectors")
+    centres = centres.select("cluster", F.lit(0).cast("long").alias("n"), "centre")
+    for _ in range(steps):
+        moved = kmeans_one_step(rows, "_v", centres).filter("cluster is not null")
+        both = centres.select("cluster", F.col("centre").alias("_old")).join(moved, "cluster", "left")
+        centres = materialise(
+            both.select("cluster", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("centre", "_old").alias("centre")), "centres"
+        )
+    return centres
+
+
 def distance_to_centre(df: DataFrame, cluster: str, vector: str) -> DataFrame:
     """Add each row's squared distance to the mean of its cluster."""
     # Written once, so that the optimiser knows the size and may ship the centres.

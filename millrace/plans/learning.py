@@ -366,6 +366,53 @@ def kmeans_one_step(spark, base):
     )
 
 
+CENTRES, SEED = 5, 42
+
+
+def _race_sql():
+    """The starting centres ``start`` (cluster, vec_id, e): one race after the other over all rows ``v``."""
+    share = "('0x' || substr(md5(vec_id || '|{}'), 1, 8))::BIGINT / 4294967296.0"
+    parts = [
+        "v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)",
+        f"p0 AS (SELECT vec_id, e FROM v ORDER BY -ln(1 - {share.format(SEED)}), vec_id LIMIT 1)",
+        "g1 AS (SELECT v.vec_id, v.e, pow(list_distance(v.e, p0.e), 2) AS d FROM v, p0)",
+    ]
+    for n in range(1, CENTRES):
+        parts.append(f"p{n} AS (SELECT vec_id, e FROM g{n} WHERE d > 0 ORDER BY -ln(1 - {share.format(SEED + n)}) / d, vec_id LIMIT 1)")
+        parts.append(f"g{n + 1} AS (SELECT g.vec_id, g.e, least(g.d, pow(list_distance(g.e, p{n}.e), 2)) AS d FROM g{n} g, p{n})")
+    parts.append("start AS (" + " UNION ALL ".join(f"SELECT {n} AS cluster, vec_id, e FROM p{n}" for n in range(CENTRES)) + ")")
+    return "WITH " + ", ".join(parts)
+
+
+def _lloyd_sql(old, new):
+    """One step from the centres ``old``: ``new`` (cluster, n, e)."""
+    return f"""{new}_near AS (SELECT v.vec_id, v.e, arg_min(c.cluster, list_distance(v.e, c.e)) AS cluster FROM v, {old} c GROUP BY v.vec_id, v.e),
+        {new} AS (SELECT cluster, any_value(n) AS n, list(x ORDER BY pos) AS e FROM
+             (SELECT cluster, pos, count(*) AS n, avg(x) AS x FROM
+                  (SELECT cluster, unnest(e) AS x, unnest(range(len(e))) AS pos FROM {new}_near) GROUP BY cluster, pos)
+             GROUP BY cluster)"""
+
+
+def _start(spark, base):
+    return cluster.kmeans_start(I.vec(spark, base), "vec_id", "v", CENTRES, SEED)
+
+
+@query("l23_kmeans_race_start", _race_sql() + " SELECT cluster, vec_id FROM start")
+def kmeans_race_start(spark, base):
+    return _start(spark, base).select("cluster", "vec_id")
+
+
+@query(
+    "l22_kmeans_two_steps",
+    f"{_race_sql()}, {_lloyd_sql('start', 'first')}, {_lloyd_sql('first', 'second')}"
+    " SELECT cluster, n, CAST(pos AS INTEGER) AS pos, round(x, 6) AS x FROM"
+    " (SELECT cluster, n, unnest(e) AS x, unnest(range(len(e))) AS pos FROM second)",
+)
+def kmeans_two_steps(spark, base):
+    centres = cluster.kmeans_steps(I.vec(spark, base), "v", _start(spark, base), 2)
+    return centres.select("cluster", "n", F.posexplode("centre").alias("pos", "x")).withColumn("x", F.round("x", 6))
+
+
 CENTRE_DISTANCE_SQL = """, centre AS (SELECT label, j, avg(v) AS c
       FROM entries JOIN embeddings ON vec_id = i GROUP BY label, j),
     dist AS (SELECT e.i AS vec_id, m.label, sum((e.v - c.c) * (e.v - c.c)) AS d

@@ -105,6 +105,41 @@ def test_kmeans_step_matches_brute_force(points, monkeypatch):
             np.testing.assert_allclose(step[k].centre, x[nearest == k].mean(0))
 
 
+def test_start_is_a_race_and_steps_follow_lloyd(spark, points):
+    import hashlib
+
+    x = {p[0]: np.array(p[2], float) for p in POINTS}
+    drawn = []
+    for draw in range(4):
+        times = {}
+        for i, v in x.items():
+            u = 1 - int(hashlib.md5(f"{i}|{9 + draw}".encode()).hexdigest()[:8], 16) / 2**32
+            gap = min((((v - x[d]) ** 2).sum() for d in drawn), default=1.0)
+            if gap > 0:
+                times[i] = (-math.log(u) / gap, i)
+        drawn.append(min(times, key=times.get))
+    start = cluster.kmeans_start(points, "id", "x", 4, seed=9)
+    assert [r.id for r in start.orderBy("cluster").collect()] == drawn
+    centres = np.array([x[d] for d in drawn])
+    all_x = np.array(list(x.values()))
+    for _ in range(3):
+        near = ((all_x[:, None] - centres) ** 2).sum(2).argmin(1)
+        centres = np.array([all_x[near == c].mean(0) if (near == c).any() else centres[c] for c in range(4)])
+    got = cluster.kmeans_steps(points, "x", start, 3).orderBy("cluster").collect()
+    np.testing.assert_allclose([r.centre for r in got], centres)
+    assert [r.n for r in got] == [(near == c).sum() for c in range(4)]
+
+
+def test_start_with_few_different_vectors(spark):
+    rows = spark.createDataFrame([(i, [float(i % 2), 0.0]) for i in range(9)] + [(20, None), (None, [5.0, 5.0])], "id int, x array<double>")
+    start = cluster.kmeans_start(rows, "id", "x", 5)
+    assert sorted(r.centre for r in start.collect()) == [[0.0, 0.0], [1.0, 0.0]]
+    far = spark.createDataFrame([(0, [0.0, 0.0]), (1, [99.0, 0.0])], "cluster int, centre array<double>")
+    steps = cluster.kmeans_steps(rows.filter("id < 9"), "x", far, 2).orderBy("cluster").collect()
+    assert [(r.cluster, r.n) for r in steps] == [(0, 9), (1, 0)] and steps[1].centre == [99.0, 0.0]
+    assert cluster.kmeans_start(rows.limit(0), "id", "x", 3).count() == 0
+
+
 def test_missing_vectors(spark, collected, monkeypatch):
     rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 2.0])], "id int, x array<double>")
     centres = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0])], "cluster string, centre array<double>")
