@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from millrace.functions import matrices as M
 from millrace.functions import vectors as V
-from millrace.ml import classify, cluster, features, metrics, recommend, reduce, regress
+from millrace.ml import certificates, classify, cluster, features, metrics, recommend, reduce, regress
 from millrace.operators import joins as J
 from millrace.operators import ranking
 from millrace.operators import sampling as X
@@ -103,6 +104,14 @@ def logistic_regression_fit(spark, base):
     return _accuracy(classify.fit_and_score(classify.logistic_regression(10), _labelled(spark, base)))
 
 
+@query("l04_logistic_gradient", "SELECT CAST(p AS INTEGER) AS pos, 0.0::DOUBLE AS gradient FROM range(-1, 64) r(p)")
+def logistic_gradient(spark, base):
+    """At the fit the penalised loss is flat in every direction."""
+    rows = _labelled(spark, base)
+    plain = classify.logistic_regression(300, 0.01).setTol(1e-12).setStandardization(False)
+    return certificates.logistic_gradient(plain.fit(rows), rows).withColumn("gradient", F.round("gradient", 5) + 0.0)
+
+
 @query("l05_linear_svm_fit")
 def linear_svm_fit(spark, base):
     return _accuracy(classify.fit_and_score(classify.linear_svm(10, 0.1), _labelled(spark, base)))
@@ -139,6 +148,14 @@ def decision_tree_fit(spark, base):
     return _accuracy(classify.fit_and_score(classify.decision_tree(5), _labelled(spark, base)))
 
 
+@query("l07_leaf_majorities", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS outvoted FROM embeddings")
+def leaf_majorities(spark, base):
+    """The leaves share out all rows, and each gives the label that most of its rows have."""
+    rows = _labelled(spark, base)
+    leaves = certificates.leaf_majorities(classify.decision_tree(5).fit(rows), rows)
+    return leaves.agg(F.sum("n").alias("n"), F.max("outvoted").alias("outvoted"))
+
+
 @query(
     "l08_classification_accuracy",
     GRADED_SQL + "SELECT round(avg(CASE WHEN guess = label THEN 1 ELSE 0 END), 6) AS accuracy, "
@@ -269,6 +286,33 @@ def als_predict_pairs(spark, base):
     return metrics.regression_eval(recommend.predict_pairs(model, ratings), "prediction", "rating")
 
 
+@query(
+    "l17_recommendations_hold",
+    I.with_tables("rating")
+    + """, u AS (SELECT count(DISTINCT user_no) AS n FROM rating), i AS (SELECT least(count(DISTINCT item), 10) AS n FROM rating)
+         SELECT CAST(u.n * i.n AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_wrong, CAST(0 AS BIGINT) AS unordered FROM u, i""",
+)
+def recommendations_hold(spark, base):
+    """Ten items a user, each scored by its factors, never better than the one before."""
+    model = recommend.als_fit(I.rating(spark, base))
+    found = materialise(recommend.recommend_for_all(model, 10), "recommended")
+    products = certificates.wrong_products(model, found, "score")
+    pairs = found.select("user_no", "rank", "score").alias("a").join(
+        found.select("user_no", (F.col("rank") - 1).alias("rank"), F.col("score").alias("after")).alias("b"), ["user_no", "rank"]
+    )
+    return products.crossJoin(F.broadcast(pairs.agg(F.count_if(F.col("after") > F.col("score")).alias("unordered"))))
+
+
+@query(
+    "l18_als_products",
+    I.with_tables("rating") + "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_wrong FROM rating",
+)
+def als_products(spark, base):
+    ratings = I.rating(spark, base)
+    model = recommend.als_fit(ratings)
+    return certificates.wrong_products(model, recommend.predict_pairs(model, ratings), "prediction")
+
+
 @query("l19_similar_items")
 def similar_items(spark, base):
     model = recommend.als_fit(I.rating(spark, base))
@@ -462,6 +506,31 @@ def pca_fit_project(spark, base):
     )
 
 
+@query(
+    "l27_pca_axes",
+    I.with_tables("entries")
+    + """, centred AS (SELECT i, v - avg(v) OVER (PARTITION BY j) AS v FROM entries)
+         SELECT 'length' AS kind, i AS a, CAST(0 AS BIGINT) AS b, round(sum(v * v), 5) AS x FROM centred GROUP BY i
+         UNION ALL SELECT 'covariance', p, q, 0.0 FROM range(64) a(p), range(64) b(q) WHERE p < q""",
+)
+def pca_axes(spark, base):
+    """On all axes centred rows keep their lengths, and the coordinates are not correlated."""
+    centred = features.standard_scale(I.vec(spark, base), "v", "z", with_std=False).select(
+        "vec_id", array_to_vector("z").alias("features")
+    )
+    found = materialise(
+        reduce.pca_project(reduce.pca_fit(centred, 64), centred).select("vec_id", vector_to_array("projected").alias("y")), "projected"
+    )
+    lengths = found.select(
+        F.lit("length").alias("kind"), F.col("vec_id").alias("a"), F.lit(0).cast("long").alias("b"),
+        F.round(F.aggregate("y", F.lit(0.0), lambda s, v: s + v * v), 5).alias("x"),
+    )
+    products = M.gram(found, "y").filter("i < j").select(
+        F.lit("covariance").alias("kind"), F.col("i").alias("a"), F.col("j").alias("b"), F.round("v", 5) + 0.0
+    )
+    return lengths.union(products)
+
+
 @query("l28_svd_topk")
 def svd_topk(spark, base):
     rows = features.standard_scale(I.vec(spark, base), "v", "z", with_std=False)
