@@ -234,7 +234,10 @@ def in_components(stored: DataFrame, least: DataFrame, links: DataFrame) -> Data
 
 
 def one_of_each(docs: DataFrame, shingle_words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without near-duplicates: of each component the one with the smallest id stays.
+    """The documents without near-duplicates by fingerprint: of each component the one with the smallest id stays.
+
+    For corpora whose copies differ in a few words of thousands; the pipeline's stage, which must find
+    copies at a similarity of 0.8, is ``shingles.one_of_each``.
 
     All columns stay.  Rows with one id stand and fall together, but of rows equal in id
     and text one is kept; rows without an id stay if no row of their component has one.
