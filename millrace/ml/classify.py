@@ -119,9 +119,13 @@ def default_sweep() -> list[tuple[str, float, Estimator]]:
     ]
 
 
+# The strengths that a held-out part chooses from.
+HOLDOUT_STRENGTHS = (0.0, 0.001, 0.0025, 0.005, 0.01)
+
+
 def holdout_validation(
     df: DataFrame,
-    regs: Sequence[float] = (0.0, 0.001, 0.0025, 0.005, 0.01),
+    regs: Sequence[float] = HOLDOUT_STRENGTHS,
     train_ratio: float = 0.6,
     seed: int = 123,
     parallelism: int = 4,
