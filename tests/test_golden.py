@@ -125,10 +125,10 @@ def test_except_union_intersect_make_up_distinct(spark, collected):
 
 
 def test_filters(spark, collected):
-    people = spark.createDataFrame([(None, "Michael"), (30, "Andy"), (19, "Justin")], "age long, name string")
-    assert collected(P.filter_between(people, "age", 13, 19)) == [(19, "Justin")]
-    assert [r.name for r in P.filter_null(people, "age").collect()] == ["Michael"]
-    assert [r.name for r in P.filter_null(people, "age", is_null=False, name="Andy").collect()] == ["Andy"]
+    people = spark.createDataFrame([(None, "Orla"), (44, "Pavel"), (17, "Quim")], "age long, name string")
+    assert collected(P.filter_between(people, "age", 13, 19)) == [(17, "Quim")]
+    assert [r.name for r in P.filter_null(people, "age").collect()] == ["Orla"]
+    assert [r.name for r in P.filter_null(people, "age", is_null=False, name="Pavel").collect()] == ["Pavel"]
     quoted = P.filter_conjunction(people, name="x' OR '1'='1")
     assert quoted.count() == 0
 
