@@ -12,6 +12,7 @@ import hashlib
 import math
 import re
 import unicodedata
+from collections import deque
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -33,6 +34,7 @@ LEXICON_ROWS = 20_000  # labelled rows that are learned from, at most
 LEXICON_ENTRIES = 4_000  # entries with the strongest evidence that are kept
 BEGINNINGS = (4, 5, 6)  # lengths of the word beginnings that are learned
 LEAST_DOCS = 4  # toxic texts an entry occurs in at least
+WINDOW_WORDS = 200  # words whose weights add up
 LEAST_EVIDENCE = 1.0  # lower bound of its log odds ratio
 
 
@@ -106,7 +108,7 @@ def learn_weights(sample: DataFrame) -> dict[str, float]:
 
     def run(batches: Batches) -> Batches:
         table = folding()
-        for batch in in_slices(batches):
+        for batch in in_slices(batches, most_bytes=1 << 20):  # entries take many times the bytes of their text
             texts = [folded(t, table) for t in batch.column("text").to_pylist()]
             columns = [
                 batch.column("doc_id"),
@@ -166,9 +168,24 @@ def matcher(weights: dict[str, float], exceptions: Sequence[str]) -> Callable[[s
     return match
 
 
-def strength(text: str, found: Sequence[tuple[int, float]]) -> float:
-    """Weight of what was found, normalised by the length of the folded text in words."""
-    return sum(w for _, w in found) / math.log2(8 + text.count(" ") - 1)
+def strength(text: str, found: Sequence[tuple[int, float]], window: int = WINDOW_WORDS) -> float:
+    """The largest weight within any ``window`` words of the folded text, normalised by the length of text or window in words.
+
+    A long text is as strong as its strongest part: a constant share of weak words, however
+    long it goes on, adds up over one window only.
+    """
+    inside: deque[tuple[int, float]] = deque()
+    best = total = 0.0
+    word = before = 0
+    for start, weight in sorted(found):
+        word += text.count(" ", before, start)
+        before = start
+        inside.append((word, weight))
+        total += weight
+        while inside[0][0] <= word - window:
+            total -= inside.popleft()[1]
+        best = max(best, total)
+    return best / math.log2(8 + min(text.count(" ") - 1, window))
 
 
 def _contexts(text: str, found: Sequence[tuple[int, float]]) -> list[str]:

@@ -1,7 +1,9 @@
 """Folding and matching by hand; held-out accuracy on planted words."""
 
+import math
 import os
 import random
+import re
 import zlib
 
 import pytest
@@ -68,6 +70,42 @@ def test_held_out_accuracy(spark, documents):
     assert len(held) > 200 and sum(a == bool(t) for a, t in held) / len(held) > 0.98
 
 
+def plain_score(text, model):
+    """Every entry at every place of the folded text, without an automaton."""
+    rest, table = re.compile(r"[\W_]+"), toxicity.folding()
+    text = f" {rest.sub(' ', (text or '').lower().translate(table)).strip()} "
+    covered = [(m.start(), m.start() + len(p) - 1) for p in model.exceptions for m in re.finditer(f"(?={re.escape(p)})", text)]
+    words = [i for i in range(len(text)) if text[i] == " "]
+    weight = {}
+    for n, at in enumerate(words):
+        entries = [w for e, w in model.weights.items() if text.startswith(e, at)]
+        if entries and not any(a <= at < b for a, b in covered):
+            weight[n] = max(entries)
+    best = max((sum(w for m, w in weight.items() if n - 200 < m <= n) for n in weight), default=0.0)
+    strength = best / math.log2(8 + min(len(words) - 1, 200))
+    return 1 / (1 + math.exp(-(model.slope * strength + model.offset)))
+
+
+def test_scores_equal_a_plain_scorer(documents):
+    model = toxicity.Model({" zonker ": 3.0, " zonk": 1.5, " trash": 1.0, " bad ": 0.5}, (" trashy cans ", " not bad "), 7.5, -5.5)
+    rng = random.Random(8)
+    words = ["zonker", "Z0NKER", "zonked", "trashy cans", "trashy", "not bad", "bad", "ok", "fine", "über", "a-b"]
+    pairs = [(i, " ".join(rng.choices(words, [1, 1, 1, 2, 1, 2, 2, 30, 30, 30, 9], k=rng.randint(0, 700)))) for i in range(60)]
+    pairs += [(100, None), (101, ""), (102, "?!"), (103, "zonker"), (104, "zonker " * 500)]
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(documents(pairs), model).collect()}
+    for i, text in pairs:
+        assert got[i] == pytest.approx(plain_score(text, model), abs=1e-12)
+
+
+def test_long_clean_text_with_weak_words_stays_clean(documents):
+    """One weak word in a hundred: the same score at a thousand words and at a hundred thousand; a strong passage still shows."""
+    model = toxicity.Model({" meh ": 1.0, " zonker ": 4.0}, (), 7.5, -5.5)
+    dull = lambda n: " ".join("meh" if i % 100 == 50 else f"w{i % 37}" for i in range(n))
+    pairs = [(0, dull(1000)), (1, dull(100_000)), (2, f"{dull(50_000)} {'zonker you ' * 8} {dull(50_000)}")]
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(documents(pairs), model).collect()}
+    assert got[0] == got[1] < 0.1 and got[2] > 0.9
+
+
 def test_without_labels(spark, documents):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = documents([(1, "zonker"), (2, None)])
