@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -274,6 +275,49 @@ def test_recommender(spark):
     assert 2 not in ids and all(i % 2 == 0 for i in ids)
 
 
+def test_every_iteration_of_als_drops_the_files_of_the_one_before(spark, monkeypatch):
+    monkeypatch.setattr(recommend.ALS, "fit", lambda self, df: self.getCheckpointInterval())
+    assert recommend.als_fit(spark.createDataFrame([(1, 1, 1.0)], "user_no int, item int, rating double")) == 1
+    assert spark.sparkContext.getCheckpointDir()
+
+
+@pytest.mark.parametrize("shard_bytes", [10**9, 100])
+def test_products_of_pairs_are_those_of_the_joins(spark, monkeypatch, shard_bytes):
+    monkeypatch.setattr(shards, "SHARD_BYTES", shard_bytes)
+    rng = np.random.default_rng(5)
+    tables = {n: spark.createDataFrame([(i, rng.normal(size=3).tolist()) for i in range(n)], "id int, features array<float>") for n in (40, 30)}
+    pairs = [(i % 45, (7 * i) % 37, f"r{i}") for i in range(900)] + [(3, 4, "r")] * 300 + [(None, 4, "n"), (3, None, "n"), (99, 99, "n")]
+    asked = spark.createDataFrame(pairs, "`a.b` int, it int, note string")
+    got = shards.pair_products(asked, tables[40], tables[30], "a.b", "it", "p")
+    assert got.columns == ["a.b", "it", "note", "p"]
+    vectors = {n: {r.id: np.array(r.features) for r in t.collect()} for n, t in tables.items()}
+    want = [(*p, float(vectors[40][p[0]] @ vectors[30][p[1]]) if p[0] in vectors[40] and p[1] in vectors[30] else None) for p in pairs]
+    order = lambda r: tuple((x is None, str(x)) for x in r[:3])
+    got, want = sorted(map(tuple, got.collect()), key=order), sorted(want, key=order)
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert all((a[3] is None) == (b[3] is None) and (b[3] is None or abs(a[3] - b[3]) < 1e-5) for a, b in zip(got, want))
+    empty = spark.createDataFrame([], "id int, features array<float>")
+    assert shards.pair_products(asked, tables[40], empty, "a.b", "it", "p").filter("p is null").count() == len(pairs)
+
+
+def test_rows_past_one_shard_use_every_core(spark):
+    users = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(64)], "id long, vector array<double>")
+    items = users.withColumnRenamed("id", "key")
+    parts = shards.past_shards(users, items, lambda keys, matrix, ids, rows: pa.RecordBatch.from_arrays([ids], ["id"]), "id long")
+    assert parts.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in parts.collect()) == list(range(64))
+
+
+def test_later_blocks_hold_better_items_and_ties(monkeypatch):
+    monkeypatch.setattr(recommend, "BLOCK", 16)
+    rng = np.random.default_rng(8)
+    matrix, users = rng.integers(-3, 4, (200, 4)).astype(float), rng.integers(-3, 4, (30, 4)).astype(float)
+    ids, scores = recommend._Items(np.arange(200), matrix).best(users, 5)
+    full = users @ matrix.T
+    want = [sorted(range(200), key=lambda i, row=row: (-row[i], i))[:5] for row in full]
+    assert ids.tolist() == want and (scores == np.take_along_axis(full, np.array(want), 1)).all()
+
+
 def test_perfect_ranking_has_map_one(spark):
     predicted = spark.createDataFrame([("u", i, i + 1) for i in range(4)], "user string, item int, rank int")
     actual = spark.createDataFrame([("u", i) for i in range(4)], "user string, item int")
