@@ -226,3 +226,16 @@ def test_product_of_tiles(spark, monkeypatch, tile, band):
     stored = {(i, j) for i, k, v in left for n, j, _ in right if k == n and v is not None}
     assert set(got) == stored and all(got[(i, j)] == (a @ b)[i + 9, j] for i, j in stored)
     assert matrices.multiply_tiles(frame(left).limit(0), frame(right), tile).count() == 0
+
+
+@pytest.mark.parametrize("dense", [0, 10**9])
+def test_products_send_no_copy_of_the_right_matrix_to_every_band(spark, monkeypatch, dense):
+    monkeypatch.setattr(matrices, "DENSE", dense)
+    frame = lambda rows: spark.createDataFrame(rows, "i long, j long, v double")
+    left = frame([(1000 * i, i % 7, 1.0 + i % 3) for i in range(400)])
+    right = frame([(k, j, float(k - j)) for k in range(6) for j in range(5)])
+    got = matrices.multiply_tiles(left, right, 4)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" not in plan and "SortMergeJoin" in plan
+    want = {(1000 * i, j): (1.0 + i % 3) * (i % 7 - j) for i in range(400) if i % 7 < 6 for j in range(5)}
+    assert {(r.i, r.j): r.v for r in got.collect()} == want
