@@ -141,10 +141,11 @@ def join_static(
     """Join a stream with a table on one column; ``how`` is inner, left or left_anti.
 
     Stream rows of every key are spread over ``salts`` parts and the table is copied to
-    each, so a key that a third of the stream shares is met in ``salts`` tasks.
+    each, so a key that a third of the stream shares is met in ``salts`` tasks.  The join
+    is a merge: the optimiser takes the copies as small as the table's files, and would hold all of them in every task.
     """
     columns = [c for c in stream.columns if c != on]
     part = F.pmod(F.xxhash64(on, *columns), F.lit(salts)).cast("int").alias("_part")
     copies = static.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     added = [] if how == "left_anti" else [c for c in static.columns if c != on]
-    return stream.select("*", part).join(copies, [on, "_part"], how).select(*stream.columns, *added)
+    return stream.select("*", part).join(copies.hint("merge"), [on, "_part"], how).select(*stream.columns, *added)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions import matrices
 from millrace.functions import udfs as U
 from millrace.ml import metrics
+from millrace.streaming import windows
 from millrace.operators import aggregates as A
 from millrace.operators import joins as J
 from millrace.operators import ranking
@@ -239,3 +240,13 @@ def test_products_send_no_copy_of_the_right_matrix_to_every_band(spark, monkeypa
     assert "Generate explode" not in plan and "SortMergeJoin" in plan
     want = {(1000 * i, j): (1.0 + i % 3) * (i % 7 - j) for i in range(400) if i % 7 < 6 for j in range(5)}
     assert {(r.i, r.j): r.v for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+def test_copies_of_a_static_table_are_not_sent_to_every_task(spark, collected, tmp_path, how):
+    spark.range(20).selectExpr("id as k", "id * 2 as x").write.parquet(str(tmp_path / "static"))
+    static = spark.read.parquet(str(tmp_path / "static"))
+    rows = spark.range(50).selectExpr("id", "id % 30 as k")
+    joined = windows.join_static(rows, static, "k", how)
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert collected(joined) == collected(rows.join(static, "k", how).select(*joined.columns))
