@@ -485,7 +485,7 @@ def stream_join(spark, base):
         orders, lines, "o_orderkey", "l_orderkey", "o_orderdate", "l_shipdate", "121 days"
     )
     columns = ("o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    return sinks.run_append(joined.select(*columns), scratch_path(spark, "t20-join"))
+    return sinks.run_append(joined.select(*columns), scratch_path(spark, "t20-join"), idle=False)
 
 
 SPAN = 6  # hours

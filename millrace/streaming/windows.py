@@ -40,7 +40,7 @@ def pane_aggregate(
     windows it belongs to; the panes are, one row per key and slide at most, however many
     rows they hold.  ``length`` must be a whole number of slides.
     """
-    if _seconds(df, length) % _seconds(df, slide):
+    if _micros(df, length) % _micros(df, slide):
         raise ValueError(f"{length} is no multiple of {slide}")
     panes = df.groupBy(F.window(time, slide).alias("pane"), *keys).agg(
         *(first.alias(n) for n, (first, _) in aggregates.items())
@@ -50,8 +50,8 @@ def pane_aggregate(
     return _with_bounds(grouped, *keys, *aggregates)
 
 
-def _seconds(df: DataFrame, span: str) -> int:
-    """The length of a fixed interval such as ``10 minutes``."""
+def _micros(df: DataFrame, span: str) -> int:
+    """The length of a fixed interval such as ``10 minutes``, in microseconds."""
     start = "TIMESTAMP '2000-01-01'"
     value = f"unix_micros({start} + INTERVAL {span}) - unix_micros({start})"
     return df.sparkSession.range(1).select(F.expr(value)).first()[0]
@@ -98,7 +98,7 @@ def join_within(
     left_time: str,
     right_time: str,
     span: str,
-    salts: int = 8,
+    salts: int | None = None,
     how: str = "inner",
 ) -> DataFrame:
     """Join two streams on a key where the right row is at most ``span`` later.
@@ -107,22 +107,34 @@ def join_within(
     row without a partner is emitted once, with nulls, when the watermark has passed the
     time in which one could have come.
 
-    A stream join cannot split a skewed key by itself, so the rows of one side are spread
-    over ``salts`` parts of every key and those of the other are sent to each part: left rows
-    are copied in an inner join, right rows in a left one, where each left row must
-    meet all its partners in one place.  The parts depend on the rows alone: after a restart stored
+    A stream join cannot split a skewed key by itself.  An inner join splits every key by time, into
+    slots as long as ``span``: a right row goes to its own slot, a left row to the two that its partners
+    can fall into, so the state holds no more than two copies of it.  Where a batch covers less than a
+    few spans and a key is hot, name ``salts``: the rows of one side are then spread over that many parts
+    of every key and those of the other are sent to each part, left rows in an inner
+    join, right rows in a left one (8 parts by default), where each left row must meet all its
+    partners in one place.  The parts depend on the rows alone: after a restart stored
     rows and new ones still meet.  ``salts`` must stay the same for a checkpoint.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is inner or left")
 
+    parts = 8 if salts is None else salts
+
+    def slot(time: Column) -> Column:
+        return F.floor(F.unix_micros(time) / F.lit(max(1, _micros(left, span)))).cast("long")
+
     def spread(df: DataFrame, name: str) -> DataFrame:
-        return df.withColumn(name, F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+        return df.withColumn(name, F.pmod(F.xxhash64(*df.columns), F.lit(parts)).cast("int"))
 
     def copied(df: DataFrame, name: str) -> DataFrame:
-        return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
-    if how == "inner":
+    end = F.col(left_time) + F.expr(f"INTERVAL {span}")
+    if how == "inner" and salts is None:
+        first = left.withColumn("_left_part", F.explode(F.sequence(slot(F.col(left_time)), slot(end))))
+        second = right.withColumn("_right_part", slot(F.col(right_time)))
+    elif how == "inner":
         first, second = copied(left, "_left_part"), spread(right, "_right_part")
     else:
         first, second = spread(left, "_left_part"), copied(right, "_right_part")
@@ -130,7 +142,7 @@ def join_within(
         (F.col(left_key) == F.col(right_key))
         & (F.col("_left_part") == F.col("_right_part"))
         & (F.col(right_time) >= F.col(left_time))
-        & (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {span}"))
+        & (F.col(right_time) <= end)
     )
     return first.join(second, condition, how).drop("_left_part", "_right_part")
 

@@ -492,3 +492,40 @@ def test_left_join_emits_rows_without_partner_once(spark, tmp_path, collected, s
     assert len(alone) > 5 and got == ordered(want + alone)
     with pytest.raises(ValueError):
         windows.join_within(*streams, "l_key", "r_key", "l_ts", "r_ts", "60 seconds", how="right")
+
+
+def test_inner_join_keeps_few_copies_and_finds_partners_over_restarts(spark, tmp_path, collected):
+    """Rows of one key, at the ends of the span and of its slots, in two batches."""
+    span = timedelta(seconds=60)
+    lefts = [(START + timedelta(seconds=30 * k), k) for k in range(40)]
+    rights = [(START + timedelta(seconds=s), k) for k, s in enumerate([0, 1, 59, 60, 61, 119, 120, 121, 180, 599, 600, 1169, 1230, 1231])]
+    want = ordered([(i, j) for a, i in lefts for b, j in rights if a <= b <= a + span])
+    for half in (0, 1):
+        parts = {"l": lefts[20 * half : 20 * half + 20], "r": rights[7 * half : 7 * half + 7]}
+        streams = []
+        for name, rows in parts.items():
+            frame = spark.createDataFrame([(t, 1, i) for t, i in rows], f"{name}_ts timestamp, {name}_key long, {name}_id long")
+            frame.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+            streams.append(sources.with_event_time(sources.stream_files(spark, str(tmp_path / name), frame.schema), f"{name}_ts", "1 hour"))
+        joined = windows.join_within(*streams, "l_key", "r_key", "l_ts", "r_ts", "60 seconds")
+        query = sinks.finish(sinks.to_files(joined.select("l_id", "r_id"), str(tmp_path / "out"), idle=False))
+        # One batch a run, and each left row is copied to two slots only.
+        progress = query.recentProgress
+        assert len([p for p in progress if p["numInputRows"]]) == len(progress) == 1
+        assert progress[0]["stateOperators"][0]["numRowsUpdated"] <= 2 * len(parts["l"]) + len(parts["r"])
+        assert spark.conf.get(sinks.IDLE_SETTING, None) is None
+    assert collected(spark.read.parquet(str(tmp_path / "out"))) == want
+
+
+def test_state_on_disk_counts_no_rows(spark, log, tmp_path):
+    """The store looks up no key just for a total; what the session names stays."""
+    folder, _ = log
+    counts = read(spark, folder).groupBy("word").count()
+    name = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    assert sinks.finish(sinks.per_batch(counts, str(tmp_path / "a"), mode="update")).lastProgress["stateOperators"][0]["numRowsTotal"] == 0
+    spark.conf.set(name, "true")
+    try:
+        assert sinks.finish(sinks.per_batch(counts, str(tmp_path / "b"), mode="update")).lastProgress["stateOperators"][0]["numRowsTotal"] > 0
+        assert spark.conf.get(name) == "true"
+    finally:
+        spark.conf.unset(name)
