@@ -21,7 +21,6 @@ of one hash are noticed, and everything is then done again with another hash.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -30,11 +29,13 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import Batches, in_slices, mapped
-from millrace.llm.hpylm import END, Numbers, draw_tables, numbered, prepared, stirling_logs
+from millrace.llm.hpylm import END, draw_tables, prepared, stirling_logs
 from millrace.session import materialise
 
 BLOCK_TOKENS = 1_000_000
@@ -67,9 +68,8 @@ def unpacked(data: bytes, kind: str = "<i8") -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).reshape(n)
 
 
-def hashes_of(words: list[bytes], salt: int) -> np.ndarray:
-    name = salt.to_bytes(8, "little")
-    return np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=8, salt=name).digest() for w in words), "<u8")
+def hashes_of(words: pa.Array, salt: int) -> np.ndarray:
+    return hash_array(words.to_numpy(zero_copy_only=False), hash_key=f"{salt:016d}", categorize=False)
 
 
 def home(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -122,54 +122,101 @@ class Block:
     """Words in the order of their hashes, and the documents' tokens as places in that order."""
 
     number: int
-    words: list[bytes]
+    words: pa.Array
     hashes: np.ndarray
     tokens: np.ndarray
+    start: int  # the place of the end of texts, which is also what stands before the first word
     ends: np.ndarray  # of each document, in tokens
     ids: list
     held: list[bool]
 
-    @property
-    def start(self) -> int:
-        """The place of the end of texts, which is also what stands before the first word."""
-        return self.words.index(END)
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after the other, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, ends = lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy())
+    found = pc.binary_length(words).to_numpy() > 0  # space at an end of a text leaves an empty word
+    sizes = np.diff(np.concatenate([[0], np.cumsum(found)])[ends], prepend=0)
+    return words if found.all() else words.filter(pa.array(found)), sizes
+
+
+def numbered(words: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
+    """The number of each word, in the order they are first seen, and the distinct words."""
+    chunks = words.dictionary_encode().unify_dictionaries().chunks
+    return np.concatenate([c.indices.to_numpy() for c in chunks]), chunks[0].dictionary
 
 
-def block_of(number: int, numbers: Numbers, texts: list[np.ndarray], ids: list, held: list[bool], salt: int) -> Block:
-    words = list(numbers)
-    hashes = hashes_of(words, salt)
+def block_of(number: int, words: list[pa.Array], sizes: list[int], ids: list, held: list[bool], salt: int) -> Block:
+    seen, spelled = numbered(pa.chunked_array([pa.array([END.decode()]), *words]))
+    spelled = spelled.cast(pa.binary())
+    words.clear()
+    pa.default_memory_pool().release_unused()  # what lay between the words would stay with the worker
+    hashes = hashes_of(spelled, salt)
     order = np.argsort(hashes, kind="stable")
     place = np.empty(len(order), np.int32)
     place[order] = np.arange(len(order))
-    ends = np.cumsum([len(t) for t in texts])
-    return Block(number, [words[i] for i in order.tolist()], hashes[order], place[np.concatenate(texts)], ends, ids, held)
+    ends = np.cumsum(np.array(sizes) + 1)
+    tokens = np.full(ends[-1], place[0])
+    inside = np.ones(len(tokens), bool)
+    inside[ends - 1] = False
+    tokens[inside] = place[seen[1:]]
+    del seen, inside
+    return Block(number, spelled.take(pa.array(order)), hashes[order], tokens, int(place[0]), ends, ids, held)
+
+
+def _codes(tokens: np.ndarray, start: int, n_words: int) -> tuple[np.ndarray, int]:
+    """A number for the pair of each token: the word's place, shifted, and the place of the word before."""
+    bits = (n_words - 1).bit_length()
+    codes = tokens.astype(np.int64) << bits
+    codes[0] |= start
+    codes[1:] |= tokens[:-1]
+    return codes, bits
 
 
 def pairs_of(tokens: np.ndarray, start: int, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs in order, as places of the word and of the word before, and the pair of each token."""
-    before = np.concatenate([[start], tokens[:-1]])
-    code, pair = np.unique(tokens.astype(np.int64) * n_words + before, return_inverse=True)
-    return code // n_words, code % n_words, pair
+    codes, bits = _codes(tokens, start, n_words)
+    code, pair = np.unique(codes, return_inverse=True)
+    return code >> bits, code & (1 << bits) - 1, pair
+
+
+def counted_pairs(tokens: np.ndarray, start: int, n_words: int, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in order, as in ``pairs_of``, and how many of each pair's tokens count."""
+    codes, bits = _codes(tokens, start, n_words)
+    codes <<= 1
+    codes |= counts
+    codes.sort()
+    first = np.flatnonzero(np.concatenate([[True], (codes[1:] | 1) != (codes[:-1] | 1)]))
+    code = codes[first] >> 1
+    return code >> bits, code & (1 << bits) - 1, np.add.reduceat(codes & 1, first)
 
 
 def blocks(batches: Batches, block_tokens: int, salt: int) -> Iterator[Block]:
     """The blocks of one partition's ``doc_id, held_out, text, part``."""
     number, tokens = None, 0
-    ids, held, texts, numbers = [], [], [], Numbers({END: 0})
+    ids, held, sizes, pieces = [], [], [], []
     for batch in in_slices(batches, most_bytes=1 << 20):
         number = batch.column("part")[0].as_py() << 24 if number is None else number
-        for i, out, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text"))):
-            words = text.encode().lower().split()
-            if tokens and tokens + len(words) > block_tokens:
-                yield block_of(number, numbers, texts, ids, held, salt)
-                number, tokens = number + 1, 0
-                ids, held, texts, numbers = [], [], [], Numbers({END: 0})
+        words, counts = words_of(batch.column("text"))
+        start = end = 0
+        for i, out, n in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), counts.tolist()):
+            if tokens and tokens + n > block_tokens:
+                pieces.append(words.slice(start, end - start))
+                block = block_of(number, pieces, sizes, ids, held, salt)
+                number, tokens, start = number + 1, 0, end
+                ids, held, sizes, pieces = [], [], [], []
+                yield block
+                del block
             ids.append(i)
             held.append(out)
-            texts.append(numbered(words, numbers))
-            tokens += len(words) + 1
+            sizes.append(n)
+            end += n
+            tokens += n + 1
+        pieces.append(words.slice(start))
     if ids:
-        yield block_of(number, numbers, texts, ids, held, salt)
+        block = block_of(number, pieces, sizes, ids, held, salt)
+        del pieces, words
+        yield block
 
 
 SENT = "bucket long, block long, words binary, widths binary, before binary, counts binary"
@@ -180,15 +227,14 @@ def _sent(buckets: int, block_tokens: int, salt: int) -> Callable[[Batches], Bat
 
     def run(batches: Batches) -> Batches:
         for block in blocks(batches, block_tokens, salt):
-            word, before, pair = pairs_of(block.tokens, block.start, len(block.words))
             trained = np.repeat(~np.array(block.held, bool), np.diff(block.ends, prepend=0))
-            counts = np.bincount(pair[trained], minlength=len(word))
+            word, before, counts = counted_pairs(block.tokens, block.start, len(block.words), trained)
             widths = np.bincount(word, minlength=len(block.words))
             pair_ends = np.concatenate([[0], np.cumsum(widths)])
-            out = []
-            for bucket, a, b in runs(home(block.hashes, buckets)):
+            out, parts = [], list(runs(home(block.hashes, buckets)))
+            lists = pa.ListArray.from_arrays(pa.array([0, *(b for *_, b in parts)], pa.int32()), block.words)
+            for (bucket, a, b), spelled in zip(parts, pc.binary_join(lists, b"\n").to_pylist()):
                 x, y = pair_ends[a], pair_ends[b]
-                spelled = b"\n".join(block.words[a:b])
                 before_hashes = block.hashes[before[x:y]].tobytes()
                 out.append((bucket, block.number, spelled, packed(widths[a:b], "<u4"), before_hashes, packed(counts[x:y], "<u4")))
             yield _rows(SENT, out)
@@ -215,20 +261,21 @@ def _merged(salt: int) -> Callable[[Batches], Batches]:
     """
 
     def one(bucket: int, rows: Iterator[tuple]) -> tuple:
-        numbers = Numbers()
-        asked, befores, counts, sizes = [], [], [], []
+        spelled, asked, befores, counts, sizes = [], [], [], [], []
         for _, block, words, widths, before, own in rows:
-            word = np.fromiter(map(numbers.__getitem__, words.split(b"\n")), np.int64)
-            asked.append(np.repeat(word, unpacked(widths, "<u4")))
+            spelled.append(words)
+            asked.append(unpacked(widths, "<u4"))
             befores.append(np.frombuffer(before, "<u8"))
             counts.append(unpacked(own, "<u4"))
-            sizes.append((block, len(word), len(befores[-1])))
-        hashes = hashes_of(list(numbers), salt)
+            sizes.append((block, len(asked[-1]), len(befores[-1])))
+        listed = pc.split_pattern(pa.array(spelled, pa.large_binary()), b"\n").flatten()
+        seen, distinct = numbered(pa.chunked_array([listed]))
+        hashes = hashes_of(distinct, salt)
         order = np.argsort(hashes, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         rooms, room = np.unique(np.concatenate(befores), return_inverse=True)
-        code, pair = np.unique(place[np.concatenate(asked)] * len(rooms) + room, return_inverse=True)
+        code, pair = np.unique(np.repeat(place[seen], np.concatenate(asked)) * len(rooms) + room, return_inverse=True)
         total = np.bincount(pair, np.concatenate(counts), len(code)).astype(np.int64)
         word, room = code // len(rooms), code % len(rooms)
         tables = np.bincount(word[total > 0], minlength=len(hashes))

@@ -4,6 +4,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_hpylm import corpus, held_out, words_of
 
@@ -109,6 +110,43 @@ def test_nothing_to_learn_from(documents):
     assert row["base_score"] == 0 and math.isfinite(row["score"])
 
 
+ODD = ["", " ", "a", "\t b  A\n", *(f"x{chr(c)}y{chr(c)}" for c in range(128)), "\u00a0c\u2003d \u0085", "a\0 a", "\u00c4 \u00e4", "  ", "B b"]
+
+
+def test_words_are_split_as_bytes_are():
+    """In Arrow, with no Python object for a word: its kernels have to know the same white space and letters."""
+    words, sizes = pitmanyor.words_of(pa.array(ODD))
+    want = [t.encode().lower().split() for t in ODD]
+    assert words.cast(pa.binary()).to_pylist() == sum(want, []) and sizes.tolist() == list(map(len, want))
+
+
+@pytest.mark.parametrize("block_tokens", [1, 7, 1000])
+def test_blocks_hold_the_tokens_of_all_texts(block_tokens):
+    columns = {"doc_id": range(len(ODD)), "held_out": [i % 3 == 0 for i in range(len(ODD))], "text": ODD, "part": [2] * len(ODD)}
+    batches = pa.table({n: pa.array(c) for n, c in columns.items()}).to_batches(max_chunksize=50)
+    at = 0
+    for number, block in enumerate(pitmanyor.blocks(iter(batches), block_tokens, 0)):
+        assert isinstance(block.words, pa.Array) and block.number == (2 << 24) + number
+        assert (np.diff(block.hashes.astype(float)) >= 0).all() and len(set(block.hashes.tolist())) == len(block.words)
+        words = block.words.to_pylist()
+        texts = np.split(np.array([*words, None], object)[block.tokens], block.ends[:-1])
+        assert [t.tolist() for t in texts] == [[*ODD[i].encode().lower().split(), b" "] for i in block.ids]
+        assert words[block.start] == b" " and block.ids == list(range(at, at + len(block.ids)))
+        assert block.held == [i % 3 == 0 for i in block.ids] and (len(block.ids) == 1 or len(block.tokens) <= block_tokens + 1)
+        at += len(block.ids)
+    assert at == len(ODD)
+
+
+def test_counted_pairs_are_those_of_all_tokens():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 9):
+        tokens, counts = rng.integers(0, n, 60, np.int32), rng.random(60) < 0.5
+        word, before, pair = pitmanyor.pairs_of(tokens, n - 1, n)
+        assert (word[pair] == tokens).all() and (before[pair] == [n - 1, *tokens[:-1]]).all()
+        for got, want in zip(pitmanyor.counted_pairs(tokens, n - 1, n, counts), (word, before, np.bincount(pair[counts], minlength=len(word)))):
+            assert got.tolist() == want.tolist()
+
+
 def test_packed():
     for x in ([], [0], [5, 1 << 40, 0], list(range(3000))):
         assert pitmanyor.unpacked(pitmanyor.packed(np.array(x, np.int64))).tolist() == x
