@@ -18,7 +18,7 @@ from millrace.plans import inputs as I
 from millrace.plans.registry import query
 from millrace.reports import clicks, sales
 from millrace.session import read_table, scratch_path
-from millrace.streaming import sinks, sources, state, windows
+from millrace.streaming import panes, sinks, sources, state, windows
 from millrace.streaming.online import OnlineLinearModels
 
 DELAY = "10 minutes"
@@ -241,8 +241,9 @@ def stream_state_tuple_general(spark, base):
     + _sliding_sql(["category"], 60, 10, "count(*) AS n"),
 )
 def stream_sliding_count(spark, base):
-    counts = windows.sliding_count(_clicks(spark, base), "ts", "category")
-    return _as_text(sinks.run_append(counts, scratch_path(spark, "t09")), "start", "end")
+    log, path = _clicks(spark, base), scratch_path(spark, "t09")
+    counts = panes.run_windows(log, path, "ts", "60 seconds", "10 seconds", ["category"], panes.count_rows())
+    return _as_text(counts, "start", "end")
 
 
 @query(
@@ -251,10 +252,9 @@ def stream_sliding_count(spark, base):
     + _sliding_sql(["product"], 600, 300, "count(*) AS n"),
 )
 def stream_event_window(spark, base):
-    counts = windows.sliding_count(
-        _clicks(spark, base), "ts", "product", length="10 minutes", slide="5 minutes"
-    )
-    return _as_text(sinks.run_append(counts, scratch_path(spark, "t10")), "start", "end")
+    log, path = _clicks(spark, base), scratch_path(spark, "t10")
+    counts = panes.run_windows(log, path, "ts", "10 minutes", "5 minutes", ["product"], panes.count_rows())
+    return _as_text(counts, "start", "end")
 
 
 # Every fiftieth row arrives a third of a month late, mostly behind the watermark.
@@ -706,10 +706,10 @@ def stream_union(spark, base):
     + _sliding_sql([], 60, 10, "round(sum(value), 2) AS total"),
 )
 def stream_window_total(spark, base):
-    totals = windows.pane_aggregate(
-        _clicks(spark, base), "ts", "60 seconds", "10 seconds", total=(F.sum("value"), F.sum("total"))
+    total = {"total": (F.sum("value"), F.sum("total"))}
+    closed = panes.run_windows(
+        _clicks(spark, base), scratch_path(spark, "t29"), "ts", "60 seconds", "10 seconds", [], total
     )
-    closed = sinks.run_append(totals, scratch_path(spark, "t29"))
     return _as_text(closed, "start", "end").withColumn("total", F.round("total", 2))
 
 
@@ -742,9 +742,14 @@ def join_stream_static(spark, base):
 )
 def hot_words_sliding(spark, base):
     searches = _clicks(spark, base).withColumnRenamed("category", "word")
-    counts = clicks.search_word_counts(searches)
     path = scratch_path(spark, "r10")
-    sinks.finish(sinks.per_batch(counts, path, lambda batch, _: clicks.hot_words(batch)))
+    sinks.finish(
+        panes.per_window(
+            searches, path, "ts", "60 seconds", "10 seconds", ["word"], panes.count_rows(),
+            lambda counts, _: clicks.hot_words(counts), together=[],
+        )
+    )
+    counts = clicks.search_word_counts(searches)
     schema = T.StructType([*counts.schema.fields, T.StructField("rank", T.IntegerType())])
     return _as_text(sinks.read_batches(spark, path, schema).drop("batch", "end"), "start")
 
@@ -759,9 +764,14 @@ def hot_words_sliding(spark, base):
     + ")) WHERE rank <= 3",
 )
 def top3_hot_product(spark, base):
-    counts = clicks.product_click_counts(_clicks(spark, base))
-    path = scratch_path(spark, "r11")
-    sinks.finish(sinks.per_batch(counts, path, lambda batch, _: clicks.hot_products(batch)))
+    log, path = _clicks(spark, base), scratch_path(spark, "r11")
+    sinks.finish(
+        panes.per_window(
+            log, path, "ts", "60 seconds", "10 seconds", ["category", "product"], panes.count_rows(),
+            lambda counts, _: clicks.hot_products(counts), together=["category"],
+        )
+    )
+    counts = clicks.product_click_counts(log)
     schema = T.StructType([*counts.schema.fields, T.StructField("rank", T.IntegerType())])
     return _as_text(sinks.read_batches(spark, path, schema).drop("batch", "end"), "start")
 
