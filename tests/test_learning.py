@@ -318,6 +318,36 @@ def test_later_blocks_hold_better_items_and_ties(monkeypatch):
     assert ids.tolist() == want and (scores == np.take_along_axis(full, np.array(want), 1)).all()
 
 
+def test_few_pairs_are_scored_exactly_and_close_scores_keep_their_order(monkeypatch):
+    """Scores closer than single precision tells apart, of factors from tiny to huge; most pairs are ruled out before."""
+    monkeypatch.setattr(recommend, "BLOCK", 64)
+    rng = np.random.default_rng(12)
+    for size in (1e-30, 1.0, 1e30):
+        base = rng.normal(size=(2000, 6)) * size
+        base[::100] = base[0] * 3 * (1 + rng.permutation(20)[:, None] * 1e-12)
+        users = np.concatenate([rng.normal(size=(40, 6)) / size, np.zeros((1, 6)), base[:1] / size**2])
+        items, scored = recommend._Items(np.arange(2000), base), []
+        merged = items._merged
+        items._merged = lambda vectors, k, held, fresh: scored.extend(len(o) for o, _ in fresh) or merged(vectors, k, held, fresh)
+        ids, scores = items.best(users, 15)
+        full = (users[:, None] * base[None]).sum(2)
+        assert ids.tolist() == [sorted(range(2000), key=lambda i, row=row: (-row[i], i))[:15] for row in full]
+        assert (scores == np.take_along_axis(full, ids, 1)).all()
+        assert sum(scored) - 2000 < 0.25 * 2000 * len(users)  # a user of zeros ties with every item
+    odd = recommend._Items(np.arange(300), np.concatenate([np.full((1, 2), 1e300), rng.normal(size=(299, 2))]))
+    assert odd.best(np.ones((2, 2)), 3)[0][:, 0].tolist() == [0, 0]
+
+
+def test_rows_past_several_shards_come_in_more_cells_than_cores(spark, monkeypatch):
+    monkeypatch.setattr(shards, "SHARD_BYTES", 400)
+    users = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(64)], "id long, vector array<float>")
+    items = users.withColumnRenamed("id", "key")
+    seen = lambda keys, matrix, ids, rows: pa.RecordBatch.from_arrays([ids, pa.array([len(keys)] * len(ids))], ["id", "n"])
+    parts = shards.past_shards(users, items, seen, "id long, n long")
+    assert parts.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    assert {r.id: r.n for r in parts.groupBy("id").agg(F.sum("n").alias("n")).collect()} == dict.fromkeys(range(64), 64)
+
+
 def test_perfect_ranking_has_map_one(spark):
     predicted = spark.createDataFrame([("u", i, i + 1) for i in range(4)], "user string, item int, rank int")
     actual = spark.createDataFrame([("u", i) for i in range(4)], "user string, item int")
