@@ -162,3 +162,42 @@ def test_texts_of_one_fingerprint_and_of_near_ones_are_candidates(spark):
     prints = spark.createDataFrame([(1, 0), (2, 0), (3, 3), (4, -1), (5, 3)], "fp long, print long")
     found = {tuple(r) for r in shingles.golay_candidates(prints).collect()}
     assert {(1, 2), (3, 5), (1, 3)} <= found and all(4 not in p for p in found)
+
+
+def form_letters(seed, letters=240, words=300):
+    """Letters of one form: most pairs a little less similar than 0.8, a few a little more."""
+    rng = random.Random(seed)
+    form = [f"w{rng.randrange(4000)}" for _ in range(words)]
+    return [(i, " ".join(edited(rng, form, rng.randint(4, 5)))) for i in range(letters)]
+
+
+@pytest.mark.parametrize("rest_rows", [16, 512])
+def test_links_that_estimates_hide_are_found_in_large_groups(documents, monkeypatch, rest_rows):
+    """Every pair of a group is compared: nearer estimates of unlike texts hide none."""
+    monkeypatch.setattr(shingles, "REST_ROWS", rest_rows)
+    pairs = form_letters(1)
+    groups, want = brute_groups(pairs), survivors(pairs)
+    assert 20 < len(set(groups)) < 200
+    kept = shingles.one_of_each(documents(pairs))
+    assert sorted(r["doc_id"] for r in kept.collect()) == want
+
+
+def test_every_pair_of_a_group_in_several_components_is_compared(spark, documents):
+    pairs = form_letters(2, 60) + [(1000 + i, t) for i, t in copies(4, 3)]
+    docs = documents(pairs)
+    signed = shingles.signatures(docs, 5, "doc_id", "text").drop("doc_id").dropDuplicates(["fp"])
+    ids = {shingles.content(shingles.shingle_hashes(t)): i for i, t in pairs}
+    sets = lambda named: shingles._sets(docs.select("doc_id", "text"), 5).join(named, "fp", "left_semi")
+    none = spark.createDataFrame([], "a long, b long")
+    plain = {i: plain_shingles(t) for i, t in pairs}
+    found = [(ids[a], ids[b]) for a, b in shingles.rest_links(signed, none, sets).collect()]
+    assert all(len(plain[a] & plain[b]) >= 0.8 * len(plain[a] | plain[b]) for a, b in found)
+    small = [(i, t) for i, t in pairs if i < 1000]
+    nodes = {i: i for i, _ in small}
+    for a, b in sorted(found) * len(small):
+        if a in nodes and b in nodes:
+            nodes[a] = nodes[b] = min(nodes[a], nodes[b])
+    parts = lambda labels: sorted(sorted(i for i in labels if labels[i] == r) for r in set(labels.values()))
+    assert parts(nodes) == parts(dict(zip(nodes, brute_groups(small))))
+    joined = spark.createDataFrame([(min(ids), f) for f in ids], "a long, b long")
+    assert shingles.rest_links(signed, joined, sets).count() == 0
