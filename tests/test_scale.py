@@ -250,3 +250,16 @@ def test_copies_of_a_static_table_are_not_sent_to_every_task(spark, collected, t
     joined = windows.join_static(rows, static, "k", how)
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
     assert collected(joined) == collected(rows.join(static, "k", how).select(*joined.columns))
+
+
+@pytest.mark.parametrize("tile, kind", [(matrices.TILE, "smallint"), (2048, "int")])
+def test_right_rows_travel_as_short_places_beside_their_values(spark, monkeypatch, tile, kind):
+    stored, keep = {}, matrices.materialise
+    monkeypatch.setattr(matrices, "materialise", lambda df, label: stored.setdefault(label, keep(df, label)))
+    columns = [-(2**40), -32769, -32768, -1, 0, 32767, 32768, 131071, 131072, 2**40 + 5]
+    right = spark.createDataFrame([(1, j, float(n + 1)) for n, j in enumerate(columns)] + [(2, 7, 0.5)], "i long, j long, v double")
+    left = spark.createDataFrame([(-5, 1, 2.0), (40000, 1, 3.0), (40000, 2, 4.0)], "i long, j long, v double")
+    got = {(r.i, r.j): r.v for r in matrices.multiply_tiles(left, right, tile).collect()}
+    want = {(i, j): v * (n + 1) for i, v in ((-5, 2.0), (40000, 3.0)) for n, j in enumerate(columns)} | {(40000, 7): 2.0}
+    assert got == want
+    assert dict(stored["right-rows"].dtypes) == {"k": "bigint", "slice": "bigint", "js": f"array<{kind}>", "ws": "array<double>"}
